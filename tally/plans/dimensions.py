@@ -78,7 +78,7 @@ def previous_winners(sheet: DataFrame, constituencies: DataFrame, order: str = "
     """
     marked = sheet.withColumn("nachruecker", F.col("wk").isNull())
     led = following(marked, {"ausgeschieden": "nachruecker"}, [], [order], chunk)
-    cols = [c for c in led.columns if c not in (order, "nachruecker", "ausgeschieden")]
+    cols = [c for c in led.columns if c not in (order, "nachruecker")]
     filled = step_fill(led, cols, [], [order], chunk)
     second = runner_up(F.col("stimmen"), F.col("prozent"), F.col("vorsprung"))
     out = filled.withColumns(second).withColumns(parse_person_name(F.col("full_name")))
