@@ -99,11 +99,12 @@ def with_status(title: Column, counted: Column, total: Column) -> Column:
 
 
 def turnout_text(voters: Column, invalid: Column, eligible: Column, counted: Column, total: Column) -> Column:
-    """Votes cast, share of invalid ones and, once all is counted, the turnout."""
-    turnout = F.concat(F.lit(TURNOUT), format_de(turnout_pct(voters, eligible), 1), F.lit("%"))
+    """Votes cast, share of invalid ones and, once all is counted, the turnout (0,0 of nobody)."""
+    none = F.lit(0.0)
+    turnout = F.concat(F.lit(TURNOUT), format_de(F.coalesce(turnout_pct(voters, eligible), none), 1), F.lit("%"))
     return F.concat(
         F.lit(CAST_VOTES), format_de(voters, 0), F.lit(OF_THESE_INVALID),
-        format_de(invalid_pct(invalid, voters), 1), F.lit("%, "),
+        format_de(F.coalesce(invalid_pct(invalid, voters), none), 1), F.lit("%, "),
         F.when(is_complete(counted, total), turnout).otherwise(F.lit("")),
         F.lit(BREAK),
     )

@@ -90,6 +90,11 @@ def _figures(votes: DataFrame, part: Sequence[str], attrs: Sequence[str]) -> Dat
     return votes.groupBy(*part).agg(*[F.max(c).alias(c) for c in (*FIGURES, *attrs)])
 
 
+def _named(areas: DataFrame) -> DataFrame:
+    """A municipality without a clean name is shown by its key."""
+    return areas.withColumn("g_name", F.coalesce("g_name", "ags"))
+
+
 def _texts(areas: DataFrame, title: Column, intro: Column, before: Sequence[Column], ts: Column,
            imprint: Imprint) -> DataFrame:
     counted, total = F.col("gezaehlt"), F.col("stimmbezirke")
@@ -121,7 +126,7 @@ def constituency_list_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> D
 
 
 def municipality_direct_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> DataFrame:
-    areas = _figures(votes, ["ags"], ["wk", "g_name"])
+    areas = _named(_figures(votes, ["ags"], ["wk", "g_name"]))
     title = F.concat("g_name", F.lit(N.DIRECT_TITLE))
     intro = F.concat(F.lit("Erststimmen in "), "g_name", F.lit(" für die Direktkandidaten im Wahlkreis "),
                      F.col("wk").cast("string"), F.lit(". " + N.ROUNDED))
@@ -129,7 +134,7 @@ def municipality_direct_texts(votes: DataFrame, ts: Column, imprint: Imprint) ->
 
 
 def municipality_list_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> DataFrame:
-    areas = _figures(votes, ["ags"], ["wk", "g_name"])
+    areas = _named(_figures(votes, ["ags"], ["wk", "g_name"]))
     title = F.concat("g_name", F.lit(N.LIST_TITLE))
     intro = F.concat(F.lit("Zweitstimmen in "), "g_name", F.lit(", alle Wahllisten. " + N.ROUNDED))
     return _texts(areas, title, intro, [F.lit(N.BALLOT_ORDER)], ts, imprint)
