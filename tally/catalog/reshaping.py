@@ -202,19 +202,3 @@ def patch_union(spark, sf):
 
     keys = table(spark, sf, "nation").filter(F.col("n_nationkey").isin(3, 4)).select(F.col("n_nationkey").alias("wk"))
     return J.patch_union(votes(True), votes(False), keys, "wk")
-
-
-@query("x03_progress_delta", """
-WITH d AS (SELECT o_orderpriority, o_orderdate AS tag, count(*) AS n FROM orders GROUP BY ALL),
-c AS (SELECT o_orderpriority, tag, CAST(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY tag) AS BIGINT) AS gezaehlt FROM d)
-SELECT o_orderpriority, strftime(tag, '%Y-%m-%d') AS tag, gezaehlt,
-       gezaehlt - lag(gezaehlt, 1, 0) OVER (PARTITION BY o_orderpriority ORDER BY tag) AS neu FROM c""")
-def progress_delta(spark, sf):
-    from tally.operators.windows import running
-    from tally.streaming.snapshots import progress_delta as delta
-
-    daily = table(spark, sf, "orders").groupBy("o_orderpriority", F.col("o_orderdate").alias("snapshot_ts")).agg(
-        F.count(F.lit(1)).alias("n"))
-    totals = running(daily, {"gezaehlt": F.col("n")}, ["o_orderpriority"], ["snapshot_ts"], F.year("snapshot_ts"))
-    out = delta(totals.drop("n"), ["o_orderpriority"], chunk=F.year("snapshot_ts"))
-    return out.select("o_orderpriority", F.date_format("snapshot_ts", "yyyy-MM-dd").alias("tag"), "gezaehlt", "neu")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.text import first_match, parse_german_datetime
 from tally.operators.cleaning import parse_numbers, quoted
-from tally.sources.feed import KEY, feed_types
+from tally.sources.feed import KEY, feed_columns, feed_types
 
 # --- fixed values ---
 SEPARATOR = ";"
@@ -82,23 +83,33 @@ def with_snapshot_ts(df: DataFrame, path: str) -> DataFrame:
     return df.withColumn("file", F.col("_metadata.file_path")).join(times, "file", "left").drop("file")
 
 
-def newest_file(spark: SparkSession, folder: str) -> str | None:
-    """Path of the file changed last in a folder; None when there is none.
+def newest_entry(spark: SparkSession, folder: str) -> str | None:
+    """Path of the file or subfolder of ``folder`` that changed last; None when there is none.
 
-    Only file listings are read, no contents.
+    A snapshot is one file, or one subfolder of part files. Only listings are read.
     """
-    files = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")
-    newest = files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect()
-    return newest[0].path if newest else None
+    root = folder.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        files = files.load(root).select("path", "modificationTime")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    below = F.substring_index(F.col("path"), root + "/", -1)
+    entries = files.groupBy(F.substring_index(below, "/", 1).alias("entry")).agg(
+        F.max("modificationTime").alias("changed"))
+    newest = entries.orderBy(F.desc("changed"), F.desc("entry")).limit(1).collect()
+    return f"{root}/{newest[0].entry}" if newest else None
 
 
 def read_latest_snapshot(spark: SparkSession, folder: str, columns: Sequence[str] | None = None,
                          key: str = KEY) -> DataFrame:
     """The newest archived snapshot; an empty table with the feed's columns when there is none."""
-    path = newest_file(spark, folder)
+    path = newest_entry(spark, folder)
     if path is not None:
         return read_snapshot(spark, path, columns, key)
-    columns = list(columns or [key])
+    columns = list(columns or feed_columns())
     empty = spark.createDataFrame([], _text_schema(columns))
     return parse_numbers(empty, feed_types(columns))
 

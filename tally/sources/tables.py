@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.numbers import PLAIN_NUMBER, numeric_or_null, parse_de_number
@@ -12,6 +12,8 @@ from tally.operators.cleaning import quoted
 
 #: Encoding of the historical results file (fixed value).
 HISTORY_ENCODING = "windows-1252"
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
+_C1_WINDOWS = "".join(bytes([i]).decode("cp1252", "replace") for i in range(0x80, 0xA0))
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:
@@ -45,14 +47,22 @@ def read_history(spark: SparkSession, path: str, columns: Mapping[str, str], key
 
     ``columns`` maps the names to types in file order. Rows whose ``key`` cell is no
     number (title, header and unit rows) are dropped by that test, not by position.
+    Spark reads Latin-1; Windows-1252 differs from it in the codes 80 to 9F only,
+    which are translated afterwards.
     """
+    windows = encoding.lower() == "windows-1252"
     schema = ", ".join(f"`{c}` string" for c in columns)
-    raw = spark.read.schema(schema).option("sep", ";").option("encoding", encoding) \
+    raw = spark.read.schema(schema).option("sep", ";").option(
+        "encoding", "iso-8859-1" if windows else encoding) \
         .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
     data = raw.filter(quoted(key).rlike("^[0-9]+$"))
-    return data.select(*[
-        quoted(c) if t == "string" else parse_de_number(quoted(c), t).alias(c) for c, t in columns.items()
-    ])
+
+    def typed(name: str, to: str) -> Column:
+        if to != "string":
+            return parse_de_number(quoted(name), to).alias(name)
+        return (F.translate(quoted(name), _C1, _C1_WINDOWS) if windows else quoted(name)).alias(name)
+
+    return data.select(*[typed(c, t) for c, t in columns.items()])
 
 
 def read_headerless(spark: SparkSession, path: str, schema: str, separator: str = ";") -> DataFrame:
