@@ -272,7 +272,7 @@ def composite_baseline(spark, sf):
                          *[none.cast("string").alias(c) for c in _COUNTS])
     detail = text.select((F.col("wk") * 2 + 1).alias("row_pos"), none.cast("int").alias("wk"),
                          none.cast("string").alias("wk_name"), F.lit("L").alias("wahl"), *_COUNTS)
-    sheet = B.filled_sheet(header.unionByName(detail), ["wk", "wk_name"], "wahl", "row_pos", F.floor(F.col("row_pos") / 16))
+    sheet = B.filled_sheet(header.unionByName(detail), ["wk", "wk_name"], "wahl")
     keys = table(spark, sf, "nation").selectExpr("n_nationkey + 1 AS wk").filter("wk IN (3, 4)")
     return B.composite_baseline(sheet.drop("row_pos", "wahl"), then, keys, _COUNTS, {"Sonstige": ["SMALL", "STANDARD"]})
 
@@ -347,7 +347,7 @@ SELECT row_pos, f.wk, p_brand AS wk_name, partei, stimmen, prozent, vorsprung, n
 FROM f LEFT JOIN part ON p_partkey = f.wk""")
 def previous_winners(spark, sf):
     names = table(spark, sf, "part").select(F.col("p_partkey").alias("wk"), F.col("p_brand").alias("wk_name"))
-    return D.previous_winners(winner_sheet(spark, sf), names, chunk=F.floor(F.col("row_pos") / 512)).drop("full_name")
+    return D.previous_winners(winner_sheet(spark, sf), names).drop("full_name")
 
 
 @query("l13_boundary_changes", """

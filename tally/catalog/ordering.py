@@ -12,9 +12,6 @@ from tally.operators import windows as W
 from tally.plans import star
 from tally.plans.star import table
 
-#: A user's history is cut by day, the whole table by blocks of event numbers.
-DAY = F.to_date("ts")
-BLOCK = F.floor(F.col("event_id") / 4096)
 HISTORY = ["ts", "event_id"]
 
 
@@ -28,7 +25,7 @@ SELECT event_id, last_value(CASE WHEN event_type <> 'error' THEN value END IGNOR
   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gueltig
 FROM events""")
 def carry_forward(spark, sf):
-    return W.locf(events(spark, sf), ["gueltig"], ["user_id"], HISTORY, DAY).select("event_id", "gueltig")
+    return W.locf(events(spark, sf), ["gueltig"], ["user_id"], HISTORY).select("event_id", "gueltig")
 
 
 @query("w02_fill_down_table", """
@@ -38,14 +35,14 @@ FROM events""")
 def fill_down_table(spark, sf):
     head = F.when(F.col("event_type") == "purchase", F.col("user_id"))
     sheet = events(spark, sf).select("event_id", head.alias("kopf"))
-    return W.locf(sheet, ["kopf"], [], ["event_id"], BLOCK)
+    return W.locf(sheet, ["kopf"], [], ["event_id"])
 
 
 @query("w03_lead_flag", """
 SELECT event_id, coalesce(lead(event_type = 'signup') OVER (ORDER BY event_id), false) AS ausgeschieden FROM events""")
 def lead_flag(spark, sf):
     flagged = events(spark, sf).select("event_id", (F.col("event_type") == "signup").alias("nachruecker"))
-    led = W.following(flagged, {"ausgeschieden": "nachruecker"}, [], ["event_id"], BLOCK)
+    led = W.following(flagged, {"ausgeschieden": "nachruecker"}, [], ["event_id"])
     return led.select("event_id", F.coalesce("ausgeschieden", F.lit(False)).alias("ausgeschieden"))
 
 
@@ -53,7 +50,7 @@ def lead_flag(spark, sf):
 WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN value END AS gueltig FROM events)
 SELECT event_id, coalesce(gueltig, lag(gueltig) OVER (PARTITION BY user_id ORDER BY ts, event_id), -1.0) AS gueltig FROM e""")
 def step_fill(spark, sf):
-    filled = W.step_fill(events(spark, sf), ["gueltig"], ["user_id"], HISTORY, DAY)
+    filled = W.step_fill(events(spark, sf), ["gueltig"], ["user_id"], HISTORY)
     return filled.select("event_id", F.coalesce("gueltig", F.lit(-1.0)).alias("gueltig"))
 
 
@@ -80,7 +77,7 @@ def quintile_of_hot_value(spark, sf):
 SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) AS e
 WHERE n > 2""")
 def drop_leading_rows(spark, sf):
-    return W.drop_leading(events(spark, sf), 2, ["user_id"], HISTORY, DAY).select("event_id")
+    return W.drop_leading(events(spark, sf), 2, ["user_id"], HISTORY).select("event_id")
 
 
 @query("w07_group_size", """

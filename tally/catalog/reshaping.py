@@ -142,7 +142,7 @@ def fan_out(spark, sf):
         "c_custkey", F.col("o_orderkey").alias("erste"))
     urgent = orders.filter("o_orderpriority = '1-URGENT'").select("c_custkey", F.col("o_orderkey").alias("dringend"))
     customers = table(spark, sf, "customer").select("c_custkey")
-    return customers.join(first, "c_custkey", "left").join(urgent, "c_custkey", "left")
+    return J.join_fan_out(customers.join(first, "c_custkey", "left"), urgent, "c_custkey")
 
 
 @query("j15_empty_results", """

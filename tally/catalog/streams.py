@@ -23,7 +23,7 @@ def weekly(spark, sf) -> DataFrame:
     # every user appears in every snapshot, also in weeks without events
     grid = totals.select("user_id", "stimmbezirke", F.explode(weeks).alias("week"))
     filled = grid.join(counts, ["user_id", "week"], "left")
-    seen = running(filled, {"gezaehlt": F.coalesce("n", F.lit(0))}, ["user_id"], ["week"])
+    seen = running(filled, {"gezaehlt": F.coalesce("n", F.lit(0))}, ["user_id"], ["week"], small_groups=True)
     return seen.select(
         F.col("user_id").cast("string").alias("area_key"), F.lit("VF").alias("gebietstyp"), "stimmbezirke", "gezaehlt",
         (F.col("week") + F.expr("INTERVAL 7 DAYS")).alias("snapshot_ts"))
@@ -95,8 +95,8 @@ SELECT o_orderpriority, strftime(tag, '%Y-%m-%d') AS tag, gezaehlt,
 def progress_delta(spark, sf):
     daily = table(spark, sf, "orders").groupBy("o_orderpriority", F.col("o_orderdate").alias("snapshot_ts")).agg(
         F.count(F.lit(1)).alias("n"))
-    totals = running(daily, {"gezaehlt": F.col("n")}, ["o_orderpriority"], ["snapshot_ts"], F.year("snapshot_ts"))
-    out = S.progress_delta(totals.drop("n"), ["o_orderpriority"], chunk=F.year("snapshot_ts"))
+    totals = running(daily, {"gezaehlt": F.col("n")}, ["o_orderpriority"], ["snapshot_ts"])
+    out = S.progress_delta(totals.drop("n"), ["o_orderpriority"])
     return out.select("o_orderpriority", F.date_format("snapshot_ts", "yyyy-MM-dd").alias("tag"), "gezaehlt", "neu")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.measures import density
 from tally.functions.text import is_postal
+from tally.operators.windows import join_same
 
 
 def volatility(change: Column) -> Column:
@@ -133,4 +134,4 @@ def group_size(df: DataFrame, keys: Sequence[str], into: str = "anzahl") -> Data
     one task as a window would.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(into))
-    return df.join(sizes, list(keys), "left")
+    return join_same(df, sizes, keys)

@@ -2,37 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _children(value: Column, path: Column, name: Column) -> Column:
+    """Entries of an object or elements of an array; none of a scalar."""
+    fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    items = F.try_variant_get(value, "$", "array<variant>")
+    place = F.when(path == "", F.lit("")).otherwise(F.concat(path, F.lit("/")))
+    of_fields = F.transform(fields, lambda e: F.struct(
+        F.concat(place, e["key"]).alias("path"), e["key"].alias("name"), e["value"].alias("v"), F.lit(True).alias("new")))
+    of_items = F.transform(items, lambda e, i: F.struct(
+        F.concat(place, i.cast("string")).alias("path"), name.alias("name"), e.alias("v"), F.lit(True).alias("new")))
+    none = F.array().cast("array<struct<path:string,name:string,v:variant,new:boolean>>")
+    return F.coalesce(of_fields, of_items, none)
+
+
 def flatten_json(df: DataFrame, doc: str, depth: int = 4) -> DataFrame:
-    """List all keys of a column of JSON texts: ``name, type, value`` rows.
+    """List all keys of a column of JSON texts: ``path, name, type, value`` rows.
 
     A nested object gives a row with an empty value and then its own keys; the
-    elements of an array carry the array's key. ``path`` tells the place. What lies
-    deeper than ``depth`` is kept whole as JSON text in one row.
+    elements of an array carry the array's key. What lies deeper than ``depth`` is
+    kept whole as JSON text in one row. One pass over the table, no shuffle: every
+    step puts the entries of the newest rows behind them.
     """
-    spark = df.sparkSession
     ids = [c for c in df.columns if c != doc]
-    level = df.select(*ids, F.lit("").alias("path"), F.lit("").alias("name"),
-                      F.try_parse_json(F.col(doc)).alias("_v"))
-    out = None
-    for step in range(depth):
-        entries = level.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(
-            *ids,
-            F.concat_ws("/", F.nullif(F.col("path"), F.lit("")),
-                        F.coalesce(F.col("key"), F.col("pos").cast("string"))).alias("path"),
-            F.coalesce(F.col("key"), F.col("name")).alias("name"),
-            F.col("value").alias("_v"),
-        )
-        kind = F.schema_of_variant("_v")
-        entries = entries.withColumn("type", kind)
-        nested = F.col("type").startswith("OBJECT") | F.col("type").startswith("ARRAY")
-        last = step == depth - 1
-        text = F.when(nested & F.lit(not last), F.lit("")).otherwise(
-            F.coalesce(F.try_variant_get("_v", "$", "string"), F.to_json("_v")))
-        rows = entries.select(*ids, "path", "name", "type", text.alias("value"))
-        out = rows if out is None else out.unionByName(rows)
-        level = entries.filter(nested).select(*ids, "path", "name", "_v")
-    return out
+    rows = df.select(*ids, F.lit("").alias("path"), F.lit(None).cast("string").alias("name"),
+                     F.try_parse_json(F.col(doc)).alias("v"), F.lit(True).alias("new"))
+    for _ in range(depth):
+        own = F.array(F.struct("path", "name", "v", F.lit(False).alias("new")))
+        below = F.when(F.col("new"), _children(F.col("v"), F.col("path"), F.col("name")))
+        rows = rows.select(*ids, F.inline(F.concat(own, F.coalesce(below, F.slice(own.cast(
+            "array<struct<path:string,name:string,v:variant,new:boolean>>"), 1, 0)))))
+    kind = F.schema_of_variant("v")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    # rows still marked as new are the deepest: their content stays with them
+    text = F.when(nested & ~F.col("new"), F.lit("")).otherwise(
+        F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v")))
+    return rows.filter("path <> ''").select(*ids, "path", "name", kind.alias("type"), text.alias("value"))

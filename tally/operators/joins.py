@@ -86,6 +86,16 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def join_fan_out(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Left join to a table with many rows per key.
+
+    Written as inner join plus the rows without partner: Spark can split a hot key on
+    either side of an inner join, but not on the right side of a left join.
+    """
+    matched = left.join(right, on, "inner")
+    return matched.unionByName(drop_listed(left, right, on), allowMissingColumns=True)
+
+
 def distinct_keys(key: str, *tables: DataFrame) -> DataFrame:
     """All keys that occur in any of the tables, once."""
     return union_all(*[t.select(key) for t in tables]).distinct()

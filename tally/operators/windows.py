@@ -1,22 +1,25 @@
 """Row-order operators that keep working when one group holds much of the table.
 
 A plain window sorts a whole group in one task. That is right for a ballot (some
-dozens of rows). For long histories pass ``chunk``: a column that never decreases in
-the order of the rows, such as the day of the timestamp or ``row_pos div 100000``.
-Windows then run per (group, chunk); what crosses a chunk border is carried by an
-aggregate with one row per chunk.
+dozens of rows): pass ``small_groups=True``. Otherwise groups with many rows are cut
+into chunks along the first order column. Windows then run per (group, chunk), and
+what crosses a chunk border is carried by an aggregate with one row per chunk. With
+N rows, groups above sqrt(N) rows are cut into pieces of about that size, so neither
+a chunk nor the table of chunks grows large.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.session import store
 
-_CHUNK = "_chunk"
+_CHUNK, _HOT = "_chunk", "_hot"
 
 
 def _window(part: Sequence[str], order: Sequence[str]):
@@ -27,25 +30,77 @@ def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where null equals null; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _place(df: DataFrame, column: str) -> Column:
+    """The order column as a number that rises with it (times to the second)."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        days = F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("bigint")
+        if isinstance(kind, T.DateType):
+            return days
+        return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    raise TypeError(f"{column}: groups are cut along a number, date or time, not {kind.simpleString()}")
+
+
+def hot_groups(df: DataFrame, part: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> DataFrame:
+    """Groups above ``max_rows`` rows with the start and width of their chunks.
+
+    At most N / ``max_rows`` rows; stored, so that no later step repeats the count.
+    Chunks are equally wide: a hot group must not sit at one point of the order column.
+    """
+    limit = F.lit(max_rows) if max_rows else df.agg(F.ceil(F.sqrt(F.count(F.lit(1))))).scalar()
+    place = _place(df, order[0])
+    spans = df.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
+    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / limit), F.lit(1e-9))
+    return store(spans.filter(F.col("_n") > limit).select(*part, "_lo", width.alias("_width")), "cuts")
+
+
+def with_chunks(df: DataFrame, hot: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_hot`` and the number ``_chunk``, which rises with the order; 0 in groups that stay whole."""
+    if part:
+        df = join_same(df, hot, part)
+    else:
+        df = df.withColumn("_cut", hot.select(F.struct("_lo", "_width")).scalar())
+        df = df.withColumns({c: F.col("_cut")[c] for c in ("_lo", "_width")}).drop("_cut")
+    place = _place(df, order[0])
+    # rows without a place come first, as nulls do in the order
+    chunk = F.coalesce(F.floor((place - F.col("_lo")) / F.col("_width")), F.lit(-1)).cast("bigint")
+    is_hot = F.col("_width").isNotNull()
+    return df.withColumns({
+        _HOT: is_hot, _CHUNK: F.when(is_hot, chunk).otherwise(F.lit(0).cast("bigint")),
+    }).drop("_lo", "_width")
+
+
 def _with_carry(df: DataFrame, part: Sequence[str], per_chunk: Mapping[str, Column],
                 carried: Mapping[str, Column]) -> DataFrame:
-    """Join to each row what the earlier (or later) chunks of its group hand over.
+    """Join to the rows of cut groups what the earlier (or later) chunks hand over.
 
     ``per_chunk`` aggregates each (group, chunk); ``carried`` are window expressions
-    over those aggregates in chunk order.
+    over those aggregates in chunk order. The result, one row per chunk, is stored:
+    operators can follow each other without their plans multiplying.
     """
-    sums = df.groupBy(*part, _CHUNK).agg(*[e.alias(n) for n, e in per_chunk.items()])
+    sums = df.filter(F.col(_HOT)).groupBy(*part, _CHUNK).agg(*[e.alias(n) for n, e in per_chunk.items()])
     carry = sums.select(*part, _CHUNK, *[e.alias(n) for n, e in carried.items()])
-    return df.join(carry, [*part, _CHUNK], "left")
+    return join_same(df, store(carry, "carry"), [*part, _CHUNK])
 
 
 def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequence[str],
-         chunk: Column | None = None) -> DataFrame:
+         small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Last observation carried forward; leading nulls stay null."""
-    if chunk is None:
+    hot = None if small_groups else hot_groups(df, part, order, max_rows)
+    if hot is None or hot.isEmpty():
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    df = df.withColumn(_CHUNK, chunk)
+    df = with_chunks(df, hot, part, order)
     before = _window(part, [_CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
     key = _order_key(order)
     out = _with_carry(
@@ -57,15 +112,16 @@ def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequenc
     out = out.withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_carry_{c}")) for c in cols
     })
-    return out.drop(_CHUNK, *[f"_carry_{c}" for c in cols])
+    return out.drop(_CHUNK, _HOT, *[f"_carry_{c}" for c in cols])
 
 
 def _shifted(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-             chunk: Column | None, back: bool) -> DataFrame:
+             small_groups: bool, max_rows: int | None, back: bool) -> DataFrame:
     shift = F.lag if back else F.lead
-    if chunk is None:
+    hot = None if small_groups else hot_groups(df, part, order, max_rows)
+    if hot is None or hot.isEmpty():
         return df.withColumns({new: shift(c).over(_window(part, order)) for new, c in cols.items()})
-    df = df.withColumn(_CHUNK, chunk)
+    df = with_chunks(df, hot, part, order)
     pick = F.max_by if back else F.min_by
     edge = F.struct(*[F.col(c).alias(new) for new, c in cols.items()])
     out = _with_carry(
@@ -74,43 +130,43 @@ def _shifted(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order:
         {"_carry": shift("_edge").over(_window(part, [_CHUNK]))},
     )
     inner = _window([*part, _CHUNK], order)
-    # a row number from the near end tells border rows from rows with a null neighbour
-    near = F.lag(F.lit(1)).over(inner) if back else F.lead(F.lit(1)).over(inner)
-    out = out.withColumn("_inside", near)
+    # a neighbour inside the chunk, even one with a null value, beats the carried one
+    out = out.withColumn("_inside", shift(F.lit(1)).over(inner))
     out = out.withColumns({
         new: F.when(F.col("_inside").isNotNull(), shift(c).over(inner)).otherwise(F.col("_carry")[new])
         for new, c in cols.items()
     })
-    return out.drop(_CHUNK, "_carry", "_inside")
+    return out.drop(_CHUNK, _HOT, "_carry", "_inside")
 
 
 def previous(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-             chunk: Column | None = None) -> DataFrame:
+             small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Add values of the previous row: new name -> source column."""
-    return _shifted(df, cols, part, order, chunk, back=True)
+    return _shifted(df, cols, part, order, small_groups, max_rows, back=True)
 
 
 def following(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-              chunk: Column | None = None) -> DataFrame:
+              small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Add values of the next row: new name -> source column."""
-    return _shifted(df, cols, part, order, chunk, back=False)
+    return _shifted(df, cols, part, order, small_groups, max_rows, back=False)
 
 
 def step_fill(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequence[str],
-              chunk: Column | None = None) -> DataFrame:
+              small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Fill a null from the row just before (one step only, from the original values)."""
-    out = previous(df, {f"_prev_{c}": c for c in cols}, part, order, chunk)
+    out = previous(df, {f"_prev_{c}": c for c in cols}, part, order, small_groups, max_rows)
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_prev_{c}")) for c in cols})
     return out.drop(*[f"_prev_{c}" for c in cols])
 
 
 def running(df: DataFrame, sums: Mapping[str, Column], part: Sequence[str], order: Sequence[str],
-            chunk: Column | None = None) -> DataFrame:
+            small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Running sums within each group: new name -> summed column."""
-    if chunk is None:
+    hot = None if small_groups else hot_groups(df, part, order, max_rows)
+    if hot is None or hot.isEmpty():
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-    df = df.withColumn(_CHUNK, chunk)
+    df = with_chunks(df, hot, part, order)
     before = _window(part, [_CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
     out = _with_carry(
         df, part,
@@ -118,20 +174,24 @@ def running(df: DataFrame, sums: Mapping[str, Column], part: Sequence[str], orde
         {f"_carry_{n}": F.sum(f"_sum_{n}").over(before) for n in sums},
     )
     w = _window([*part, _CHUNK], order).rowsBetween(Window.unboundedPreceding, 0)
-    out = out.withColumns({n: F.sum(c).over(w) + F.coalesce(F.col(f"_carry_{n}"), F.lit(0)) for n, c in sums.items()})
-    return out.drop(_CHUNK, *[f"_carry_{n}" for n in sums])
+    # a sum over nulls only is null; either part may be
+    inner = {n: F.sum(c).over(w) for n, c in sums.items()}
+    out = out.withColumns({
+        n: F.coalesce(e + F.col(f"_carry_{n}"), e, F.col(f"_carry_{n}")) for n, e in inner.items()
+    })
+    return out.drop(_CHUNK, _HOT, *[f"_carry_{n}" for n in sums])
 
 
-def numbered(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk: Column | None = None,
-             into: str = "row_num") -> DataFrame:
+def numbered(df: DataFrame, part: Sequence[str], order: Sequence[str], into: str = "row_num",
+             small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Number the rows of each group from 1."""
-    return running(df, {into: F.lit(1).cast("bigint")}, part, order, chunk)
+    return running(df, {into: F.lit(1).cast("bigint")}, part, order, small_groups, max_rows)
 
 
 def drop_leading(df: DataFrame, n: int, part: Sequence[str], order: Sequence[str],
-                 chunk: Column | None = None) -> DataFrame:
+                 small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """All rows of each group but its first ``n``."""
-    return numbered(df, part, order, chunk, "_num").filter(F.col("_num") > n).drop("_num")
+    return numbered(df, part, order, "_num", small_groups, max_rows).filter(F.col("_num") > n).drop("_num")
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], into: str = "rank_all") -> DataFrame:

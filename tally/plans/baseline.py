@@ -81,10 +81,9 @@ def baseline_state(history: DataFrame, parties: Sequence[str]) -> DataFrame:
     return long.withColumn("prozent", baseline_share_pct(F.col("stimmen"), F.col("gueltig")))
 
 
-def filled_sheet(sheet: DataFrame, header: Sequence[str], marker: str, order: str = "row_pos",
-                 chunk: Column | None = None) -> DataFrame:
+def filled_sheet(sheet: DataFrame, header: Sequence[str], marker: str, order: str = "row_pos") -> DataFrame:
     """A sheet whose header cells apply to the rows below: fill down, drop rows without ``marker``."""
-    return locf(sheet, header, [], [order], chunk).filter(F.col(marker).isNotNull())
+    return locf(sheet, header, [], [order]).filter(F.col(marker).isNotNull())
 
 
 def composite_baseline(rebased: DataFrame, originals: DataFrame, unchanged: DataFrame, counts: Sequence[str],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.measures import density, runner_up
@@ -68,8 +68,7 @@ def with_chart_ids(index: DataFrame, registry: DataFrame, key: str) -> DataFrame
     return index
 
 
-def previous_winners(sheet: DataFrame, constituencies: DataFrame, order: str = "row_pos",
-                     chunk: Column | None = None) -> DataFrame:
+def previous_winners(sheet: DataFrame, constituencies: DataFrame, order: str = "row_pos") -> DataFrame:
     """Winners and successors from a sheet in which a successor row follows its winner.
 
     A row without constituency is a successor; the row before it left office. Empty
@@ -77,9 +76,9 @@ def previous_winners(sheet: DataFrame, constituencies: DataFrame, order: str = "
     are joined.
     """
     marked = sheet.withColumn("nachruecker", F.col("wk").isNull())
-    led = following(marked, {"ausgeschieden": "nachruecker"}, [], [order], chunk)
+    led = following(marked, {"ausgeschieden": "nachruecker"}, [], [order])
     cols = [c for c in led.columns if c not in (order, "nachruecker")]
-    filled = step_fill(led, cols, [], [order], chunk)
+    filled = step_fill(led, cols, [], [order])
     second = runner_up(F.col("stimmen"), F.col("prozent"), F.col("vorsprung"))
     out = filled.withColumns(second).withColumns(parse_person_name(F.col("full_name")))
     names = constituencies.select("wk", F.col("wk_name").alias("_clean"))

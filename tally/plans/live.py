@@ -86,7 +86,7 @@ def _constituency_votes(live: DataFrame, suffix: str, parties: Sequence[str], ba
     joined = votes.join(baseline.select("wk", "partei", *AREA_BASELINE, *PARTY_BASELINE), ["wk", "partei"], "left")
     # a constituency's rows are one ballot, so its window stays small
     part = ["wk", *([c for c in ("snapshot_ts",) if c in votes.columns])]
-    filled = zero_fill(locf(joined, AREA_BASELINE, part, ["ballot_pos"]), PARTY_BASELINE)
+    filled = zero_fill(locf(joined, AREA_BASELINE, part, ["ballot_pos"], small_groups=True), PARTY_BASELINE)
     return filled.withColumn("differenz", diff_pp(F.col("prozent"), F.col("prozent_2018"), guard))
 
 

@@ -93,9 +93,9 @@ def run_newly_completed(stream: DataFrame, initial: DataFrame, folder: str, key:
 
 
 def progress_delta(totals: DataFrame, part: Sequence[str] = (), counted: str = "gezaehlt",
-                   ts: str = "snapshot_ts", chunk: Column | None = None) -> DataFrame:
+                   ts: str = "snapshot_ts") -> DataFrame:
     """Add ``neu``: precincts counted since the snapshot before (all of them at first)."""
-    out = previous(totals, {"_before": counted}, list(part), [ts], chunk)
+    out = previous(totals, {"_before": counted}, list(part), [ts])
     return out.withColumn("neu", F.col(counted) - F.coalesce("_before", F.lit(0))).drop("_before")
 
 
