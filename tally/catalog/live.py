@@ -138,6 +138,11 @@ def direct_baseline(spark, sf):
     return B.baseline_constituency(star.composite(spark, sf, DIRECT_SUFFIX), changed, BASE_BRANDS)
 
 
+def state_baseline(spark, sf):
+    return B.baseline_state(star.history(spark, sf, LIST_SUFFIX), BASE_TYPES).select(
+        "wk", "partei", F.col("prozent").alias("prozent_2018"))
+
+
 def list_baseline(spark, sf):
     changed = B.changed_constituencies(star.gained(spark, sf), star.lost(spark, sf))
     return B.baseline_constituency(star.composite(spark, sf, LIST_SUFFIX), changed, BASE_TYPES)
@@ -161,9 +166,7 @@ def candidates(spark, sf):
 
 @query("l01_state_list_votes", STATE_LIST_SQL + RESULT)
 def state_list_votes(spark, sf):
-    then = B.baseline_state(star.history(spark, sf, LIST_SUFFIX), BASE_TYPES).select(
-        "wk", "partei", F.col("prozent").alias("prozent_2018"))
-    return L.state_list_votes(star.feed(spark, sf), TYPES, then, KEY_SHAPE)
+    return L.state_list_votes(star.feed(spark, sf), TYPES, state_baseline(spark, sf), KEY_SHAPE)
 
 
 @query("l02_constituency_direct_votes", DIRECT_SQL + RESULT)

@@ -9,10 +9,12 @@ from tally.catalog.live import OVERRIDES, long_sql
 from tally.catalog.registry import FEED_SQL, query
 from tally.functions import notes as N
 from tally.plans import analysis as A
+from tally.plans.cycle import Election, run_cycle
 from tally.plans import dimensions as D
 from tally.plans import outputs as O
 from tally.plans import projection as P
 from tally.plans import star
+from tally.session import shared_folder, store
 from tally.plans.star import BASE_BRANDS, BASE_TYPES, BRANDS, KEY_SHAPE, TYPES, table
 from tally.functions.numbers import zero_pad
 from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
@@ -37,7 +39,9 @@ def type_parties(spark, sf):
 
 
 def municipality_results(spark, sf):
-    return A.party_results(V.municipality_list_votes(spark, sf), type_parties(spark, sf), ["ags", "g_name", "wk"])
+    """Stored, as the rankings read it from both ends."""
+    votes = V.municipality_list_votes(spark, sf)
+    return store(A.party_results(votes, type_parties(spark, sf), ["ags", "g_name", "wk"]), "results")
 
 
 # --- analyses ---
@@ -71,7 +75,7 @@ m AS (SELECT wk, wk_name, wahlbeteiligung, partei, prozent, differenz FROM ergeb
       WHERE partei IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO'))""" + _extremes_sql("prozent", "wk", 5) + " SELECT * FROM x")
 def constituency_strongholds(spark, sf):
     votes = V.constituency_list_votes(spark, sf)
-    return A.strongholds(A.party_results(votes, type_parties(spark, sf), ["wk", "wk_name"]), "wk")
+    return A.strongholds(store(A.party_results(votes, type_parties(spark, sf), ["wk", "wk_name"]), "results"), "wk")
 
 
 _VOLATILITY = "round(sum(abs({d})) / 2, 6) AS volatilitaet"
@@ -98,7 +102,10 @@ _WIDE = ", ".join(f"max(CASE WHEN partei = '{t}' THEN {v} END) AS \"{v}_{t}\"" f
 vol AS (SELECT ags, {_VOLATILITY.format(d='differenz')} FROM ergebnis GROUP BY ags)
 SELECT '06' || ags AS ags, g_name, wk, wahlbeteiligung, volatilitaet, {_WIDE} FROM m JOIN vol USING (ags) GROUP BY ALL""")
 def choropleth_wide(spark, sf):
-    return A.choropleth_wide(municipality_results(spark, sf), volatility_municipality(spark, sf), MAIN)
+    votes = store(V.municipality_list_votes(spark, sf), "long")
+    results = A.party_results(votes, type_parties(spark, sf), ["ags", "g_name", "wk"])
+    volatility = A.volatility_municipality(votes).withColumn("volatilitaet", F.round("volatilitaet", 6))
+    return A.choropleth_wide(results, volatility, MAIN)
 
 
 # --- published tables ---
@@ -266,6 +273,34 @@ def result_links(spark, sf):
     return D.result_links(areas, "wk", "https://example.org/", "wahlkreis-wk", 3)
 
 
+# --- a whole cycle ---
+
+
+def election(spark, sf) -> Election:
+    """Dimensions and baselines of the derived feed, stored once as for a counting night."""
+    kept = {
+        "candidates": V.candidates(spark, sf), "listed": type_parties(spark, sf),
+        "names": star.municipality_names(spark, sf), "registry": registry(spark, sf),
+        "state_baseline": V.state_baseline(spark, sf),
+        "constituency_direct_baseline": V.direct_baseline(spark, sf),
+        "constituency_list_baseline": V.list_baseline(spark, sf),
+        "municipality_direct_baseline": V.municipality_baseline(spark, sf, DIRECT_SUFFIX, BRANDS),
+        "municipality_list_baseline": V.municipality_baseline(spark, sf, LIST_SUFFIX, TYPES),
+    }
+    return Election(BRANDS, TYPES, BASE_BRANDS, BASE_TYPES, overrides=OVERRIDES, shape=KEY_SHAPE,
+                    **{k: store(t, k) for k, t in kept.items()})
+
+
+@query("e01_snapshot_cycle", V.MUNICIPALITY_LIST_SQL + f"""
+SELECT 'g06' || ags || '_landesstimmen' AS fname, ballot_pos AS zeile, partei, stimmen, wk, {_delta(None)} AS prozent
+FROM ergebnis WHERE partei IN {V._in(MAIN)}""")
+def snapshot_cycle(spark, sf):
+    """The whole cycle; shown are the published list-vote rows of all municipalities and cities."""
+    folder = shared_folder(spark, "cycle")
+    run_cycle(spark, star.feed(spark, sf), election(spark, sf), folder, snapshot_time(), IMPRINT, area_files=False)
+    return spark.read.parquet(f"{folder}/tabellen/gemeinden_landesstimmen")
+
+
 # --- projection ---
 
 FACTOR = 0.6
@@ -298,8 +333,8 @@ SELECT *, CAST("Wählerinnen und Wähler" AS DOUBLE) / nullif("Wahlberechtigte",
 @query("l18_scaled_snapshot", _scaled_sql())
 def scaled_snapshot(spark, sf):
     key = "Gebietsschlüssel"
-    template = star.feed(spark, sf).select(key, "Gebietsbezeichnung", "Gebietstyp", P.TOTAL).withColumn("area", F.col(key))
-    then = star.area_counts(spark, sf, present=False).withColumn("area", F.col(key))
+    template = store(star.feed(spark, sf).select(key, "Gebietsbezeichnung", "Gebietstyp", P.TOTAL, F.col(key).alias("area")), "template")
+    then = store(star.area_counts(spark, sf, present=False).withColumn("area", F.col(key)), "then")
     totals = then.select(
         "area", F.col("wahlberechtigt").alias("wahlberechtigte_2018"), F.col("waehler").alias("waehler_2018"),
         F.expr("waehler div 10").alias("wahlschein_2018"), F.col("ungueltig_d").alias("ungueltig_2018"),

@@ -67,9 +67,10 @@ def joined_labels(label: Column, separator: str = " ") -> Column:
     return F.array_join(F.array_sort(F.collect_set(label)), separator)
 
 
-def ordered_labels(order: Column, label: Column, separator: str = ", ") -> Column:
-    """All labels of one ballot, joined in the given order."""
-    rows = F.array_sort(F.collect_list(F.struct(order.alias("o"), label.alias("l"))))
+def ordered_labels(order: Column, label: Column, separator: str = ", ", where: Column | None = None) -> Column:
+    """All labels (or those of the rows ``where``) of one ballot, joined in the given order."""
+    row = F.struct(order.alias("o"), label.alias("l"))
+    rows = F.array_sort(F.collect_list(row if where is None else F.when(where, row)))
     return F.array_join(F.transform(rows, lambda r: r["l"]), separator)
 
 

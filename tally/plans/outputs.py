@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions import notes as N
 from tally.operators.aggregates import ordered_labels
 from tally.operators.joins import keep_listed, with_output_name
-from tally.operators.ranking import remainder, top_n
+from tally.operators.ranking import top_n
 from tally.sources.sinks import area_document
 
 #: Figures that are the same on every row of an area.
@@ -75,19 +75,9 @@ def state_table(votes: DataFrame) -> DataFrame:
         N.state_delta(F.col("prozent"), F.col("prozent_2018")).alias("plusminus"))
 
 
-def others(votes: DataFrame, part: Sequence[str], known: Sequence[str] | None, n: int = 5) -> DataFrame:
-    """Per area one text with the candidates after the leading ones: ``name: share, …``."""
-    order = [F.col("prozent").desc_nulls_last(), F.col("ballot_pos").asc()]
-    rest = remainder(votes, part, ["ballot_pos"], order, n)
-    label = F.concat("name", F.lit(": "), N.share_delta(F.col("prozent"), F.col("differenz"), comparable(known), "%"))
-    # struct sorts ascending: highest share first
-    rank = F.struct(-F.coalesce("prozent", F.lit(-1.0)), F.col("ballot_pos"))
-    return rest.groupBy(*part).agg(ordered_labels(rank, label).alias("weitere"))
-
-
-def _figures(votes: DataFrame, part: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+def _figures(votes: DataFrame, part: Sequence[str], attrs: Sequence[str], *extra: Column) -> DataFrame:
     """One row per area with the figures its texts need."""
-    return votes.groupBy(*part).agg(*[F.max(c).alias(c) for c in (*FIGURES, *attrs)])
+    return votes.groupBy(*part).agg(*[F.max(c).alias(c) for c in (*FIGURES, *attrs)], *extra)
 
 
 def _named(areas: DataFrame) -> DataFrame:
@@ -112,7 +102,15 @@ def _texts(areas: DataFrame, title: Column, intro: Column, before: Sequence[Colu
 
 def constituency_direct_texts(votes: DataFrame, known: Sequence[str] | None, ts: Column,
                               imprint: Imprint, n: int = 5) -> DataFrame:
-    areas = _figures(votes, ["wk"], ["wk_name", "veraendert"]).join(others(votes, ["wk"], known, n), "wk", "left")
+    """Texts with the candidates after the leading ``n``: ``name: share, …``.
+
+    A constituency's rows are one ballot, so it is ranked and joined in one window.
+    """
+    order = [F.col("prozent").desc_nulls_last(), F.col("ballot_pos").asc()]
+    ranked = votes.withColumn("_rank", F.row_number().over(Window.partitionBy("wk").orderBy(*order)))
+    label = F.concat("name", F.lit(": "), N.share_delta(F.col("prozent"), F.col("differenz"), comparable(known), "%"))
+    rest = ordered_labels(F.col("_rank"), label, where=F.col("_rank") > n).alias("weitere")
+    areas = _figures(ranked, ["wk"], ["wk_name", "veraendert"], rest)
     title = F.concat(F.lit(N.CONSTITUENCY), F.col("wk").cast("string"), F.lit(" - "), "wk_name", F.lit(N.DIRECT_TITLE))
     before = [N.others_text(F.col("weitere")), N.boundary_remark(F.col("veraendert"))]
     return _texts(areas, title, F.lit(N.INTRO_CONSTITUENCY_DIRECT + N.ROUNDED), before, ts, imprint)
@@ -146,6 +144,16 @@ def state_list_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> DataFram
     return _texts(areas, title, F.lit(N.INTRO_STATE_LIST), [F.lit(N.STATE_BALLOT_ORDER)], ts, imprint)
 
 
+def named_texts(texts: DataFrame, registry: DataFrame, table: str) -> DataFrame:
+    """Add the output name of each area's text; ``table`` is like ``kreise_direkt``."""
+    level, kind = table.split("_")
+    if level == "kreise":
+        key, types = F.lpad(F.col("wk").cast("string"), 3, "0"), ["w"]
+    else:
+        key, types = F.col("ags"), ["g", "s"]
+    return with_output_name(texts.withColumn("_id", key), registry, "_id", kind, types)
+
+
 def documents(texts: DataFrame, imprint: Imprint) -> DataFrame:
     """Add the JSON document made of title, intro, notes and imprint."""
     return texts.withColumn("document", area_document(
