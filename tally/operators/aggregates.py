@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.measures import density
 from tally.functions.text import is_postal
+from tally.operators.cleaning import tick
 from tally.operators.windows import join_same
 
 
@@ -95,14 +96,15 @@ def merge_entities(df: DataFrame, crosswalk: DataFrame, key: str, sums: Sequence
     """
     mapped = df.join(crosswalk.select(key, "new_key"), key, "left")
     mapped = mapped.withColumn(key, F.coalesce("new_key", key))
-    out = mapped.groupBy(key).agg(*[F.min(c).alias(c) for c in first], *[F.sum(c).alias(c) for c in sums])
+    out = mapped.groupBy(key).agg(*[F.min(c).alias(c) for c in first],
+                                  *[F.expr(f"sum({tick(c)}) AS {tick(c)}") for c in sums])
     return out.withColumns(dict(ratios)) if ratios else out
 
 
 def roll_up(df: DataFrame, keys: Sequence[str], counts: Sequence[str],
             ratios: Mapping[str, Column] | None = None) -> DataFrame:
     """Sum counts to a higher level (no keys: the whole); ratios are computed again."""
-    out = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+    out = df.groupBy(*keys).agg(*[F.expr(f"sum({tick(c)}) AS {tick(c)}") for c in counts])
     return out.withColumns(dict(ratios)) if ratios else out
 
 

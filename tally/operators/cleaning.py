@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from tally.functions.numbers import parse_de_number, sentinel_to_null
 
 
+def tick(name: str) -> str:
+    """A name quoted for SQL expressions, dots and blanks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its exact name, dots and blanks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its exact name."""
+    return F.col(tick(name))
 
 
 def measure_columns(df: DataFrame, suffix: str, parties: Iterable[str] | None = None) -> dict[str, str]:
@@ -32,11 +37,11 @@ def measure_columns(df: DataFrame, suffix: str, parties: Iterable[str] | None =
 
 
 def select_measures(
-    df: DataFrame, fixed: Mapping[str, str | Column], suffix: str, parties: Iterable[str] | None = None
+    df: DataFrame, fixed: Mapping[str, str], suffix: str, parties: Iterable[str] | None = None
 ) -> DataFrame:
     """Project to renamed identity columns plus the party columns of one vote type."""
-    ids = [(quoted(src) if isinstance(src, str) else src).alias(new) for new, src in fixed.items()]
-    return df.select(*ids, *[quoted(c).alias(p) for c, p in measure_columns(df, suffix, parties).items()])
+    names = {**{src: new for new, src in fixed.items()}, **measure_columns(df, suffix, parties)}
+    return df.selectExpr(*[f"{tick(src)} AS {tick(new)}" for src, new in names.items()])
 
 
 def measure_index(df: DataFrame, suffix: str, standing: DataFrame | None = None, on: str = "partei") -> DataFrame:
@@ -90,13 +95,13 @@ def collapse_columns(df: DataFrame, cols: Sequence[str], into: str) -> DataFrame
     total = quoted(cols[0])
     for c in cols[1:]:
         total = total + quoted(c)
-    kept = [quoted(c) for c in df.columns if c not in cols]
+    kept = [tick(c) for c in df.columns if c not in cols]
     return df.select(*kept, total.alias(into))
 
 
 def move_first(df: DataFrame, *cols: str) -> DataFrame:
     """Reorder columns: the named ones first, the rest in their old order."""
-    return df.select(*[quoted(c) for c in cols], *[quoted(c) for c in df.columns if c not in cols])
+    return df.select(*[tick(c) for c in cols], *[tick(c) for c in df.columns if c not in cols])
 
 
 def pending_areas(df: DataFrame, area_type: str = "VF") -> DataFrame:

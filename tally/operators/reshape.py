@@ -7,7 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.cleaning import quoted
+from tally.operators.cleaning import tick
+
+
+def _text(value: str) -> str:
+    """Text for use inside an SQL string literal."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def unpivot_measures(
@@ -22,21 +27,19 @@ def unpivot_measures(
 
     A generator over one row: no shuffle, and the column order survives in ``position``.
     """
-    cells = F.array(*[
-        F.struct(F.lit(c).alias(name), F.lit(i).alias("_pos"), quoted(c).alias(value))
+    cells = [
+        f"named_struct('{name}', '{_text(c)}', '{position or '_pos'}', {i}, '{value}', {tick(c)})"
         for i, c in enumerate(cols, start=1)
-    ])
-    long = df.select(*[quoted(c) for c in ids], F.inline(cells))
-    if position is None:
-        return long.drop("_pos")
-    return long.withColumnRenamed("_pos", position)
+    ]
+    long = df.selectExpr(*[tick(c) for c in ids], f"inline(array({', '.join(cells)}))")
+    return long if position else long.drop("_pos")
 
 
 def pivot_measure(
     df: DataFrame, ids: Sequence[str], names: Sequence[str], name: str = "partei", value: str = "stimmen"
 ) -> DataFrame:
     """Long to wide for one value column. ``names`` fixes the columns, so no extra job runs."""
-    return df.groupBy(*[quoted(c) for c in ids]).pivot(name, list(names)).agg(F.first(value, ignorenulls=True))
+    return df.groupBy(*[tick(c) for c in ids]).pivot(name, list(names)).agg(F.first(value, ignorenulls=True))
 
 
 def pivot_measures(
@@ -48,9 +51,10 @@ def pivot_measures(
 ) -> DataFrame:
     """Long to wide for several value columns, named ``<value>_<name>``."""
     aggs = [
-        F.max(F.when(F.col(name) == n, F.col(v))).alias(f"{v}_{n}") for v in values for n in names
+        F.expr(f"max({tick(v)}) FILTER (WHERE {tick(name)} = '{_text(n)}') AS {tick(f'{v}_{n}')}")
+        for v in values for n in names
     ]
-    return df.groupBy(*[quoted(c) for c in ids]).agg(*aggs)
+    return df.groupBy(*[tick(c) for c in ids]).agg(*aggs)
 
 
 def colour_map(df: DataFrame, keys: Sequence[str], name: str, colour: str, into: str = "farben") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.measures import baseline_share_pct, invalid_pct, turnout_pct
 from tally.operators.aggregates import first_by, merge_entities
-from tally.operators.cleaning import clean_numbers, collapse_columns
+from tally.operators.cleaning import clean_numbers, collapse_columns, tick
 from tally.operators.joins import distinct_keys, flag_listed, patch_union
 from tally.operators.reshape import unpivot_measures
 from tally.operators.windows import locf
@@ -32,7 +32,7 @@ def baseline_constituency(composite: DataFrame, changed: DataFrame, parties: Seq
         F.col("gueltig").alias("gueltig_2018"),
         F.col("ungueltig").alias("ungueltig_2018"),
         "veraendert",
-        *[F.col(f"`{p}`") for p in parties],
+        *[tick(p) for p in parties],
     )
     keep = ["wk", "wahlberechtigte_2018", "waehler_2018", "gueltig_2018", "ungueltig_2018", "veraendert"]
     long = unpivot_measures(ids, keep, parties, value="stimmen_2018", position=None)

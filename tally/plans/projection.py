@@ -12,6 +12,7 @@ from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
 from tally.operators.aggregates import roll_up
 from tally.operators.cleaning import quoted
 from tally.operators.joins import union_all
+from tally.operators.reshape import pivot_measure
 from tally.sources.feed import INVALID, KEY, VALID
 
 ELIGIBLE, VOTERS, PROXY = "Wahlberechtigte", "Wählerinnen und Wähler", "Wählerinnen und Wähler mit Wahlschein"
@@ -21,8 +22,8 @@ EARLIER = ("wahlberechtigte_2018", "waehler_2018", "wahlschein_2018", "ungueltig
 
 def earlier_wide(long: DataFrame, key: str, suffix: str, parties: Sequence[str]) -> DataFrame:
     """Earlier votes, one row per area and one column per party of one vote type."""
-    sums = [F.sum(F.when(F.col("partei") == p, F.col("stimmen_2018"))).alias(p + suffix) for p in parties]
-    return long.groupBy(key).agg(*sums)
+    return pivot_measure(long.withColumn("partei", F.concat("partei", F.lit(suffix))), [key],
+                         [p + suffix for p in parties], value="stimmen_2018")
 
 
 def scaled_areas(template: DataFrame, key: str, totals: DataFrame, direct: DataFrame, lists: DataFrame,
@@ -55,8 +56,7 @@ def scaled_areas(template: DataFrame, key: str, totals: DataFrame, direct: DataF
 def scaled_state(constituencies: DataFrame, state: DataFrame) -> DataFrame:
     """The state row: counts summed over constituencies, turnout from the sums."""
     counts = [c for c, t in constituencies.dtypes if t == "bigint" and c != TOTAL]
-    sums = roll_up(constituencies, [], [f"`{c}`" for c in counts])
-    sums = sums.toDF(*counts).withColumn("Wahlbeteiligung", turnout_pct(F.col(VOTERS), F.col(ELIGIBLE)))
+    sums = roll_up(constituencies, [], counts).withColumn("Wahlbeteiligung", turnout_pct(F.col(VOTERS), F.col(ELIGIBLE)))
     total = sums.select(F.struct(*[quoted(c) for c in sums.columns])).scalar()
     row = state.select(KEY, "Gebietsbezeichnung", "Gebietstyp", TOTAL, total.alias("_sums"))
     return row.select(KEY, "Gebietsbezeichnung", "Gebietstyp", TOTAL, "_sums.*")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tally.functions.measures import turnout_pct
 from tally.functions.numbers import zero_pad
 from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
-from tally.operators.cleaning import quoted
+from tally.operators.cleaning import tick
 from tally.operators.joins import with_baseline
 from tally.operators.ranking import top_n
 from tally.sources.feed import INVALID, PERCENT, VALID
@@ -38,8 +38,15 @@ KEY_SHAPE = (3, 12)
 SUMS = ["wahlberechtigt", "waehler", "ungueltig_d", "gueltig_d", "ungueltig_l", "gueltig_l"]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def period(present: bool) -> Column:
@@ -49,21 +56,20 @@ def period(present: bool) -> Column:
 
 def _line_sums() -> list[Column]:
     """Counts of a group of lines: totals and votes by party and vote type."""
-    votes = F.col("l_quantity").cast("bigint")
-    kept, returned = F.col("l_returnflag") == "A", F.col("l_returnflag") == "R"
-    settled = F.col("l_linestatus") == "F"
-    valid_list = kept | (returned & ~settled)
-    out = {
-        "wahlberechtigt": votes,
-        "waehler": F.when(kept | returned, votes),
-        "ungueltig_d": F.when(returned, votes),
-        "gueltig_d": F.when(kept, votes),
-        "ungueltig_l": F.when(returned & settled, votes),
-        "gueltig_l": F.when(valid_list, votes),
-        **{b + DIRECT_SUFFIX: F.when(kept & (F.col("p_brand") == b), votes) for b in BRANDS},
-        **{t + LIST_SUFFIX: F.when(valid_list & (F.col("p_type") == t), votes) for t in TYPES},
+    votes = "CAST(l_quantity AS BIGINT)"
+    kept, returned, settled = "l_returnflag = 'A'", "l_returnflag = 'R'", "l_linestatus = 'F'"
+    valid_list = f"({kept} OR ({returned} AND NOT {settled}))"
+    rows = {
+        "wahlberechtigt": "true",
+        "waehler": f"({kept} OR {returned})",
+        "ungueltig_d": returned,
+        "gueltig_d": kept,
+        "ungueltig_l": f"({returned} AND {settled})",
+        "gueltig_l": valid_list,
+        **{b + DIRECT_SUFFIX: f"({kept} AND p_brand = '{b}')" for b in BRANDS},
+        **{t + LIST_SUFFIX: f"({valid_list} AND p_type = '{t}')" for t in TYPES},
     }
-    return [F.sum(c).alias(n) for n, c in out.items()]
+    return [F.expr(f"sum(CASE WHEN {when} THEN {votes} END) AS {tick(name)}") for name, when in rows.items()]
 
 
 VOTES = [b + DIRECT_SUFFIX for b in BRANDS] + [t + LIST_SUFFIX for t in TYPES]
@@ -112,9 +118,9 @@ def area_counts(spark: SparkSession, sf_dir: str, present: bool = True) -> DataF
     """All levels from one pass: customer rows fan out to their areas and are summed."""
     rows = customer_counts(spark, sf_dir, present)
     sums = ["stimmbezirke", "gezaehlt", *SUMS, *VOTES]
-    fanned = rows.select(F.inline(_levels()), *[quoted(c) for c in sums])
+    fanned = rows.select(F.inline(_levels()), *[tick(c) for c in sums])
     return fanned.groupBy("Gebietsschlüssel", "Gebietsbezeichnung", "Gebietstyp").agg(
-        *[F.sum(quoted(c)).alias(c) for c in sums])
+        *[F.expr(f"sum({tick(c)}) AS {tick(c)}") for c in sums])
 
 
 def feed(spark: SparkSession, sf_dir: str, present: bool = True) -> DataFrame:
@@ -134,7 +140,7 @@ def feed(spark: SparkSession, sf_dir: str, present: bool = True) -> DataFrame:
             cols[word + suffix] = F.col(source)
             cols[word + suffix + PERCENT] = F.try_divide(F.col(source), voters) * 100
     return areas.select("Gebietsschlüssel", "Gebietsbezeichnung", "Gebietstyp",
-                        *[c.alias(n) for n, c in cols.items()], *[quoted(v) for v in VOTES])
+                        *[c.alias(n) for n, c in cols.items()], *[tick(v) for v in VOTES])
 
 
 def history(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
@@ -156,7 +162,7 @@ def history(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
         "wahlberechtigt", "waehler",
         F.col(f"gueltig_{kind}").alias("gueltig"),
         F.col(f"ungueltig_{kind}").alias("ungueltig"),
-        *[quoted(p + suffix).alias(p) for p in parties],
+        *[F.expr(f"{tick(p + suffix)} AS {tick(p)}") for p in parties],
     )
 
 
