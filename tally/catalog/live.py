@@ -133,27 +133,27 @@ RESULT = " SELECT * FROM ergebnis"
 # --- inputs shared by the queries ---
 
 
-def direct_baseline(spark, sf):
+def direct_baseline(spark, sf, areas=None):
     changed = B.changed_constituencies(star.gained(spark, sf), star.lost(spark, sf))
-    return B.baseline_constituency(star.composite(spark, sf, DIRECT_SUFFIX), changed, BASE_BRANDS)
+    return B.baseline_constituency(star.composite(spark, sf, DIRECT_SUFFIX, areas), changed, BASE_BRANDS)
 
 
-def state_baseline(spark, sf):
-    return B.baseline_state(star.history(spark, sf, LIST_SUFFIX), BASE_TYPES).select(
+def state_baseline(spark, sf, areas=None):
+    return B.baseline_state(star.history(spark, sf, LIST_SUFFIX, areas), BASE_TYPES).select(
         "wk", "partei", F.col("prozent").alias("prozent_2018"))
 
 
-def list_baseline(spark, sf):
+def list_baseline(spark, sf, areas=None):
     changed = B.changed_constituencies(star.gained(spark, sf), star.lost(spark, sf))
-    return B.baseline_constituency(star.composite(spark, sf, LIST_SUFFIX), changed, BASE_TYPES)
+    return B.baseline_constituency(star.composite(spark, sf, LIST_SUFFIX, areas), changed, BASE_TYPES)
 
 
 def crosswalk(spark):
     return spark.createDataFrame(list(MERGED.items()), "ags string, new_key string")
 
 
-def municipality_baseline(spark, sf, suffix, parties):
-    return B.baseline_municipality(star.history(spark, sf, suffix), crosswalk(spark),
+def municipality_baseline(spark, sf, suffix, parties, areas=None):
+    return B.baseline_municipality(star.history(spark, sf, suffix, areas), crosswalk(spark),
                                    star.municipality_names(spark, sf), parties, KEY_SHAPE[1])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tally.catalog import live as V
@@ -14,7 +16,7 @@ from tally.plans import dimensions as D
 from tally.plans import outputs as O
 from tally.plans import projection as P
 from tally.plans import star
-from tally.session import shared_folder, store
+from tally.session import shared_folder, store, together
 from tally.plans.star import BASE_BRANDS, BASE_TYPES, BRANDS, KEY_SHAPE, TYPES, table
 from tally.functions.numbers import zero_pad
 from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
@@ -278,17 +280,18 @@ def result_links(spark, sf):
 
 def election(spark, sf) -> Election:
     """Dimensions and baselines of the derived feed, stored once as for a counting night."""
+    then = store(star.area_counts(spark, sf, present=False), "then")
     kept = {
         "candidates": V.candidates(spark, sf), "listed": type_parties(spark, sf),
         "names": star.municipality_names(spark, sf), "registry": registry(spark, sf),
-        "state_baseline": V.state_baseline(spark, sf),
-        "constituency_direct_baseline": V.direct_baseline(spark, sf),
-        "constituency_list_baseline": V.list_baseline(spark, sf),
-        "municipality_direct_baseline": V.municipality_baseline(spark, sf, DIRECT_SUFFIX, BRANDS),
-        "municipality_list_baseline": V.municipality_baseline(spark, sf, LIST_SUFFIX, TYPES),
+        "state_baseline": V.state_baseline(spark, sf, then),
+        "constituency_direct_baseline": V.direct_baseline(spark, sf, then),
+        "constituency_list_baseline": V.list_baseline(spark, sf, then),
+        "municipality_direct_baseline": V.municipality_baseline(spark, sf, DIRECT_SUFFIX, BRANDS, then),
+        "municipality_list_baseline": V.municipality_baseline(spark, sf, LIST_SUFFIX, TYPES, then),
     }
     return Election(BRANDS, TYPES, BASE_BRANDS, BASE_TYPES, overrides=OVERRIDES, shape=KEY_SHAPE,
-                    **{k: store(t, k) for k, t in kept.items()})
+                    **dict(zip(kept, together([partial(store, t, k) for k, t in kept.items()]))))
 
 
 @query("e01_snapshot_cycle", V.MUNICIPALITY_LIST_SQL + f"""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.plans import live as L
 from tally.plans import outputs as O
+from tally.session import together
 from tally.sources import sinks
 
 
@@ -85,18 +87,19 @@ def run_cycle(spark: SparkSession, snapshot: DataFrame, e: Election, folder: str
     runs with very many areas.
     """
     live = land(snapshot, folder)
-    stored = {}
-    for name, table in long_tables(live, e).items():
-        sinks.write_long_table(table, f"{folder}/lang/{name}")
-        stored[name] = spark.read.schema(table.schema).parquet(f"{folder}/lang/{name}")
+    tables = long_tables(live, e)
+    together([partial(sinks.write_long_table, t, f"{folder}/lang/{name}") for name, t in tables.items()])
+    stored = {name: spark.read.schema(t.schema).parquet(f"{folder}/lang/{name}") for name, t in tables.items()}
     rows, documents = published(stored, e, ts, imprint)
-    for name, table in rows.items():
-        if area_files:
-            sinks.write_area_tables(table, f"{folder}/tabellen/{name}", order=["zeile"])
-            sinks.write_area_documents(documents[name], f"{folder}/dokumente/{name}")
-        else:
-            sinks.write_long_table(table, f"{folder}/tabellen/{name}")
-            sinks.write_long_table(documents[name].select("fname", "document"), f"{folder}/dokumente/{name}")
+    if area_files:
+        jobs = [partial(sinks.write_area_tables, t, f"{folder}/tabellen/{name}", order=["zeile"])
+                for name, t in rows.items()]
+        jobs += [partial(sinks.write_area_documents, t, f"{folder}/dokumente/{name}") for name, t in documents.items()]
+    else:
+        jobs = [partial(sinks.write_long_table, t, f"{folder}/tabellen/{name}") for name, t in rows.items()]
+        jobs += [partial(sinks.write_long_table, t.select("fname", "document"), f"{folder}/dokumente/{name}")
+                 for name, t in documents.items()]
+    together(jobs)
     return stored
 
 

@@ -143,15 +143,15 @@ def feed(spark: SparkSession, sf_dir: str, present: bool = True) -> DataFrame:
                         *[c.alias(n) for n, c in cols.items()], *[tick(v) for v in VOTES])
 
 
-def history(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
+def history(spark: SparkSession, sf_dir: str, suffix: str, areas: DataFrame | None = None) -> DataFrame:
     """Earlier results of one vote type, one row per area and one column per party.
 
     Municipality rows have ``ags`` and ``wk``, constituency rows only ``wk``, the state
-    row neither.
+    row neither. ``areas`` are the earlier counts if they are stored already.
     """
     kind = "d" if suffix == DIRECT_SUFFIX else "l"
     parties = BRANDS if kind == "d" else TYPES
-    areas = area_counts(spark, sf_dir, present=False)
+    areas = area_counts(spark, sf_dir, present=False) if areas is None else areas
     key = F.col("Gebietsschlüssel")
     is_own = F.col("Gebietstyp").isin("VF", "KS")
     return areas.select(
@@ -166,9 +166,9 @@ def history(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
     )
 
 
-def composite(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
+def composite(spark: SparkSession, sf_dir: str, suffix: str, areas: DataFrame | None = None) -> DataFrame:
     """Earlier constituency results with the column names of a composite baseline."""
-    return history(spark, sf_dir, suffix).filter(F.col("Gebietstyp") == "WK").withColumnRenamed(
+    return history(spark, sf_dir, suffix, areas).filter(F.col("Gebietstyp") == "WK").withColumnRenamed(
         "wahlberechtigt", "wahlberechtigte")
 
 

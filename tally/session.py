@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+T = TypeVar("T")
 
 
 def build_session(app: str = "tally", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,12 +56,7 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast only if it is known to have few rows.
-
-    The check reads at most ``max_rows + 1`` rows. A larger table comes back
-    unmarked, so that Spark shuffles both sides (with adaptive skew splitting).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def together(jobs: Sequence[Callable[[], T]], at_once: int = 4) -> list[T]:
+    """Run independent jobs at the same time, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
