@@ -55,14 +55,18 @@ def write_sheets(df: DataFrame, path: str, by: str) -> None:
 def locale_lines(df: DataFrame, digits: Mapping[str, int] | None = None, separator: str = ";") -> DataFrame:
     """Each row as one text line with decimal commas; null cells are ``NA``.
 
-    ``digits`` gives the decimal places of fractional columns; all others are printed
-    as they are.
+    ``digits`` gives the decimal places to print; fractional columns not in it keep all
+    they have.
     """
     digits = digits or {}
     cells = []
-    for c in df.columns:
-        text = F.replace(format_de(quoted(c), digits[c]), F.lit("."), F.lit("")) if c in digits \
-            else quoted(c).cast("string")
+    for c, kind in df.dtypes:
+        if c in digits:
+            text = F.replace(format_de(quoted(c), digits[c]), F.lit("."), F.lit(""))
+        elif kind in ("double", "float") or kind.startswith("decimal"):
+            text = F.translate(quoted(c).cast("string"), ".", ",")
+        else:
+            text = quoted(c).cast("string")
         cells.append(F.coalesce(text, F.lit("NA")))
     return df.select(F.concat_ws(separator, *cells).alias("value"))
 
