@@ -267,6 +267,34 @@ def state_texts(spark, sf):
     return O.state_list_texts(V.state_list_votes(spark, sf), snapshot_time(), IMPRINT).select("title", "intro", "notes")
 
 
+@query("l17_placeholder_candidates", FEED_SQL + V.CANDIDATE_SQL + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY wk ORDER BY CAST(substr(partei, 7) AS INTEGER), name) AS r FROM kandidat)
+SELECT 'wk' || lpad(CAST(wk AS VARCHAR), 3, '0') || '_direkt' AS fname, CAST(r AS INTEGER) AS zeile, name, 0.0 :: DOUBLE AS prozent
+FROM r WHERE r <= 5""")
+def placeholder_candidates(spark, sf):
+    return O.placeholder_direct(V.candidates(spark, sf), registry(spark, sf))
+
+
+@query("l17_placeholder_lists", FEED_SQL + """
+SELECT 'g06' || own || '_landesstimmen' AS fname, nk + 1 AS wk, partei, 0 AS stimmen, '0,0% (+0)' AS prozent
+FROM cust CROSS JOIN types WHERE pos <= 4""")
+def placeholder_lists(spark, sf):
+    areas = table(spark, sf, "customer").select(
+        zero_pad(F.col("c_custkey") + 1, KEY_SHAPE[1]).alias("ags"), (F.col("c_nationkey") + 1).alias("wk"))
+    return O.placeholder_lists(areas, type_parties(spark, sf), registry(spark, sf))
+
+
+@query("l17_placeholder_texts", FEED_SQL + V.CANDIDATE_SQL + f""",
+r AS (SELECT *, row_number() OVER (PARTITION BY wk ORDER BY CAST(substr(partei, 7) AS INTEGER), name) AS r FROM kandidat),
+t AS (SELECT wk, coalesce(string_agg(name || '{N.NO_SHARE}', ', ' ORDER BY r) FILTER (WHERE r > 5), '') AS rest FROM r GROUP BY wk)
+SELECT wk, '{N.CONSTITUENCY}' || wk || ' - NATION_' || (wk - 1) || '{N.DIRECT_TITLE}' AS title, '{N.INTRO_BEFORE_DIRECT}' AS intro,
+       CASE WHEN rest <> '' THEN '{N.OTHERS_BEFORE}' ELSE '' END || rest || '{N.BREAK}{N.COUNT_BEGINS}Sonntag, 08. Oktober 2023, 18:00 Uhr' AS notes FROM t""")
+def placeholder_texts(spark, sf):
+    people = V.candidates(spark, sf).withColumn(
+        "wk_name", F.concat(F.lit("NATION_"), (F.col("wk") - 1).cast("string")))
+    return O.placeholder_direct_texts(people, IMPRINT)
+
+
 @query("m08_result_links", """
 SELECT wk, wk_name, 'https://example.org/wahlkreis-wk' || lpad(CAST(wk AS VARCHAR), 3, '0') || '-ergebnis-100.html' AS url
 FROM (SELECT n_nationkey + 1 AS wk, n_name AS wk_name FROM nation) AS n""")

@@ -98,6 +98,23 @@ def history_file(spark, sf):
     return tables.read_history(spark, path, columns, "lfd")
 
 
+@query("l10_history_header", """
+SELECT CAST(13 + substr(p_brand, 7) :: INTEGER AS INTEGER) AS idx, 'Größe – ' || p_brand AS partei, count(*) AS zeilen
+FROM part WHERE substr(p_brand, 7) :: INTEGER BETWEEN 3 AND 22 GROUP BY p_brand""")
+def history_header(spark, sf):
+    """A file with one column per brand; the header row read back as positions and names."""
+    part = table(spark, sf, "part")
+    header = "Lfd" + ";x" * 12 + "".join(f";Größe \u0096 {b}" for b in star.BRANDS)
+    number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int")
+    rows = part.select(F.concat_ws(";", "p_partkey", F.repeat(F.lit("x;"), number + 11), F.lit("1")).alias("value"))
+    path = shared_folder(spark, "header")
+    first = spark.createDataFrame([(header,)], "value string")
+    first.unionByName(rows).write.option("encoding", "iso-8859-1").option("sep", "\u0001").option("quote", "").csv(path)
+    names = tables.history_header(spark, path, 16, 35)
+    counts = part.groupBy(number.alias("n")).agg(F.count(F.lit(1)).alias("zeilen"))
+    return names.join(counts, F.col("idx") == F.col("n") + 13).select("idx", "partei", "zeilen")
+
+
 @query("s06_headerless_file", "SELECT p_partkey, p_brand AS partei, p_name AS parteiname FROM part")
 def headerless_file(spark, sf):
     path = shared_folder(spark, "plain")

@@ -17,6 +17,8 @@ OF_THESE_INVALID = ", davon ungültig: "
 TURNOUT = "Wahlbeteiligung: "
 BREAK = "<br><br>"
 OTHERS = "Weitere: "
+OTHERS_BEFORE = "Sonstige: "
+NO_SHARE = ": 0,0%"
 DIRECT_TITLE = ": Stimmen fürs Direktmandat"
 LIST_TITLE = ": Landesstimmen"
 CONSTITUENCY = "Wahlkreis "
@@ -26,6 +28,10 @@ INTRO_CONSTITUENCY_DIRECT = (
     "die derzeit fünf führenden Kandidatinnen und Kandidaten. "
 )
 INTRO_CONSTITUENCY_LIST = "Zweitstimmen im Wahlkreis für die Parteien im neuen Landtag. "
+INTRO_BEFORE_DIRECT = (
+    "Bisher gezählte Stimmanteile für das Direktmandat im Wahlkreis; "
+    "fünf erste Kandidierende von der Liste"
+)
 INTRO_STATE_LIST = (
     "Zweitstimmen für die Parteien landesweit; auf Zehntel gerundet. in Klammern die Stimmanteile "
     "bei der Landtagswahl 2018, soweit vorhanden"

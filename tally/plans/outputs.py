@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tally.functions import notes as N
 from tally.operators.aggregates import ordered_labels
-from tally.operators.joins import keep_listed, with_output_name
+from tally.operators.joins import empty_results, keep_listed, with_output_name
 from tally.operators.ranking import top_n
 from tally.sources.sinks import area_document
 
@@ -144,6 +144,40 @@ def state_list_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> DataFram
     return _texts(areas, title, F.lit(N.INTRO_STATE_LIST), [F.lit(N.STATE_BALLOT_ORDER)], ts, imprint)
 
 
+# --- before the count ---
+
+
+def placeholder_direct(candidates: DataFrame, registry: DataFrame, n: int = 5) -> DataFrame:
+    """Empty constituency tables: the first ``n`` candidates in ballot order without votes."""
+    first = top_n(candidates, ["wk"], [F.col("p_id").asc_nulls_last(), F.col("name").asc()], n)
+    rows = first.select(F.lpad(F.col("wk").cast("string"), 3, "0").alias("_id"), F.col("rang").alias("zeile"), "name",
+                        F.lit(0.0).alias("prozent"))
+    return with_output_name(rows, registry, "_id", "direkt", ["w"]).drop("_id")
+
+
+def placeholder_lists(areas: DataFrame, listed: DataFrame, registry: DataFrame) -> DataFrame:
+    """Empty list tables: every listed party for every area (``ags``, ``wk``)."""
+    rows = empty_results(areas.select(F.col("ags").alias("_id"), "wk"), listed.select("partei"))
+    return with_output_name(rows, registry, "_id", "landesstimmen", ["g", "s"]).drop("_id")
+
+
+def placeholder_direct_texts(candidates: DataFrame, imprint: Imprint, n: int = 5) -> DataFrame:
+    """Constituency texts before the count, with the candidates after the first ``n``."""
+    w = Window.partitionBy("wk").orderBy(F.col("p_id").asc_nulls_last(), F.col("name").asc())
+    ranked = candidates.withColumn("_rank", F.row_number().over(w))
+    rest = ordered_labels(F.col("_rank"), F.concat("name", F.lit(N.NO_SHARE)), where=F.col("_rank") > n)
+    areas = ranked.groupBy("wk").agg(F.max("wk_name").alias("wk_name"), rest.alias("_rest"))
+    start = F.to_timestamp_ntz(F.lit(imprint.start), F.lit("yyyy-MM-dd HH:mm:ss"))
+    others = F.concat(F.when(F.col("_rest") != "", F.lit(N.OTHERS_BEFORE)).otherwise(F.lit("")), "_rest", F.lit(N.BREAK))
+    none = F.lit(0)
+    return areas.select(
+        "wk",
+        F.concat(F.lit(N.CONSTITUENCY), F.col("wk").cast("string"), F.lit(" - "), "wk_name",
+                 F.lit(N.DIRECT_TITLE)).alias("title"),
+        F.lit(N.INTRO_BEFORE_DIRECT).alias("intro"),
+        N.status_note(none, none, start - F.expr("INTERVAL 1 DAY"), start, others).alias("notes"))
+
+
 def named_texts(texts: DataFrame, registry: DataFrame, table: str) -> DataFrame:
     """Add the output name of each area's text; ``table`` is like ``kreise_direkt``."""
     level, kind = table.split("_")

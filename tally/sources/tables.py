@@ -65,6 +65,21 @@ def read_history(spark: SparkSession, path: str, columns: Mapping[str, str], key
     return data.select(*[typed(c, t) for c, t in columns.items()])
 
 
+def history_header(spark: SparkSession, path: str, first: int, last: int, marker: str = "Lfd",
+                   encoding: str = HISTORY_ENCODING) -> DataFrame:
+    """Names in the header row of a history file, which starts with ``marker``: ``idx, partei``.
+
+    ``first`` and ``last`` are 1-based column positions.
+    """
+    windows = encoding.lower() == "windows-1252"
+    lines = spark.read.schema("value string").option("sep", "\u0001").option("quote", "").option(
+        "encoding", "iso-8859-1" if windows else encoding).csv(path)
+    line = F.translate("value", _C1, _C1_WINDOWS) if windows else F.col("value")
+    cells = lines.filter(F.col("value").startswith(marker)).select(F.posexplode(F.split(line, ";", -1)).alias("p", "partei"))
+    return cells.select((F.col("p") + 1).alias("idx"), F.trim("partei").alias("partei")).filter(
+        F.col("idx").between(first, last))
+
+
 def read_headerless(spark: SparkSession, path: str, schema: str, separator: str = ";") -> DataFrame:
     """A file without header; names and types come from ``schema``."""
     return spark.read.schema(schema).option("sep", separator) \
