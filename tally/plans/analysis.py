@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from tally.operators.aggregates import overall_quota, postal_quota, volatility_b
 from tally.operators.joins import keep_listed
 from tally.operators.ranking import top_bottom_n
 from tally.operators.reshape import pivot_measures
+from tally.session import together
+from tally.sources.sinks import write_long_table, write_sheets
 
 
 def party_results(votes: DataFrame, main: DataFrame, area: Sequence[str]) -> DataFrame:
@@ -63,5 +66,28 @@ def postal_by_municipality(live: DataFrame, ags: Column, strict: bool = False) -
     return postal_quota(precincts, "ags", strict)
 
 
+def run_analysis(tables: Mapping[str, DataFrame], live: DataFrame, main: DataFrame, parties: Sequence[str],
+                 folder: str, ags: Column) -> None:
+    """All analyses of a final result, from stored long tables, written side by side."""
+    votes, wk_votes = tables["gemeinden_landesstimmen"], tables["kreise_landesstimmen"]
+    results = party_results(votes, main, ["ags", "g_name", "wk"])
+    wk_results = party_results(wk_votes, main, ["wk", "wk_name"])
+    swings = volatility_municipality(votes)
+    sheets = {
+        "hochburgen_gemeinden": strongholds(results, "ags"),
+        "hochburgen_kreise": strongholds(wk_results, "wk"),
+        "choropleth": results,
+    }
+    whole = {
+        "gewinn_verlust": gains_losses(results, "ags", main),
+        "volatilitaet_gemeinden": swings,
+        "volatilitaet_kreise": volatility_constituency(wk_votes),
+        "choropleth_alle": choropleth_wide(results, swings, parties),
+        "briefwahl_nach_gemeinde": postal_by_municipality(live, ags),
+    }
+    together([partial(write_sheets, t, f"{folder}/{name}", "partei") for name, t in sheets.items()]
+             + [partial(write_long_table, t, f"{folder}/{name}") for name, t in whole.items()])
+
+
 def postal_overall(by_municipality: DataFrame) -> DataFrame:
     return overall_quota(by_municipality, "briefwaehler", "waehler", "briefwahlquote")

@@ -48,17 +48,20 @@ def snapshot_rows(raw: DataFrame, columns: Sequence[str], key: str = KEY,
     return parse_numbers(raw.filter(F.coalesce(checked, is_data)), feed_types(columns))
 
 
+def _text_options(reader, separator: str):
+    """Reader options of the feed, for batch and stream readers."""
+    return (
+        reader.option("sep", separator).option("header", False)
+        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+        .option("nullValue", NULL_MARKER).option("mode", "PERMISSIVE")
+    )
+
+
 def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                   key: str = KEY, separator: str = SEPARATOR, check_header: bool = True) -> DataFrame:
     """One snapshot file (or folder) as typed rows; cells ``NA`` or empty are null."""
     columns = list(columns) if columns else read_header(spark, path, key, separator)
-    raw = (
-        spark.read.schema(_text_schema(columns))
-        .option("sep", separator).option("header", False)
-        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-        .option("nullValue", NULL_MARKER).option("emptyValue", None).option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    raw = _text_options(spark.read.schema(_text_schema(columns)), separator).csv(path)
     return snapshot_rows(raw, columns, key, separator, check_header)
 
 
@@ -83,6 +86,23 @@ def with_snapshot_ts(df: DataFrame, path: str) -> DataFrame:
     return df.withColumn("file", F.col("_metadata.file_path")).join(times, "file", "left").drop("file")
 
 
+def feed_stream(spark: SparkSession, folder: str, columns: Sequence[str], files_per_trigger: int = 1,
+                separator: str = SEPARATOR) -> DataFrame:
+    """Raw lines of the snapshot files landing in a folder, with their file and its time."""
+    reader = spark.readStream.schema(_text_schema(columns)).option("maxFilesPerTrigger", files_per_trigger)
+    raw = _text_options(reader, separator).csv(folder)
+    return raw.select("*", F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("file_time"))
+
+
+def timed_rows(batch: DataFrame, columns: Sequence[str], key: str = KEY, separator: str = SEPARATOR) -> DataFrame:
+    """Typed rows of a batch of :func:`feed_stream` with the time of their file's banner."""
+    line = F.concat_ws(separator, *[quoted(c) for c in columns])
+    stand = F.when(~quoted(key).rlike("^[0-9]+$"), banner_time(line))
+    times = batch.groupBy("file").agg(F.coalesce(F.max(stand), F.max("file_time")).alias("snapshot_ts"))
+    return snapshot_rows(batch, columns, key, separator).join(times, "file").drop("file", "file_time")
+
+
 def newest_entry(spark: SparkSession, folder: str) -> str | None:
     """Path of the file or subfolder of ``folder`` that changed last; None when there is none.
 

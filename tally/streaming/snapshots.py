@@ -34,10 +34,12 @@ def _gate(spark: SparkSession, path: str, start: str, batch_id: int):
 
 
 def gate_snapshots(stream: DataFrame, process: Callable[[DataFrame, int], None], folder: str, start: str,
-                   ts: str = "snapshot_ts", available_now: bool = True) -> StreamingQuery:
+                   ts: str = "snapshot_ts", available_now: bool = True,
+                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Process only snapshots newer than the last one processed.
 
-    Older and equal ones are dropped. ``process`` gets the newer rows and the batch
+    Older and equal ones are dropped. ``prepare`` may first turn the raw rows of a batch
+    into rows with a time. ``process`` gets the newer rows and the batch
     number and must replace its output for a number it has seen (a batch may be
     replayed after a failure). The times processed are kept in a small table below
     ``folder``, next to the checkpoint.
@@ -48,7 +50,8 @@ def gate_snapshots(stream: DataFrame, process: Callable[[DataFrame, int], None],
     empty.write.mode("append").parquet(gate_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        newer = batch.filter(F.col(ts) > _gate(batch.sparkSession, gate_path, start, batch_id))
+        rows = prepare(batch) if prepare else batch
+        newer = rows.filter(F.col(ts) > _gate(batch.sparkSession, gate_path, start, batch_id))
         process(newer, batch_id)
         newer.agg(F.max(ts).alias("snapshot_ts")).filter("snapshot_ts IS NOT NULL") \
             .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "snapshot_ts") \

@@ -8,6 +8,7 @@ from tally.plans import analysis, baseline, dimensions, live, outputs
 from tally.plans.cycle import Election, finished, run_cycle
 from tally.sources.feed import MAIN_PARTIES
 from tally.sources.snapshots import read_snapshot
+from tally.streaming.live import run_live
 
 PARTIES = list(MAIN_PARTIES)
 
@@ -139,15 +140,57 @@ def test_previous_winners(spark):
     assert got[3].wk_name == "Neu 2"
 
 
-def test_cycle_publishes_every_area(spark, snapshot, candidates, wk_baseline, g_baseline, names, tmp_path):
+@pytest.fixture(scope="module")
+def night(spark, candidates, wk_baseline, g_baseline, names):
     areas = spark.createDataFrame([("001", "w"), ("002", "w"), ("633011", "g"), ("413000", "g"), ("611000", "s")], "id string, typ string")
     state = spark.createDataFrame([(0, "CDU", 25.0)], "wk int, partei string, prozent_2018 double")
     listed = spark.createDataFrame([(p,) for p in PARTIES], "partei string")
-    night = Election(PARTIES, PARTIES, ["CDU", "SPD"], ["CDU", "SPD"], candidates, listed, names,
-                     dimensions.build_registry(areas), state, wk_baseline, wk_baseline, g_baseline, g_baseline, {"413000": 43})
-    imprint = outputs.Imprint("Redaktion", "Amt", "https://example.org", "2023-10-08 18:00:00")
+    return Election(PARTIES, PARTIES, ["CDU", "SPD"], ["CDU", "SPD"], candidates, listed, names,
+                    dimensions.build_registry(areas), state, wk_baseline, wk_baseline, g_baseline, g_baseline, {"413000": 43})
+
+
+IMPRINT = outputs.Imprint("Redaktion", "Amt", "https://example.org", "2023-10-08 18:00:00")
+
+
+def document(folder, table, name):
+    return next((folder / "dokumente" / table / f"fname={name}").glob("*.txt")).read_text()
+
+
+def test_live_run_publishes_newer_snapshots_only(spark, night, tmp_path):
+    landing, work = tmp_path / "landing", tmp_path / "work"
+    landing.mkdir()
+
+    def arrive(name, stand, counted):
+        text = feed_text().replace("20:15:00", stand).replace(";120;3;", f";120;{counted};")
+        (landing / name).write_text(text, encoding="utf-8")
+        run_live(spark, str(landing), night, str(work), IMPRINT).awaitTermination()
+        if (work / "out").exists():
+            return document(work / "out", "kreise_direkt", "wk001_direkt")
+
+    assert arrive("a.csv", "17:59:00", 1) is None  # before the count begins
+    first = arrive("b.csv", "19:00:00", 12)
+    assert ">12</span>" in first and "Stand: 08.10.23, 19:00 Uhr" in first
+    assert arrive("c.csv", "18:30:00", 6) == first  # late
+    last = arrive("d.csv", "22:00:00", 120)
+    assert "ERGEBNIS" in last and "alle 120 Stimmbezirke ausgezählt" in last
+
+
+def test_analysis_run_writes_all_tables(spark, night, snapshot, tmp_path):
+    ts = F.lit("2023-10-08 20:15:00").cast("timestamp_ntz")
+    stored = run_cycle(spark, snapshot, night, str(tmp_path / "c"), ts, IMPRINT, area_files=False)
+    main = spark.createDataFrame([("CDU", 1), ("SPD", 3)], "partei string, id int")
+    out = str(tmp_path / "analysen")
+    analysis.run_analysis(stored, snapshot, main, ["CDU", "SPD"], out, F.substring("Gebietsschlüssel", 4, 6))
+    assert spark.read.parquet(f"{out}/hochburgen_kreise").select("partei").distinct().count() == 2
+    wide = spark.read.parquet(f"{out}/choropleth_alle")
+    assert wide.count() == 3 and {"prozent_CDU", "differenz_SPD", "volatilitaet"} <= set(wide.columns)
+    assert spark.read.parquet(f"{out}/briefwahl_nach_gemeinde").first().briefwahlquote == 40.0
+    assert spark.read.parquet(f"{out}/gewinn_verlust").filter("partei = 'CDU' AND seite = 'oben'").count() == 3
+
+
+def test_cycle_publishes_every_area(spark, night, snapshot, tmp_path):
     ts = F.lit("2023-10-08 20:15:00").cast("timestamp_ntz")
-    stored = run_cycle(spark, snapshot, night, str(tmp_path), ts, imprint)
+    stored = run_cycle(spark, snapshot, night, str(tmp_path), ts, IMPRINT)
     assert finished(stored).first() == (200, 96)
     made = {p.parent.name for p in (tmp_path / "tabellen").glob("*/fname=*/*.csv")}
     assert made == {f"fname={n}" for n in (
@@ -157,9 +200,9 @@ def test_cycle_publishes_every_area(spark, snapshot, candidates, wk_baseline, g_
     table = next((tmp_path / "tabellen" / "kreise_direkt" / "fname=wk001_direkt").glob("*.csv")).read_text().splitlines()
     assert table[0] == "name,partei,stimmen,prozent" and len(table) == 6
     assert table[1] == 'Name2 (SPD),SPD,323,"30,4% (+9,5)"' and table[3] == 'Name1 (GRÜNE),GRÜNE,127,"11,9% (?)"'
-    doc = next((tmp_path / "dokumente" / "kreise_direkt" / "fname=wk001_direkt").glob("*.txt")).read_text()
+    doc = document(tmp_path, "kreise_direkt", "wk001_direkt")
     assert '"title":["Wahlkreis 1 - Kassel-Land I: Stimmen fürs Direktmandat - TREND (bislang ausgezählte Stimmen)"]' in doc
     assert "Weitere: Name6 (FREIE WÄHLER): 5,4% (?), Name5 (DIE LINKE): 4,1% (?)<br><br>Der Zuschnitt" in doc
-    doc = next((tmp_path / "dokumente" / "gemeinden_direkt" / "fname=g06633011_direkt").glob("*.txt")).read_text()
+    doc = document(tmp_path, "gemeinden_direkt", "g06633011_direkt")
     assert "Abgegebene Stimmen: 4.054, davon ungültig: 2,1%, Wahlbeteiligung: 75,2%" in doc
     assert "in der Reihenfolge vom Stimmzettel<br><br>Auszählung beendet, alle 6 Stimmbezirke ausgezählt" in doc
