@@ -198,12 +198,11 @@ def move_first(spark, sf):
 
 
 @query("p16_key_length_filter", """
-SELECT o_orderkey, o_custkey FROM orders
-WHERE length(CAST(o_custkey AS VARCHAR)) = 3 AND o_orderpriority IS NOT NULL AND o_orderkey BETWEEN 55 AND 5000000""")
+SELECT p_partkey, p_brand FROM part WHERE length(p_brand) = 8 AND p_name IS NOT NULL AND p_size BETWEEN 1 AND 45""")
 def key_length_filter(spark, sf):
-    return table(spark, sf, "orders").filter(
-        (F.length(F.col("o_custkey").cast("string")) == 3) & F.col("o_orderpriority").isNotNull()
-        & F.col("o_orderkey").between(55, 5000000)).select("o_orderkey", "o_custkey")
+    return table(spark, sf, "part").filter(
+        (F.length("p_brand") == 8) & F.col("p_name").isNotNull() & F.col("p_size").between(1, 45)
+    ).select("p_partkey", "p_brand")
 
 
 @query("p17_density", """

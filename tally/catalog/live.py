@@ -56,9 +56,10 @@ basis AS (
 
 CANDIDATE_SQL = """,
 kandidat AS (
-  SELECT s_nationkey + 1 AS wk, 'Brand#' || (n * 7 % 25 + 1) AS partei, s_name AS nachname, s_suppkey, n,
-         s_name || ' (Brand#' || (n * 7 % 25 + 1) || ')' AS name
-  FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier) AS s WHERE n <= 25)"""
+  SELECT s_nationkey + 1 AS wk, 'Brand#' || m AS partei, s_name AS nachname, s_suppkey, s_acctbal,
+         s_name || ' (Brand#' || m || ')' AS name
+  FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey, m ORDER BY s_suppkey) AS n
+        FROM (SELECT *, s_suppkey * 7 % 25 + 1 AS m FROM supplier) AS s0) AS s WHERE n = 1)"""
 
 NAME_SQL = """,
 namen AS (SELECT DISTINCT own AS ags, upper(c_name) AS name, 'NATION_' || nk AS wk_name FROM cust WHERE c_acctbal >= 0)"""
@@ -284,7 +285,7 @@ def composite_baseline(spark, sf):
 
 
 @query("l08_candidate_dimension", FEED_SQL + CANDIDATE_SQL + """
-SELECT wk, partei, nachname, s_suppkey, CAST(substr(partei, 7) AS INTEGER) AS p_id, name FROM kandidat""")
+SELECT wk, partei, nachname, s_suppkey, s_acctbal, CAST(substr(partei, 7) AS INTEGER) AS p_id, name FROM kandidat""")
 def candidate_dimension(spark, sf):
     return candidates(spark, sf)
 
@@ -372,8 +373,8 @@ def boundary_changes(spark, sf):
 
 
 @query("l14_candidate_sheet", FEED_SQL + CANDIDATE_SQL + """,
-k AS (SELECT wk, 'NATION_' || (wk - 1) AS wk_name, partei, nachname, n, s_suppkey, s_acctbal FROM kandidat JOIN supplier USING (s_suppkey)),
-sieger AS (SELECT wk, partei, nachname, n FROM kandidat WHERE n <= 3)
+k AS (SELECT *, 'NATION_' || (wk - 1) AS wk_name, row_number() OVER (PARTITION BY wk ORDER BY s_suppkey) AS n FROM kandidat),
+sieger AS (SELECT wk, partei, nachname, n FROM k WHERE n = 1 OR s_acctbal < 2000)
 SELECT k.wk, k.wk_name, k.partei, k.nachname, CASE WHEN s_acctbal > 5000 THEN 'Dr. Erika' ELSE 'Erika' END AS vorname,
        'Beruf' AS beruf, 1970 AS geboren, 'Ort' AS geburtsort, CASE WHEN s_acctbal > 0 THEN 'https://example.org/k/' || s_suppkey END AS link,
        CAST(substr(k.partei, 7) AS INTEGER) AS id, 'Max' AS sieger_vorname, s.nachname AS sieger_nachname, s.partei AS sieger_partei,
@@ -381,26 +382,27 @@ SELECT k.wk, k.wk_name, k.partei, k.nachname, CASE WHEN s_acctbal > 5000 THEN 'D
        CASE WHEN r.wk IS NOT NULL THEN 'Max' END AS nachruecker_vorname, r.nachname AS nachruecker_nachname
 FROM k LEFT JOIN sieger s ON s.wk = k.wk AND s.n = 1 LEFT JOIN sieger r ON r.wk = k.wk AND r.n > 1""")
 def candidate_sheet(spark, sf):
-    base = star.people(spark, sf).join(table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"), "s_suppkey")
+    """The first candidate of a nation plays the earlier winner, those with little money successors."""
+    base = star.people(spark, sf)
     people = base.select(
         "wk", F.concat(F.lit("NATION_"), (F.col("wk") - 1).cast("string")).alias("wk_name"), "partei", "nachname",
         F.when(F.col("s_acctbal") > 5000, F.lit("Dr.")).alias("titel"), F.lit("Erika").alias("vorname"),
         F.lit("Beruf").alias("beruf"), F.lit(1970).alias("geboren"), F.lit("Ort").alias("geburtsort"),
         F.when(F.col("s_acctbal") > 0, F.col("s_suppkey")).alias("check_id"))
-    from tally.operators.ranking import top_n
-
-    winners = top_n(star.people(spark, sf), ["wk"], [F.asc("s_suppkey")], 3).select(
-        "wk", "partei", "nachname", (F.col("rang") > 1).alias("nachruecker"), F.lit("Max").alias("vorname"),
+    first = base.groupBy("wk").agg(F.min("s_suppkey").alias("erster"))
+    successor = F.col("s_suppkey") != F.col("erster")
+    winners = base.join(first, "wk").filter(~successor | (F.col("s_acctbal") < 2000)).select(
+        "wk", "partei", "nachname", successor.alias("nachruecker"), F.lit("Max").alias("vorname"),
         F.lit(40.5).alias("prozent"), F.lit(100).alias("vorsprung"))
     return D.candidate_sheet(people, star.brand_parties(spark, sf), winners, "https://example.org/k/")
 
 
 @query("l15_party_lists", """
-SELECT DISTINCT p_brand AS partei, CAST(substr(p_brand, 7) AS INTEGER) AS id FROM part WHERE p_brand IN
-  (SELECT 'Brand#' || (n * 7 % 25 + 1) FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier) AS s
-   WHERE n <= 25 AND s_suppkey < 50)""")
+WITH x AS (SELECT 1)""" + CANDIDATE_SQL + """
+SELECT DISTINCT p_brand AS partei, CAST(substr(p_brand, 7) AS INTEGER) AS id FROM part
+WHERE p_brand IN (SELECT partei FROM kandidat WHERE s_acctbal > 5000)""")
 def party_lists(spark, sf):
-    listed = star.people(spark, sf).withColumn("listenplatz", F.when(F.col("s_suppkey") < 50, F.col("s_suppkey")))
+    listed = star.people(spark, sf).withColumn("listenplatz", F.when(F.col("s_acctbal") > 5000, F.col("s_suppkey")))
     return D.party_lists(star.brand_parties(spark, sf), listed)
 
 

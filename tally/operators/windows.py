@@ -4,8 +4,8 @@ A plain window sorts a whole group in one task. That is right for a ballot (some
 dozens of rows): pass ``small_groups=True``. Otherwise groups with many rows are cut
 into chunks along the first order column. Windows then run per (group, chunk), and
 what crosses a chunk border is carried by an aggregate with one row per chunk. With
-N rows, groups above sqrt(N) rows are cut into pieces of about that size, so neither
-a chunk nor the table of chunks grows large.
+N rows, groups above sqrt(N) rows (but not below ``WORTH_CUTTING``) are cut into
+pieces of about that size, so neither a chunk nor the table of chunks grows large.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 
 from tally.session import store
 
+#: A group up to this size is sorted faster in one task than cut.
+WORTH_CUTTING = 100_000
+
 _CHUNK, _HOT = "_chunk", "_hot"
 
 
@@ -38,13 +41,16 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def _place(df: DataFrame, column: str) -> Column:
-    """The order column as a number that rises with it (times to the second)."""
+    """The order column as a number that rises with it."""
     kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        days = F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("bigint")
-        if isinstance(kind, T.DateType):
-            return days
-        return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    if isinstance(kind, T.DateType):
+        return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # seconds since a fixed moment; no zone, so no jump at a change of clocks
+        passed = F.col(column) - F.lit("1970-01-01").cast("timestamp_ntz")
+        return passed.cast("interval second").cast("decimal(18, 6)").cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(column).cast("double")
     raise TypeError(f"{column}: groups are cut along a number, date or time, not {kind.simpleString()}")
@@ -56,7 +62,8 @@ def hot_groups(df: DataFrame, part: Sequence[str], order: Sequence[str], max_row
     At most N / ``max_rows`` rows; stored, so that no later step repeats the count.
     Chunks are equally wide: a hot group must not sit at one point of the order column.
     """
-    limit = F.lit(max_rows) if max_rows else df.agg(F.ceil(F.sqrt(F.count(F.lit(1))))).scalar()
+    limit = F.lit(max_rows) if max_rows else df.agg(
+        F.greatest(F.ceil(F.sqrt(F.count(F.lit(1)))), F.lit(WORTH_CUTTING))).scalar()
     place = _place(df, order[0])
     spans = df.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from tally.functions.measures import turnout_pct
 from tally.functions.numbers import zero_pad
 from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
+from tally.operators.aggregates import first_by
 from tally.operators.cleaning import tick
 from tally.operators.joins import with_baseline
-from tally.operators.ranking import top_n
 from tally.sources.feed import INVALID, PERCENT, VALID
 
 # --- fixed values of this derivation ---
@@ -183,14 +183,12 @@ def lost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Direct candidates: the first suppliers of each nation, spread over the brands."""
-    ranked = top_n(table(spark, sf_dir, "supplier"), ["s_nationkey"], [F.col("s_suppkey").asc()], len(BRANDS))
-    return ranked.select(
+    """Direct candidates: suppliers are spread over the brands, the first per nation and brand stands."""
+    suppliers = table(spark, sf_dir, "supplier").select(
         (F.col("s_nationkey") + 1).alias("wk"),
-        F.concat(F.lit("Brand#"), ((F.col("rang") * 7) % len(BRANDS) + 1).cast("string")).alias("partei"),
-        F.col("s_name").alias("nachname"),
-        "s_suppkey",
-    )
+        F.concat(F.lit("Brand#"), (F.col("s_suppkey") * 7 % len(BRANDS) + 1).cast("string")).alias("partei"),
+        F.col("s_name").alias("nachname"), "s_suppkey", "s_acctbal")
+    return first_by(suppliers, ["wk", "partei"], [F.col("s_suppkey").asc()])
 
 
 def brand_parties(spark: SparkSession, sf_dir: str) -> DataFrame:

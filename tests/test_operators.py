@@ -51,13 +51,27 @@ def test_cut_groups_give_what_plain_windows_give(history, part, max_rows):
 
 
 def test_no_chunk_holds_the_hot_group(history):
-    hot = W.hot_groups(history, ["k"], ["pos"])
+    hot = W.hot_groups(history, ["k"], ["pos"], 20)
     sizes = W.with_chunks(history, hot, ["k"], ["pos"]).groupBy("k", "_chunk").count()
     biggest = sizes.agg(F.max("count")).first()[0]
     whole = history.groupBy("k").count().agg(F.max("count")).first()[0]
     assert biggest < whole / 5
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint"])
+def test_groups_are_cut_along_times_and_numbers(spark, kind):
+    value = F.col("id") if kind == "bigint" else F.timestamp_seconds(F.col("id") * 40_000).cast(kind)
+    df = spark.range(500).select("id", F.lit(0).alias("k"), value.alias("at"))
+    got = W.numbered(df, ["k"], ["at", "id"], "n", max_rows=40)
+    assert got.filter(F.col("n") != F.col("id") + 1).count() == 0
+    chunks = W.with_chunks(df, W.hot_groups(df, ["k"], ["at"], 40), ["k"], ["at"]).groupBy("_chunk").count()
+    assert chunks.count() >= 12 and chunks.agg(F.max("count")).first()[0] <= 42
+
+
+def test_small_groups_are_not_cut(history):
+    assert W.hot_groups(history, ["k"], ["pos"]).isEmpty()
+
+
 @pytest.mark.parametrize("n,count", [(5, 23), (5, 3), (4, 100), (3, 0)])
 def test_ntile_as_the_sql_function(spark, n, count):
     rnd = random.Random(count)
