@@ -13,6 +13,7 @@ from tally.plans import dimensions as D
 from tally.plans import live as L
 from tally.plans import star
 from tally.plans.star import BASE_BRANDS, BASE_TYPES, BRANDS, KEY_SHAPE, TYPES, table
+from tally.session import store
 
 #: Municipality keys counted with one constituency, and two that were merged into a third.
 OVERRIDES = {"000000000012": 5, "000000000040": 7}
@@ -184,7 +185,7 @@ def constituency_list_votes(spark, sf):
 @query("l04_municipality_direct_votes", MUNICIPALITY_DIRECT_SQL + RESULT)
 def municipality_direct_votes(spark, sf):
     return L.municipality_direct_votes(
-        star.feed(spark, sf), BRANDS, star.municipality_names(spark, sf), candidates(spark, sf),
+        star.feed(spark, sf), BRANDS, star.municipality_names(spark, sf), store(candidates(spark, sf), "candidates"),
         municipality_baseline(spark, sf, DIRECT_SUFFIX, BRANDS), OVERRIDES, KEY_SHAPE)
 
 

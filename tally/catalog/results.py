@@ -7,19 +7,21 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tally.catalog import live as V
-from tally.catalog.live import OVERRIDES, long_sql
+from tally.catalog.live import OVERRIDES
 from tally.catalog.registry import FEED_SQL, query
 from tally.functions import notes as N
+from tally.functions.numbers import zero_pad
+from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
+from tally.operators.cleaning import tick
+from tally.operators.reshape import unpivot_measures
 from tally.plans import analysis as A
-from tally.plans.cycle import Election, run_cycle
 from tally.plans import dimensions as D
 from tally.plans import outputs as O
 from tally.plans import projection as P
 from tally.plans import star
-from tally.session import shared_folder, store, together
+from tally.plans.cycle import Election, run_cycle
 from tally.plans.star import BASE_BRANDS, BASE_TYPES, BRANDS, KEY_SHAPE, TYPES, table
-from tally.functions.numbers import zero_pad
-from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
+from tally.session import shared_folder, store, together
 
 MAIN = TYPES[:4]
 SNAPSHOT = "2023-10-08 20:15:00"
@@ -372,10 +374,7 @@ def scaled_snapshot(spark, sf):
         F.col("ungueltig_l").alias("ungueltig_l_2018"))
 
     def votes(suffix, parties):
-        from tally.operators.cleaning import quoted
-        from tally.operators.reshape import unpivot_measures
-
-        wide = then.select("area", *[quoted(p + suffix).alias(p) for p in parties])
+        wide = then.selectExpr("area", *[f"{tick(p + suffix)} AS {tick(p)}" for p in parties])
         return unpivot_measures(wide, ["area"], parties, value="stimmen_2018", position=None)
 
     def level(*types):

@@ -55,7 +55,7 @@ def measure_index(df: DataFrame, suffix: str, standing: DataFrame | None = None,
     ]
     index = df.sparkSession.createDataFrame(rows, f"`{on}` string, idx int, ballot_pos int")
     if standing is not None:
-        index = index.join(standing.select(on), on, "left_semi")
+        index = index.join(standing.select(on).distinct(), on, "left_semi")
     return index
 
 

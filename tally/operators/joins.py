@@ -33,15 +33,19 @@ def override_name(df: DataFrame, names: DataFrame, on: str, source: str, target:
 
 
 def keep_listed(df: DataFrame, listed: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Semi-join: rows whose key occurs in the other table."""
+    """Semi-join: rows whose key occurs in the other table.
+
+    The other side is reduced to its distinct keys before the shuffle, as Spark cannot
+    split a hot key on that side.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(listed.select(*keys), keys, "left_semi")
+    return df.join(listed.select(*keys).distinct(), keys, "left_semi")
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Anti-join: rows whose key does not occur in the other table (null keys stay)."""
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(listed.select(*keys), keys, "left_anti")
+    return df.join(listed.select(*keys).distinct(), keys, "left_anti")
 
 
 def flag_listed(df: DataFrame, listed: DataFrame, on: str, flag: str) -> DataFrame:

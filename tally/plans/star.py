@@ -82,11 +82,12 @@ def customer_counts(spark: SparkSession, sf_dir: str, present: bool = True) -> D
     customer table, so a hot customer is combined in the tasks that read it.
     """
     orders = table(spark, sf_dir, "orders").filter(period(present))
+    # the period's orders first: they shrink the lines before the second join
     lines = (
         table(spark, sf_dir, "lineitem")
+        .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type"),
               F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     counts = lines.groupBy("o_custkey").agg(*_line_sums())
     precincts = orders.groupBy("o_custkey").agg(
