@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tally.catalog import live as V
+from tally.catalog import results as R
 from tally.catalog.registry import query
 from tally.operators.windows import running
+from tally.plans import star
 from tally.plans.star import table
 from tally.session import shared_folder
+from tally.sources.sinks import write_locale_text
 from tally.streaming import snapshots as S
+from tally.streaming.live import run_live
 
 START = "2024-01-10 00:00:00"
 
@@ -51,6 +56,20 @@ def first_snapshot(snapshots: DataFrame) -> DataFrame:
     return snapshots.filter(F.col("snapshot_ts") == first)
 
 
+@query("e02_live_stream", V.LIST_SQL + V.RESULT.replace("*", "* EXCLUDE area_key"))
+def live_stream(spark, sf):
+    """Snapshot files land, the stream publishes the newest; shown is its long constituency table."""
+    landing, work = shared_folder(spark, "landing"), shared_folder(spark, "night")
+    for present, stand in ((False, "08.10.2023 18:30:00"), (True, "08.10.2023 20:15:00")):
+        feed = star.feed(spark, sf, present)
+        # each snapshot goes to its own folder below the landing folder
+        write_locale_text(feed, f"{landing}/{stand[-8:].replace(':', '')}", f"Muster;Stand: {stand}")
+    night = R.election(spark, sf)
+    run_live(spark, f"{landing}/*", night, work, R.IMPRINT, columns=feed.columns, area_files=False,
+             files_per_trigger=100_000).awaitTermination()
+    return spark.read.parquet(f"{work}/out/lang/kreise_landesstimmen").drop("snapshot_ts", "area_key")
+
+
 @query("x01_gated_latest_state", WEEKLY_SQL + f"""
 SELECT area_key, stimmbezirke, gezaehlt, strftime(snapshot_ts, '%Y-%m-%d') AS stand FROM snap
 WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM snap) AND snapshot_ts > TIMESTAMP '{START}'""")
