@@ -58,6 +58,7 @@ TEST_OPEN = "<b style='color:#dfedf8;'>TITLE "
 TEST_INTRO = "<br><br>INTRO "
 TEST_CLOSE = "</b>"
 TEST_TITLE = "*** TEST *** - FIKTIVE DATEN wk "
+TEST_TITLE_STATE = "*** TEST *** wk0 - FIKTIVE DATEN"
 # --------------------------------------------------------------------------------
 
 
@@ -125,7 +126,8 @@ def test_marking(title: Column, intro: Column, wk: Column, test_mode: bool) -> t
     if not test_mode:
         return title, intro
     marked = F.concat(F.lit(TEST_OPEN), title, F.lit(TEST_INTRO), intro, F.lit(TEST_CLOSE))
-    return F.concat(F.lit(TEST_TITLE), wk.cast("string")), marked
+    warning = F.when(wk == 0, F.lit(TEST_TITLE_STATE)).otherwise(F.concat(F.lit(TEST_TITLE), wk.cast("string")))
+    return warning, marked
 
 
 def others_text(labels: Column) -> Column:

@@ -87,13 +87,16 @@ def filled_sheet(sheet: DataFrame, header: Sequence[str], marker: str, order: st
 
 
 def composite_baseline(rebased: DataFrame, originals: DataFrame, unchanged: DataFrame, counts: Sequence[str],
-                       collapse: Mapping[str, Sequence[str]]) -> DataFrame:
+                       collapse: Mapping[str, Sequence[str]], voters_from_ballots: bool = False) -> DataFrame:
     """Re-based results, with the original rows for constituencies that could not be re-based.
 
     Marker cells of the re-based sheet become null; the originals' small parties are
-    summed so that both sides have the same columns.
+    summed so that both sides have the same columns. With ``voters_from_ballots`` the
+    originals' voters are valid plus invalid ballots, as for list votes.
     """
     clean = clean_numbers(rebased, counts)
+    if voters_from_ballots:
+        originals = originals.withColumn("waehler", F.col("ungueltig") + F.col("gueltig"))
     for into, parts in collapse.items():
         originals = collapse_columns(originals, parts, into)
     originals = originals.withColumns({

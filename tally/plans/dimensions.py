@@ -45,16 +45,23 @@ def area_lookup(assigned: DataFrame, constituencies: DataFrame, counties: DataFr
     return chain_lookups(keyed, (constituencies, "wk"), (counties, "k_ags"), (municipalities, "ags"))
 
 
+def _whole_areas(municipalities: DataFrame) -> DataFrame:
+    """Municipalities and cities without their districts, where the table has area types."""
+    if "Gebietstyp" in municipalities.columns:
+        return municipalities.filter(F.col("Gebietstyp").isin("VF", "KS"))
+    return municipalities
+
+
 def municipality_index(municipalities: DataFrame) -> DataFrame:
     """Inhabited municipalities with density and density quintile."""
-    lived_in = municipalities.filter(F.col("bevoelkerung") > 0)
+    lived_in = _whole_areas(municipalities).filter(F.col("bevoelkerung") > 0)
     dense = lived_in.withColumn("bev_dichte", density(F.col("bevoelkerung"), F.col("flaeche")))
     return ntile(dense, "bev_dichte", ["ags", "wk"], 5, "dichte_quintil")
 
 
 def constituency_index(municipalities: DataFrame) -> DataFrame:
     """Constituency profile with three-digit key and density quintile."""
-    areas = profile(municipalities, "wk", "wk_name", "kreis_name", "gemeinden", "bevoelkerung", "flaeche")
+    areas = profile(_whole_areas(municipalities), "wk", "wk_name", "kreis_name", "gemeinden", "bevoelkerung", "flaeche")
     keyed = areas.withColumnRenamed("kreis_name", "kreise").withColumn("wk", zero_pad(F.col("wk"), 3))
     return ntile(keyed, "bev_dichte", ["wk"], 5, "dichte_quintil")
 

@@ -155,5 +155,7 @@ def test_turnout_text(values):
 
 
 def test_test_mode_moves_the_title(values):
+    assert values(N.test_marking(lit("T"), lit("I"), lit(0), True)[0]) == ("*** TEST *** wk0 - FIKTIVE DATEN",)
+    assert values(*N.test_marking(lit("T"), lit("I"), lit(5), False)) == ("T", "I")
     title, intro = N.test_marking(lit("T"), lit("I"), lit(5), True)
     assert values(title, intro) == ("*** TEST *** - FIKTIVE DATEN wk 5", "<b style='color:#dfedf8;'>TITLE T<br><br>INTRO I</b>")

@@ -128,6 +128,32 @@ def test_unknown_area_type_is_rejected(spark):
         dimensions.build_registry(spark.createDataFrame([("1", "x")], "id string, typ string")).collect()
 
 
+def test_composite_takes_originals_where_rebasing_failed(spark):
+    rebased = spark.createDataFrame([(1, "100", "60", "60,0", "10", "50", "16", "x", "20"), (34, "•", "•", "•", "•", "•", "•", "•", "•")],
+                                    "wk int, wahlberechtigte string, waehler string, wahlbeteiligung string, ungueltig string,"
+                                    " gueltig string, ungueltig_prozent string, CDU string, Sonstige string")
+    originals = spark.createDataFrame([(34, 200, 0, 20, 80, 50, 10, 20), (1, 9, 9, 9, 9, 9, 9, 9)],
+                                      "wk int, wahlberechtigte int, waehler int, ungueltig int, gueltig int, CDU int, LKR int, DiB int")
+    keys = spark.createDataFrame([(34,)], "wk int")
+    counts = ["wahlberechtigte", "waehler", "wahlbeteiligung", "ungueltig", "gueltig", "ungueltig_prozent", "CDU", "Sonstige"]
+    got = by(baseline.composite_baseline(rebased, originals, keys, counts, {"Sonstige": ["LKR", "DiB"]}, True), "wk")
+    assert (got[1].CDU, got[1].Sonstige, got[1].wahlbeteiligung) == (None, 20.0, None)  # decimal commas are for the reader
+    assert (got[34].waehler, got[34].wahlbeteiligung, got[34].ungueltig_prozent, got[34].Sonstige) == (100.0, 50.0, 20.0, 30.0)
+
+
+def test_indexes_leave_districts_out(spark):
+    df = spark.createDataFrame(
+        [("1", "A", 1, "W", "K2", 2, 10, "VF"), ("2", "B", 1, "W", "K1", 2, 30, "KS"), ("2", "B", 1, "W", "K1", 1, 99, "ST"), ("3", "C", 1, "W", "K1", 5, 0, "VF")],
+        "ags string, name string, wk int, wk_name string, kreis_name string, flaeche int, bevoelkerung int, Gebietstyp string")
+    areas = by(dimensions.municipality_index(df), "ags")
+    assert {k: (r.bev_dichte, r.dichte_quintil) for k, r in areas.items()} == {"1": (5.0, 1), "2": (15.0, 2)}
+    wk = dimensions.constituency_index(df).first()
+    assert (wk.wk, wk.kreise, wk.gemeinden, wk.bevoelkerung, wk.flaeche) == ("001", "K1 K2", 3, 40, 9)
+    ids = spark.createDataFrame([("001", "abc", "wk001_direkt")], "id string, chart_id string, fname string")
+    named = dimensions.with_chart_ids(dimensions.constituency_index(df), ids, "wk").first()
+    assert (named.direkt_id, named.landesstimmen_id) == ("abc", None)
+
+
 def test_previous_winners(spark):
     sheet = spark.createDataFrame(
         [(1, 1, "Alt 1", "Dr. Maier, Eva", "CDU", 400, 40.0, 100), (2, None, None, "Nachrücker: Groß, Uwe", None, None, None, None),
