@@ -53,14 +53,14 @@ def _place(df: DataFrame, column: str) -> Column:
         return passed.cast("interval second").cast("decimal(18, 6)").cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(column).cast("double")
-    raise TypeError(f"{column}: groups are cut along a number, date or time, not {kind.simpleString()}")
+    return F.lit(0.0)  # no number to cut along: everything at one point, see cut()
 
 
 def hot_groups(df: DataFrame, part: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """Groups above ``max_rows`` rows with the start and width of their chunks.
 
     At most N / ``max_rows`` rows; stored, so that no later step repeats the count.
-    Chunks are equally wide: a hot group must not sit at one point of the order column.
+    Chunks are equally wide along the order column.
     """
     limit = F.lit(max_rows) if max_rows else df.agg(
         F.greatest(F.ceil(F.sqrt(F.count(F.lit(1)))), F.lit(WORTH_CUTTING))).scalar()
@@ -68,13 +68,14 @@ def hot_groups(df: DataFrame, part: Sequence[str], order: Sequence[str], max_row
     spans = df.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
     width = F.greatest((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / limit), F.lit(1e-9))
-    return store(spans.filter(F.col("_n") > limit).select(*part, "_lo", width.alias("_width")), "cuts")
+    hot = spans.filter(F.col("_n") > limit)
+    return store(hot.select(*part, "_lo", width.alias("_width"), limit.cast("double").alias("_limit")), "cuts")
 
 
 def with_chunks(df: DataFrame, hot: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_hot`` and the number ``_chunk``, which rises with the order; 0 in groups that stay whole."""
     if part:
-        df = join_same(df, hot, part)
+        df = join_same(df, hot.drop("_limit"), part)
     else:
         df = df.withColumn("_cut", hot.select(F.struct("_lo", "_width")).scalar())
         df = df.withColumns({c: F.col("_cut")[c] for c in ("_lo", "_width")}).drop("_cut")
@@ -87,6 +88,27 @@ def with_chunks(df: DataFrame, hot: DataFrame, part: Sequence[str], order: Seque
     }).drop("_lo", "_width")
 
 
+def cut(df: DataFrame, part: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> DataFrame | None:
+    """Rows with ``_hot`` and ``_chunk``; None when no group is large enough to be cut.
+
+    Where the rows crowd so much along the order column that a chunk is still large,
+    or the column is text, all rows are numbered first (a range partition, which splits
+    equal values by the further order columns) and cut along that number.
+    """
+    hot = hot_groups(df, part, order, max_rows)
+    if hot.isEmpty():
+        return None
+    chunks = with_chunks(df, hot, part, order)
+    limit = hot.agg(F.max("_limit")).scalar()
+    crowded = chunks.filter(F.col(_HOT)).groupBy(*part, _CHUNK).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > 4 * limit)
+    if crowded.isEmpty():
+        return chunks
+    ranked = global_rank(df, [F.col(c).asc() for c in (*part, *order)], "_rank_all")
+    hot = hot_groups(ranked, part, ["_rank_all"], max_rows)
+    return with_chunks(ranked, hot, part, ["_rank_all"]).drop("_rank_all")
+
+
 def _with_carry(df: DataFrame, part: Sequence[str], per_chunk: Mapping[str, Column],
                 carried: Mapping[str, Column]) -> DataFrame:
     """Join to the rows of cut groups what the earlier (or later) chunks hand over.
@@ -103,15 +125,14 @@ def _with_carry(df: DataFrame, part: Sequence[str], per_chunk: Mapping[str, Colu
 def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequence[str],
          small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Last observation carried forward; leading nulls stay null."""
-    hot = None if small_groups else hot_groups(df, part, order, max_rows)
-    if hot is None or hot.isEmpty():
+    chunks = None if small_groups else cut(df, part, order, max_rows)
+    if chunks is None:
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    df = with_chunks(df, hot, part, order)
     before = _window(part, [_CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
     key = _order_key(order)
     out = _with_carry(
-        df, part,
+        chunks, part,
         {f"_last_{c}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), key)) for c in cols},
         {f"_carry_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in cols},
     )
@@ -125,14 +146,13 @@ def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequenc
 def _shifted(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
              small_groups: bool, max_rows: int | None, back: bool) -> DataFrame:
     shift = F.lag if back else F.lead
-    hot = None if small_groups else hot_groups(df, part, order, max_rows)
-    if hot is None or hot.isEmpty():
+    chunks = None if small_groups else cut(df, part, order, max_rows)
+    if chunks is None:
         return df.withColumns({new: shift(c).over(_window(part, order)) for new, c in cols.items()})
-    df = with_chunks(df, hot, part, order)
     pick = F.max_by if back else F.min_by
     edge = F.struct(*[F.col(c).alias(new) for new, c in cols.items()])
     out = _with_carry(
-        df, part,
+        chunks, part,
         {"_edge": pick(edge, _order_key(order))},
         {"_carry": shift("_edge").over(_window(part, [_CHUNK]))},
     )
@@ -169,14 +189,13 @@ def step_fill(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Se
 def running(df: DataFrame, sums: Mapping[str, Column], part: Sequence[str], order: Sequence[str],
             small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
     """Running sums within each group: new name -> summed column."""
-    hot = None if small_groups else hot_groups(df, part, order, max_rows)
-    if hot is None or hot.isEmpty():
+    chunks = None if small_groups else cut(df, part, order, max_rows)
+    if chunks is None:
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-    df = with_chunks(df, hot, part, order)
     before = _window(part, [_CHUNK]).rowsBetween(Window.unboundedPreceding, -1)
     out = _with_carry(
-        df, part,
+        chunks, part,
         {f"_sum_{n}": F.sum(c) for n, c in sums.items()},
         {f"_carry_{n}": F.sum(f"_sum_{n}").over(before) for n in sums},
     )

@@ -68,6 +68,17 @@ def test_groups_are_cut_along_times_and_numbers(spark, kind):
     assert chunks.count() >= 12 and chunks.agg(F.max("count")).first()[0] <= 42
 
 
+def test_rows_at_one_point_or_ordered_by_text_are_cut_too(spark):
+    df = spark.range(2000).select("id", F.lit(0).alias("k"), F.lit(5).alias("at"), F.format_string("%05d", "id").alias("name"),
+                                  F.when(F.col("id") % 7 == 0, F.col("id")).alias("x"))
+    for order in (["at", "id"], ["name"]):
+        chunks = W.cut(df, ["k"], order, 100)
+        sizes = chunks.groupBy("_chunk").count().agg(F.min("count"), F.max("count"), F.count("*")).first()
+        assert sizes[1] <= 101 and sizes[2] >= 20
+        got = W.locf(W.numbered(df, ["k"], order, "n", max_rows=100), ["x"], ["k"], order, max_rows=100)
+        assert got.filter((F.col("n") != F.col("id") + 1) | (F.col("x") != F.col("id") - F.col("id") % 7)).count() == 0
+
+
 def test_small_groups_are_not_cut(history):
     assert W.hot_groups(history, ["k"], ["pos"]).isEmpty()
 
