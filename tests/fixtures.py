@@ -39,13 +39,13 @@ def feed_text():
     lines.append(row("00200000000", "Kassel-Land II", "WK", **progress(80, 80, 1000, 800),
                      **totals(DIRECT_SUFFIX, 0, 800, 100), **totals(LIST_SUFFIX, 790, 10, "1,25"),
                      **votes(DIRECT_SUFFIX, main=[0, "NA"]), **votes(LIST_SUFFIX, main=[400, 390])))
-    lines.append(row("00163301100", "Hans-Stadten-Stadt", "VF", **progress(6, 6, 5391, 4054, freigegeben=1),
+    lines.append(row("00163301100", "Altenfurt, Stadt", "VF", **progress(6, 6, 5391, 4054, freigegeben=1),
                      **totals(DIRECT_SUFFIX, 3968, 86, "2,1"), **votes(DIRECT_SUFFIX, main=[1685, 715, 567, 589, 207, 77, 128])))
     lines.append(row("00041300000", "Offenstadt", "KS", **progress(10, 4, 900, 500, freigegeben=0),
                      **totals(DIRECT_SUFFIX, 490, 10, 2), **votes(DIRECT_SUFFIX, main=[245, 245])))
     lines.append(row("00061100000", "Vielstadt", "KS", **progress(30, 1, 9000, 100, freigegeben=0),
                      **totals(DIRECT_SUFFIX, 99, 1, 1), **votes(DIRECT_SUFFIX, main=[99])))
     for number, venue, voters in (("0001", "Schule", 60), ("9001", "Rathaus", 30), ("0002", "Briefwahl 1", 10), ("0003", "Schule", "")):
-        lines.append(row("00163301100", "Hans-Stadten-Stadt", "SB", Wahlbezirksnummer=number, Wahllokal=venue,
+        lines.append(row("00163301100", "Altenfurt, Stadt", "SB", Wahlbezirksnummer=number, Wahllokal=venue,
                          **progress(1, 1, 100, voters), **totals(DIRECT_SUFFIX, 1, 2, 1), **totals(LIST_SUFFIX, 1, 3, 1)))
     return "\n".join(lines) + "\n"

@@ -111,7 +111,7 @@ def test_history_merges_areas(spark, names):
             (None, None, 1000, 600, 580, 20, 400), (1, None, 500, 300, 290, 10, 200)]
     history = spark.createDataFrame(data, "wk int, ags string, wahlberechtigt int, waehler int, gueltig int, ungueltig int, CDU int")
     cross = spark.createDataFrame([("633021", "633030"), ("633027", "633030")], "ags string, new_key string")
-    clean = spark.createDataFrame([("633030", "Wesertal", "WK1"), ("633030", "Wesertal", "WK2")], "ags string, name string, wk_name string")
+    clean = spark.createDataFrame([("633030", "Neustadt", "WK1"), ("633030", "Neustadt", "WK2")], "ags string, name string, wk_name string")
     got = baseline.baseline_municipality(history, cross, clean, ["CDU"]).collect()
     assert len(got) == 1
     assert (got[0].ags, got[0].wk_name, got[0].stimmen_2018, got[0].wahlbeteiligung) == ("633030", "WK1", 130, 75.0)
