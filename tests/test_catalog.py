@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tally.catalog import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -38,5 +38,10 @@ def test_query_matches_its_sql(spark, duck, name):
     assert canonical(df.select(*[f"`{c}`" for c in cols]).collect()) == canonical(want)
 
 
+def test_contract_lists_the_catalog():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
