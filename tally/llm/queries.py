@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tally.llm import bpe, token_files
+from tally.llm import bpe, shards, token_files
 from tally.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,9 +18,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(read(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_END)
 
 
+def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards.histogram_shards(read(spark, sf_dir, "documents"), 24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit(shards.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op5_token_counts, op8_histogram_shards, op9_bpe)}
 SQL: dict[str, str] = {}
