@@ -15,6 +15,9 @@ An empty table gives no rows. Extra columns are carried along, whatever their na
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,18 +67,20 @@ def histogram_borders(keys: DataFrame, shards: int, tolerance: float, cells: int
         by_prefix: dict[int, list[tuple[int, int, int]]] = {}
         for probe, size, rows in counts:
             by_prefix.setdefault(probe >> step, []).append((probe, size, rows))
+        sums = {}
+        for prefix, rows in by_prefix.items():
+            rows.sort()
+            sums[prefix] = list(accumulate(r[1] for r in rows)), list(accumulate(r[2] for r in rows))
         for k, (prefix, _, size_before, rows_before) in depth.items():
-            at, at_rows = size_before, rows_before
-            for probe, size, rows in sorted(by_prefix[prefix]):
-                if at + size >= target[k] or probe == max(p for p, _, _ in by_prefix[prefix]):
-                    before, after = target[k] - at, at + size - target[k]
-                    if min(before, after) <= slack[k] or cut == 0:
-                        low = (probe if before <= after else probe + 1) << cut
-                        found[k] = (low, at_rows if before <= after else at_rows + rows)
-                    else:
-                        where[k] = (probe, bits + step, at, at_rows)
-                    break
-                at, at_rows = at + size, at_rows + rows
+            rows, (sizes, numbers) = by_prefix[prefix], sums[prefix]
+            i = min(bisect_left(sizes, target[k] - size_before), len(rows) - 1)
+            probe, size, n_rows = rows[i]
+            at, at_rows = size_before + sizes[i] - size, rows_before + numbers[i] - n_rows
+            before, after = target[k] - at, at + size - target[k]
+            if min(before, after) <= slack[k] or cut == 0:
+                found[k] = ((probe if before <= after else probe + 1) << cut, at_rows if before <= after else at_rows + n_rows)
+            else:
+                where[k] = (probe, bits + step, at, at_rows)
     mask = (1 << lo_bits) - 1
     return [(found[k][0] >> lo_bits, found[k][0] & mask, found[k][1]) for k in range(len(target))], int(total)
 
