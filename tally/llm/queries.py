@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, shards, token_files
+from tally.llm import bpe, line_runs, personal, shards, token_files
 from tally.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 WORD_BPE_END = 49_407  # <|endoftext|>
 
 
+def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``doc_id``, ``kept_text``, ``n_removed`` lines, ``runs``) of every document; runs are first-last, comma-joined."""
+    done = line_runs.remove_repeated_runs(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.col("text").alias("kept_text"),
+                       F.aggregate("runs_removed", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1).cast("long").alias("n_removed"),
+                       F.array_join(F.transform("runs_removed", lambda r: F.concat_ws("-", r["first"], r["last"])), ",").alias("runs"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(``doc_id``, ``n_tokens``): tokens of every document, counted in flat token files."""
     return token_files.document_token_counts(read(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_END)
@@ -27,5 +35,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op8_histogram_shards, op9_bpe)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_spans(read(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}") for k in personal.BASE]
+    return found.select("doc_id", *counts, F.sha2(personal.span_text("base"), 256).alias("base_sha256"), personal.span_text("spans").alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op2_line_runs, op5_token_counts, op8_histogram_shards, op9_bpe, op10_personal_data)}
 SQL: dict[str, str] = {}
