@@ -15,10 +15,10 @@ that end at one. So doubling goes as deep as the longest shortest stretch, and t
 classes of level k decide stretches of 2**k to 2**(k+1) lines. The union of the stretches that
 occurred before is the union of all maximal repeated runs, later copies, of that many words.
 
-The corpus is ordered by (key, copy of the key); within a document a later repeat of an earlier
-run is removed too. Null texts stay null, empty texts stay empty. Rows that are equal in all
-(key, text) columns are told apart by an arbitrary but fixed order. Nothing is cut or sampled,
-and an empty table gives no rows.
+The corpus is ordered by (key, hash of the text); within a document a later repeat of an earlier
+run is removed too. Rows equal in key and text are one document and get equal results. Null
+texts stay null, empty texts stay empty, null keys come first. Nothing is cut or sampled, and
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,13 +47,14 @@ def _classes(rows: DataFrame, by: list[str]) -> DataFrame:
     Counting combines before the shuffle, so a line that a third of all rows share arrives as
     one row a task; adaptive execution may split its side of the join.
     """
-    first = rows.groupBy(*by).agg(F.min(F.struct("doc", "pos")).alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
+    at = F.struct("doc", "pos")
+    first = rows.groupBy(*by).agg(F.min(at).alias("name"), F.max(at).alias("other")).where("name <> other").drop("other")
     return rows.join(first, by)
 
 
 def repeated_stretches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(``doc``, ``first``, ``last``): lines of stretches that occurred before, merged where they meet or overlap."""
-    base = _classes(lines_of(docs), ["a", "b"]).select("doc", "pos", "words", F.struct(F.col("name.doc").alias("doc"), F.col("name.pos").alias("pos")).alias("name"))
+    base = _classes(lines_of(docs), ["a", "b"]).select("doc", "pos", "words", F.struct(F.col("name.doc").alias("doc"), F.col("name.pos").alias("pos")).alias("name")).distinct()
     level = store(base, "line-classes")
 
     # Islands of neighbouring repeated lines, and the words in them up to and with each line.
@@ -105,9 +106,7 @@ def remove_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str =
     """
     names = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
     plain = docs.toDF(*names.values())
-    # Rows that repeat a key are told apart by a number among them; most keys have one row.
-    same = Window.partitionBy(names[key]).orderBy(F.xxhash64(names[text]), *[F.col(c) for c in plain.columns if c not in (names[key], names[text]) and not dict(plain.dtypes)[c].startswith(("map", "array", "struct", "variant"))])
-    slim = plain.withColumn("doc", F.struct(F.col(names[key]).cast("long").alias("key"), (F.row_number().over(same) - 1).alias("copy")))
+    slim = plain.withColumn("doc", F.struct(F.col(names[key]).cast("long").alias("key"), F.xxhash64(names[text]).alias("copy")))
     spans = repeated_stretches(slim.select("doc", F.col(names[text]).cast("string").alias("text")), min_words)
     runs = spans.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs_removed"))
     joined = slim.join(store(runs, "runs"), "doc", "left")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, line_runs, personal, shards, token_files
+from tally.llm import bpe, line_runs, near_copies, personal, shards, token_files
 from tally.llm.common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(read(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_END)
 
 
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(read(spark, sf_dir, "documents"))
+
+
 def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shards.histogram_shards(read(spark, sf_dir, "documents"), 24)
     return rows.select("doc_id", "size", "text_crc32", F.lit(shards.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -41,5 +45,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(personal.span_text("base"), 256).alias("base_sha256"), personal.span_text("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_runs, op5_token_counts, op8_histogram_shards, op9_bpe, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op2_line_runs, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
 SQL: dict[str, str] = {}
