@@ -6,13 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, line_runs, near_copies, personal, shards, token_files
-from tally.llm.common import read
+from tally.llm import bpe, language, line_runs, near_copies, personal, shards, token_files, toxicity
+from tally.llm.common import crc_mod, read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 WORD_BPE_END = 49_407  # <|endoftext|>
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = language.train(docs.where(~held_out))
+    return language.predict(docs, model, extra=[held_out.alias("held_out")])
+
+
 def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(``doc_id``, ``kept_text``, ``n_removed`` lines, ``runs``) of every document; runs are first-last, comma-joined."""
     done = line_runs.remove_repeated_runs(read(spark, sf_dir, "documents"))
@@ -21,6 +28,13 @@ def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("runs_removed", lambda r: F.concat_ws("-", r["first"], r["last"])), ",").alias("runs"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = toxicity.train(docs, read(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model, extra=[held_out.alias("held_out")]).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(``doc_id``, ``n_tokens``): tokens of every document, counted in flat token files."""
     return token_files.document_token_counts(read(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_END)
@@ -45,5 +59,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(personal.span_text("base"), 256).alias("base_sha256"), personal.span_text("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_runs, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op4_toxicity, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
 SQL: dict[str, str] = {}
