@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, language, line_runs, near_copies, personal, shards, token_files, toxicity
+from tally.llm import bpe, language, line_runs, near_copies, neighbours, personal, shards, token_files, toxicity
 from tally.llm.common import crc_mod, read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,10 @@ def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("runs_removed", lambda r: F.concat_ws("-", r["first"], r["last"])), ",").alias("runs"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = crc_mod("doc_id", 5) == 0
@@ -59,5 +63,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(personal.span_text("base"), 256).alias("base_sha256"), personal.span_text("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op4_toxicity, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op3_neighbours, op4_toxicity, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
 SQL: dict[str, str] = {}
