@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.common import store
 
-TABLES, HASHES, WIDTH, PROBES = 4, 6, 1.8, 90
+TABLES, HASHES, WIDTH, PROBES = 4, 6, 1.8, 120
 BLOCK = 20_000
 SEED = 3
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, language, line_runs, near_copies, neighbours, personal, shards, token_files, toxicity
+from tally.llm import bpe, decontaminate, language, line_runs, near_copies, neighbours, personal, shards, token_files, toxicity
 from tally.llm.common import crc_mod, read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(read(spark, sf_dir, "documents"), WORD_BPE, WORD_BPE_END)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``doc_id``, ``item_id``, ``cosine``, ``covered``, ``answer``) of every document that holds a benchmark passage."""
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(read(spark, sf_dir, "documents"))
 
@@ -63,5 +68,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(personal.span_text("base"), 256).alias("base_sha256"), personal.span_text("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op3_neighbours, op4_toxicity, op5_token_counts, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op3_neighbours, op4_toxicity, op5_token_counts, op6_decontaminate, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data)}
 SQL: dict[str, str] = {}
