@@ -1,4 +1,9 @@
-"""A pipeline over training documents; each stage works on what the one before kept."""
+"""A pipeline over training documents; each stage works on what the one before kept.
+
+Stages take (spark, docs, sf_dir) and return the columns of documents, but for the last, which
+returns the digests of the encoded texts. Rows without a text go in the first stage. An empty
+table passes through all stages as an empty table.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +11,61 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tally.llm import bpe
+from tally.llm import bpe, decontaminate, language, line_runs, near_copies
 from tally.session import store
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter and those far from every learned language."""
+    model = language.train(docs)
+    found = language.predict(docs, model, extra=[F.struct(*docs.columns).alias("_row")])
+    return found.where(~F.col("rejected")).select("_row.*")
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts later copies of line runs of 50 words or more; documents of which nothing is left go."""
+    done = line_runs.remove_repeated_runs(docs)
+    cut = F.size("runs_removed") > 0
+    return (done.where(~(cut & (F.trim(F.translate("text", "\n\t\r", "   ")) == "")))
+            .withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest number of each group of near copies (five words, 0.8)."""
+    found = near_copies.near_copies(docs, n_words=5, percent=80)
+    return docs.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = store(decontaminate.matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``) of every document left."""
     return bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("encode", encode)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("lines", remove_repeated_lines),
+    ("near copies", drop_near_copies),
+    ("benchmark", drop_contaminated),
+    ("encode", encode),
+]
 
 #: The tokenizer, the trained language model and the search are not expressible in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

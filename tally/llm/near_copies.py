@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tally.llm.common import components, mix, store, word_hashes
 
 COORDINATES = 64
-#: Of 64 coordinates, two sets of similarity 0.85 agree in 54.4 in the mean, with deviation 2.9;
-#: fewer than 43 has a chance below 1 in 10,000. At 0.8 and 40 it is 51.2, 3.2 and about 1 in 2,000.
+#: Of 64 coordinates, two sets of similarity 0.85 agree in 54.4 in the mean, with deviation 2.9, and two of
+#: 0.8 in 51.2, with deviation 3.2. Fewer than these has a chance of about 1 in 5,000 right at the threshold.
 MATCH = {85: 43, 80: 39}
 
 _RNG = np.random.default_rng(7)
