@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tally.functions.numbers import zero_pad
 from tally.catalog.registry import SEGMENT_SQL, query
 from tally.functions import measures as M
 from tally.operators import aggregates as A
@@ -108,7 +109,7 @@ def drop_listed(spark, sf):
 @query("j10_output_name_lookup", """
 SELECT c_custkey, 'g06' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '_landesstimmen' AS fname FROM customer""")
 def output_name_lookup(spark, sf):
-    own = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    own = zero_pad(F.col("c_custkey"), 9)
     customers = table(spark, sf, "customer").select("c_custkey", own.alias("ags"))
     areas = table(spark, sf, "customer").select(
         own.alias("id"), F.when(F.col("c_mktsegment") == star.CITY_SEGMENT, F.lit("s")).otherwise(F.lit("g")).alias("typ"))

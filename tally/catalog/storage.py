@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tally.functions.numbers import zero_pad
 from tally.catalog import live as V
 from tally.catalog import results as R
 from tally.catalog.registry import FEED_SQL, QUERIES, SQL, query
@@ -182,7 +183,7 @@ def area_tables(spark, sf):
 def area_documents(spark, sf):
     path = shared_folder(spark, "dokumente")
     documents = QUERIES["l17_constituency_list_documents"](spark, sf)
-    named = documents.withColumn("fname", F.concat(F.lit("wk"), F.lpad(F.col("wk").cast("string"), 3, "0"), F.lit("_landesstimmen")))
+    named = documents.withColumn("fname", F.concat(F.lit("wk"), zero_pad(F.col("wk"), 3), F.lit("_landesstimmen")))
     sinks.write_area_documents(named, path)
     return spark.read.text(path).select("fname", "value")
 

@@ -79,12 +79,12 @@ def gated_latest_state(spark, sf):
     work = shared_folder(spark, "gated")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        S.latest_state(batch, ["area_key"]).write.mode("overwrite").parquet(f"{work}/state/batch_id={batch_id}")
+        S.latest_state(batch, ["area_key"], [F.col("gezaehlt").desc()]).write.mode("overwrite").parquet(f"{work}/state/batch_id={batch_id}")
 
-    stream = S.snapshot_stream(spark, folder, snapshots.schema, files_per_trigger=1000)
+    stream = S.snapshot_stream(spark, folder, snapshots.schema, files_per_trigger=1)
     S.gate_snapshots(stream, process, work, START).awaitTermination()
     state = spark.read.schema(snapshots.schema).parquet(f"{work}/state")
-    return S.latest_state(state, ["area_key"]).select(
+    return S.latest_state(state, ["area_key"], [F.col("gezaehlt").desc()]).select(
         "area_key", "stimmbezirke", "gezaehlt", F.date_format("snapshot_ts", "yyyy-MM-dd").alias("stand"))
 
 
@@ -121,10 +121,11 @@ def progress_delta(spark, sf):
 
 @query("x06_latest_state", """
 SELECT user_id, event_type, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS n FROM events) AS e WHERE n = 1""")
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC, event_id) AS n FROM events) AS e WHERE n = 1""")
 def latest_state(spark, sf):
-    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts")
-    return S.latest_state(events, ["user_id", "event_type"], "ts").select("user_id", "event_type", "event_id")
+    # Times to the day, so that there are ties.
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.date_trunc("day", "ts").alias("ts"))
+    return S.latest_state(events, ["user_id", "event_type"], [F.col("event_id")], "ts").select("user_id", "event_type", "event_id")
 
 
 @query("x07_freshness", """

@@ -10,8 +10,12 @@ PLAIN_NUMBER = r"^[0-9]*\.*[0-9]+$"
 
 
 def parse_de_number(text: Column, to: str = "double") -> Column:
-    """``1.234,5`` -> 1234.5; text that is no number becomes null."""
-    return F.translate(F.trim(text), ",.", ".").try_cast(to)
+    """``1.234,5`` -> 1234.5; text that is no number, or no whole number for a whole type, becomes null."""
+    plain = F.translate(F.trim(text), ",.", ".")
+    if to not in ("tinyint", "smallint", "int", "bigint", "long", "integer"):
+        return plain.try_cast(to)
+    exact = plain.try_cast("decimal(38,9)")  # ``1.234,0`` is a whole number too
+    return F.when(exact == F.floor(exact), exact.try_cast(to))
 
 
 def format_de(value: Column, digits: int = 1) -> Column:

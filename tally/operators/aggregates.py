@@ -69,8 +69,8 @@ def joined_labels(label: Column, separator: str = " ") -> Column:
 
 
 def ordered_labels(order: Column, label: Column, separator: str = ", ", where: Column | None = None) -> Column:
-    """All labels (or those of the rows ``where``) of one ballot, joined in the given order."""
-    row = F.struct(order.alias("o"), label.alias("l"))
+    """All labels (or those of the rows ``where``) of one ballot, joined in the given order; a null label is empty text."""
+    row = F.struct(order.alias("o"), F.coalesce(label, F.lit("")).alias("l"))
     rows = F.array_sort(F.collect_list(row if where is None else F.when(where, row)))
     return F.array_join(F.transform(rows, lambda r: r["l"]), separator)
 

@@ -38,8 +38,8 @@ def unpivot_measures(
 def pivot_measure(
     df: DataFrame, ids: Sequence[str], names: Sequence[str], name: str = "partei", value: str = "stimmen"
 ) -> DataFrame:
-    """Long to wide for one value column. ``names`` fixes the columns, so no extra job runs."""
-    return df.groupBy(*[tick(c) for c in ids]).pivot(name, list(names)).agg(F.first(value, ignorenulls=True))
+    """Long to wide for one value column; the largest of several values. ``names`` fixes the columns, so no extra job runs."""
+    return df.groupBy(*[tick(c) for c in ids]).pivot(name, list(names)).agg(F.max(value))
 
 
 def pivot_measures(

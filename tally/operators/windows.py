@@ -1,11 +1,10 @@
 """Row-order operators that keep working when one group holds much of the table.
 
-A plain window sorts a whole group in one task. That is right for a ballot (some
-dozens of rows): pass ``small_groups=True``. Otherwise groups with many rows are cut
-into chunks along the first order column. Windows then run per (group, chunk), and
-what crosses a chunk border is carried by an aggregate with one row per chunk. With
-N rows, groups above sqrt(N) rows (but not below ``WORTH_CUTTING``) are cut into
-pieces of about that size, so neither a chunk nor the table of chunks grows large.
+A plain window sorts a whole group in one task. That is right for a ballot (some dozens of
+rows), which the caller states by ``small_groups=True``. Otherwise there is one plan for all
+sizes: rows are range-partitioned by group and order and stored, windows run per (group,
+partition), and what crosses a partition border is carried by an aggregate with one row per
+group and partition. ``order`` should end in a unique key.
 """
 
 from __future__ import annotations
@@ -15,14 +14,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tally.session import store
 
-#: A group up to this size is sorted faster in one task than cut.
-WORTH_CUTTING = 100_000
-
-_CHUNK, _HOT = "_chunk", "_hot"
+_CHUNK = "_chunk"
 
 
 def _window(part: Sequence[str], order: Sequence[str]):
@@ -40,92 +35,35 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _place(df: DataFrame, column: str) -> Column:
-    """The order column as a number that rises with it."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.DateType):
-        return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # seconds since a fixed moment; no zone, so no jump at a change of clocks
-        passed = F.col(column) - F.lit("1970-01-01").cast("timestamp_ntz")
-        return passed.cast("interval second").cast("decimal(18, 6)").cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    return F.lit(0.0)  # no number to cut along: everything at one point, see cut()
-
+def cut(df: DataFrame, part: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """Rows with ``_chunk``, which rises with groups and order: the partition of a range partition by both.
 
-def hot_groups(df: DataFrame, part: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> DataFrame:
-    """Groups above ``max_rows`` rows with the start and width of their chunks.
-
-    At most N / ``max_rows`` rows; stored, so that no later step repeats the count.
-    Chunks are equally wide along the order column.
-    """
-    limit = F.lit(max_rows) if max_rows else df.agg(
-        F.greatest(F.ceil(F.sqrt(F.count(F.lit(1)))), F.lit(WORTH_CUTTING))).scalar()
-    place = _place(df, order[0])
-    spans = df.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / limit), F.lit(1e-9))
-    hot = spans.filter(F.col("_n") > limit)
-    return store(hot.select(*part, "_lo", width.alias("_width"), limit.cast("double").alias("_limit")), "cuts")
-
-
-def with_chunks(df: DataFrame, hot: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_hot`` and the number ``_chunk``, which rises with the order; 0 in groups that stay whole."""
-    if part:
-        df = join_same(df, hot.drop("_limit"), part)
-    else:
-        df = df.withColumn("_cut", hot.select(F.struct("_lo", "_width")).scalar())
-        df = df.withColumns({c: F.col("_cut")[c] for c in ("_lo", "_width")}).drop("_cut")
-    place = _place(df, order[0])
-    # rows without a place come first, as nulls do in the order
-    chunk = F.coalesce(F.floor((place - F.col("_lo")) / F.col("_width")), F.lit(-1)).cast("bigint")
-    is_hot = F.col("_width").isNotNull()
-    return df.withColumns({
-        _HOT: is_hot, _CHUNK: F.when(is_hot, chunk).otherwise(F.lit(0).cast("bigint")),
-    }).drop("_lo", "_width")
-
-
-def cut(df: DataFrame, part: Sequence[str], order: Sequence[str], max_rows: int | None = None) -> DataFrame | None:
-    """Rows with ``_hot`` and ``_chunk``; None when no group is large enough to be cut.
-
-    Where the rows crowd so much along the order column that a chunk is still large,
-    or the column is text, all rows are numbered first (a range partition, which splits
-    equal values by the further order columns) and cut along that number.
+    One plan for all sizes: a large group spreads over as many partitions as it needs, small
+    groups share one. The input is computed once and stored, so that the steps that follow, and
+    operators that follow each other, read files. ``pieces`` fixes the number of partitions.
     """
-    hot = hot_groups(df, part, order, max_rows)
-    if hot.isEmpty():
-        return None
-    chunks = with_chunks(df, hot, part, order)
-    limit = hot.agg(F.max("_limit")).scalar()
-    crowded = chunks.filter(F.col(_HOT)).groupBy(*part, _CHUNK).agg(F.count(F.lit(1)).alias("_n")).filter(
-        F.col("_n") > 4 * limit)
-    if crowded.isEmpty():
-        return chunks
-    ranked = global_rank(df, [F.col(c).asc() for c in (*part, *order)], "_rank_all")
-    hot = hot_groups(ranked, part, ["_rank_all"], max_rows)
-    return with_chunks(ranked, hot, part, ["_rank_all"]).drop("_rank_all")
+    keys = [F.col(c).asc() for c in (*part, *order)]
+    dealt = df.repartitionByRange(pieces, *keys) if pieces else df.repartitionByRange(*keys)
+    return store(dealt.withColumn(_CHUNK, F.spark_partition_id().cast("bigint")), "cuts")
 
 
 def _with_carry(df: DataFrame, part: Sequence[str], per_chunk: Mapping[str, Column],
                 carried: Mapping[str, Column]) -> DataFrame:
-    """Join to the rows of cut groups what the earlier (or later) chunks hand over.
+    """Join to the rows what the earlier (or later) chunks of their group hand over.
 
     ``per_chunk`` aggregates each (group, chunk); ``carried`` are window expressions
     over those aggregates in chunk order. The result, one row per chunk, is stored:
     operators can follow each other without their plans multiplying.
     """
-    sums = df.filter(F.col(_HOT)).groupBy(*part, _CHUNK).agg(*[e.alias(n) for n, e in per_chunk.items()])
+    sums = df.groupBy(*part, _CHUNK).agg(*[e.alias(n) for n, e in per_chunk.items()])
     carry = sums.select(*part, _CHUNK, *[e.alias(n) for n, e in carried.items()])
     return join_same(df, store(carry, "carry"), [*part, _CHUNK])
 
 
 def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequence[str],
-         small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+         small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Last observation carried forward; leading nulls stay null."""
-    chunks = None if small_groups else cut(df, part, order, max_rows)
+    chunks = None if small_groups else cut(df, part, order, pieces)
     if chunks is None:
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
@@ -140,13 +78,13 @@ def locf(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequenc
     out = out.withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_carry_{c}")) for c in cols
     })
-    return out.drop(_CHUNK, _HOT, *[f"_carry_{c}" for c in cols])
+    return out.drop(_CHUNK, *[f"_carry_{c}" for c in cols])
 
 
 def _shifted(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-             small_groups: bool, max_rows: int | None, back: bool) -> DataFrame:
+             small_groups: bool, pieces: int | None, back: bool) -> DataFrame:
     shift = F.lag if back else F.lead
-    chunks = None if small_groups else cut(df, part, order, max_rows)
+    chunks = None if small_groups else cut(df, part, order, pieces)
     if chunks is None:
         return df.withColumns({new: shift(c).over(_window(part, order)) for new, c in cols.items()})
     pick = F.max_by if back else F.min_by
@@ -163,33 +101,33 @@ def _shifted(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order:
         new: F.when(F.col("_inside").isNotNull(), shift(c).over(inner)).otherwise(F.col("_carry")[new])
         for new, c in cols.items()
     })
-    return out.drop(_CHUNK, _HOT, "_carry", "_inside")
+    return out.drop(_CHUNK, "_carry", "_inside")
 
 
 def previous(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-             small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+             small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Add values of the previous row: new name -> source column."""
-    return _shifted(df, cols, part, order, small_groups, max_rows, back=True)
+    return _shifted(df, cols, part, order, small_groups, pieces, back=True)
 
 
 def following(df: DataFrame, cols: Mapping[str, str], part: Sequence[str], order: Sequence[str],
-              small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+              small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Add values of the next row: new name -> source column."""
-    return _shifted(df, cols, part, order, small_groups, max_rows, back=False)
+    return _shifted(df, cols, part, order, small_groups, pieces, back=False)
 
 
 def step_fill(df: DataFrame, cols: Sequence[str], part: Sequence[str], order: Sequence[str],
-              small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+              small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Fill a null from the row just before (one step only, from the original values)."""
-    out = previous(df, {f"_prev_{c}": c for c in cols}, part, order, small_groups, max_rows)
+    out = previous(df, {f"_prev_{c}": c for c in cols}, part, order, small_groups, pieces)
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_prev_{c}")) for c in cols})
     return out.drop(*[f"_prev_{c}" for c in cols])
 
 
 def running(df: DataFrame, sums: Mapping[str, Column], part: Sequence[str], order: Sequence[str],
-            small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+            small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Running sums within each group: new name -> summed column."""
-    chunks = None if small_groups else cut(df, part, order, max_rows)
+    chunks = None if small_groups else cut(df, part, order, pieces)
     if chunks is None:
         w = _window(part, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
@@ -205,19 +143,19 @@ def running(df: DataFrame, sums: Mapping[str, Column], part: Sequence[str], orde
     out = out.withColumns({
         n: F.coalesce(e + F.col(f"_carry_{n}"), e, F.col(f"_carry_{n}")) for n, e in inner.items()
     })
-    return out.drop(_CHUNK, _HOT, *[f"_carry_{n}" for n in sums])
+    return out.drop(_CHUNK, *[f"_carry_{n}" for n in sums])
 
 
 def numbered(df: DataFrame, part: Sequence[str], order: Sequence[str], into: str = "row_num",
-             small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+             small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """Number the rows of each group from 1."""
-    return running(df, {into: F.lit(1).cast("bigint")}, part, order, small_groups, max_rows)
+    return running(df, {into: F.lit(1).cast("bigint")}, part, order, small_groups, pieces)
 
 
 def drop_leading(df: DataFrame, n: int, part: Sequence[str], order: Sequence[str],
-                 small_groups: bool = False, max_rows: int | None = None) -> DataFrame:
+                 small_groups: bool = False, pieces: int | None = None) -> DataFrame:
     """All rows of each group but its first ``n``."""
-    return numbered(df, part, order, "_num", small_groups, max_rows).filter(F.col("_num") > n).drop("_num")
+    return numbered(df, part, order, "_num", small_groups, pieces).filter(F.col("_num") > n).drop("_num")
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], into: str = "rank_all") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions import notes as N
+from tally.functions.numbers import zero_pad
 from tally.operators.aggregates import ordered_labels
 from tally.operators.joins import empty_results, keep_listed, with_output_name
 from tally.operators.ranking import top_n
@@ -45,7 +46,7 @@ def constituency_direct_tables(votes: DataFrame, registry: DataFrame, known: Seq
     """Rows of the published table: the leading candidates per constituency."""
     text = N.share_delta(F.col("prozent"), F.col("differenz"), comparable(known), "%")
     rows = leading(votes, ["wk"], n).withColumn("prozent", text)
-    out = with_output_name(rows.withColumn("_id", F.lpad(F.col("wk").cast("string"), 3, "0")),
+    out = with_output_name(rows.withColumn("_id", zero_pad(F.col("wk"), 3)),
                            registry, "_id", "direkt", ["w"])
     return out.select("fname", F.col("rang").alias("zeile"), "name", "partei", "stimmen", "prozent")
 
@@ -56,7 +57,7 @@ def list_tables(votes: DataFrame, registry: DataFrame, listed: DataFrame, area:
     delta = F.col(change) if change else F.col("prozent") - F.col("prozent_2018")
     rows = keep_listed(votes, listed, "partei").withColumn(
         "prozent", N.share_delta(F.col("prozent"), delta, comparable(known)))
-    key = F.lpad(F.col(area).cast("string"), 3, "0") if area == "wk" else F.col(area)
+    key = zero_pad(F.col(area), 3) if area == "wk" else F.col(area)
     out = with_output_name(rows.withColumn("_id", key), registry, "_id", "landesstimmen", types)
     return out.select("fname", F.col("ballot_pos").alias("zeile"), "partei", "stimmen", "prozent", "wk")
 
@@ -108,7 +109,8 @@ def constituency_direct_texts(votes: DataFrame, known: Sequence[str] | None, ts:
     """
     order = [F.col("prozent").desc_nulls_last(), F.col("ballot_pos").asc()]
     ranked = votes.withColumn("_rank", F.row_number().over(Window.partitionBy("wk").orderBy(*order)))
-    label = F.concat("name", F.lit(": "), N.share_delta(F.col("prozent"), F.col("differenz"), comparable(known), "%"))
+    share = N.share_delta(F.col("prozent"), F.col("differenz"), comparable(known), "%")
+    label = F.coalesce(F.concat("name", F.lit(": "), share), F.concat("name", F.lit(N.NO_SHARE)))
     rest = ordered_labels(F.col("_rank"), label, where=F.col("_rank") > n).alias("weitere")
     areas = _figures(ranked, ["wk"], ["wk_name", "veraendert"], rest)
     title = F.concat(F.lit(N.CONSTITUENCY), F.col("wk").cast("string"), F.lit(" - "), "wk_name", F.lit(N.DIRECT_TITLE))
@@ -150,7 +152,7 @@ def state_list_texts(votes: DataFrame, ts: Column, imprint: Imprint) -> DataFram
 def placeholder_direct(candidates: DataFrame, registry: DataFrame, n: int = 5) -> DataFrame:
     """Empty constituency tables: the first ``n`` candidates in ballot order without votes."""
     first = top_n(candidates, ["wk"], [F.col("p_id").asc_nulls_last(), F.col("name").asc()], n)
-    rows = first.select(F.lpad(F.col("wk").cast("string"), 3, "0").alias("_id"), F.col("rang").alias("zeile"), "name",
+    rows = first.select(zero_pad(F.col("wk"), 3).alias("_id"), F.col("rang").alias("zeile"), "name",
                         F.lit(0.0).alias("prozent"))
     return with_output_name(rows, registry, "_id", "direkt", ["w"]).drop("_id")
 
@@ -182,7 +184,7 @@ def named_texts(texts: DataFrame, registry: DataFrame, table: str) -> DataFrame:
     """Add the output name of each area's text; ``table`` is like ``kreise_direkt``."""
     level, kind = table.split("_")
     if level == "kreise":
-        key, types = F.lpad(F.col("wk").cast("string"), 3, "0"), ["w"]
+        key, types = zero_pad(F.col("wk"), 3), ["w"]
     else:
         key, types = F.col("ags"), ["g", "s"]
     return with_output_name(texts.withColumn("_id", key), registry, "_id", kind, types)

@@ -38,15 +38,9 @@ KEY_SHAPE = (3, 12)
 SUMS = ["wahlberechtigt", "waehler", "ungueltig_d", "gueltig_d", "ungueltig_l", "gueltig_l"]
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema is looked up in the file once."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def period(present: bool) -> Column:

@@ -56,7 +56,8 @@ def locale_lines(df: DataFrame, digits: Mapping[str, int] | None = None, separat
     """Each row as one text line with decimal commas; null cells are ``NA``.
 
     ``digits`` gives the decimal places to print; fractional columns not in it keep all
-    they have.
+    they have. Cells that hold the separator, a quote or a line break are quoted, quotes
+    inside doubled; a line break becomes a blank, as a row is a line.
     """
     digits = digits or {}
     cells = []
@@ -67,7 +68,9 @@ def locale_lines(df: DataFrame, digits: Mapping[str, int] | None = None, separat
             text = F.translate(quoted(c).cast("string"), ".", ",")
         else:
             text = quoted(c).cast("string")
-        cells.append(F.coalesce(text, F.lit("NA")))
+        special = text.contains(separator) | text.contains('"') | text.rlike("[\\r\\n]")
+        one_line = F.regexp_replace(F.replace(text, F.lit('"'), F.lit('""')), "[\\r\\n]+", " ")
+        cells.append(F.coalesce(F.when(special, F.concat(F.lit('"'), one_line, F.lit('"'))).otherwise(text), F.lit("NA")))
     return df.select(F.concat_ws(separator, *cells).alias("value"))
 
 
@@ -82,4 +85,7 @@ def write_locale_text(df: DataFrame, path: str, banner: str | None = None,
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     lines = locale_lines(df, digits, separator).withColumn("_place", place)
     value = F.when(F.col("_place") == 0, F.concat(F.lit(first), "value")).otherwise(F.col("value"))
+    if df.isEmpty():  # no task has a first row to put the header in front of
+        lines = df.sparkSession.range(1).select(F.lit(first.rstrip("\n")).alias("value"))
+        value = F.col("value")
     lines.select(value.alias("value")).write.mode("overwrite").text(path)

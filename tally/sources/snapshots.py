@@ -53,7 +53,7 @@ def _text_options(reader, separator: str):
     return (
         reader.option("sep", separator).option("header", False)
         .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-        .option("nullValue", NULL_MARKER).option("mode", "PERMISSIVE")
+        .option("nullValue", NULL_MARKER).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
     )
 
 

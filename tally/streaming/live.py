@@ -30,8 +30,9 @@ def run_live(spark: SparkSession, landing: str, election: Election, folder: str,
              files_per_trigger: int = 1) -> StreamingQuery:
     """Watch a landing folder of snapshot files and publish each newer one below ``folder``.
 
-    A snapshot is one file, or several that arrive within one trigger. Those not newer
-    than the last published one, or not later than the begin of the count, are skipped. With ``available_now`` the files present are
+    A snapshot is one file, or several of the same time, in one trigger or in many: each that
+    adds to it publishes all of it so far. Those older than the last published one, or not
+    later than the begin of the count, are skipped. With ``available_now`` the files present are
     handled and the query ends.
     """
     columns = list(columns or feed_columns())

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tally.functions.measures import is_complete
 from tally.functions.text import age_seconds
@@ -36,12 +37,15 @@ def _gate(spark: SparkSession, path: str, start: str, batch_id: int):
 def gate_snapshots(stream: DataFrame, process: Callable[[DataFrame, int], None], folder: str, start: str,
                    ts: str = "snapshot_ts", available_now: bool = True,
                    prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Process only snapshots newer than the last one processed.
-
-    Older and equal ones are dropped. ``prepare`` may first turn the raw rows of a batch
-    into rows with a time. ``process`` gets the newer rows and the batch
-    number and must replace its output for a number it has seen (a batch may be
-    replayed after a failure). The times processed are kept in a small table below
+    """Process only snapshots that are not older than the last one processed.
+
+    A snapshot is all rows of one time, in however many files and batches they arrive: a
+    batch that adds to the snapshot in progress gives ``process`` all its rows so far, so
+    no result depends on how files are cut into batches. Older snapshots are dropped; a
+    snapshot that is delivered again adds rows that are there already, which count once.
+    ``prepare`` may first turn the raw rows of a batch into rows with a time. ``process``
+    also gets the batch number and must replace its output for a number it has seen (a
+    batch may be replayed after a failure). Times and rows accepted are kept below
     ``folder``, next to the checkpoint.
     """
     spark = stream.sparkSession
@@ -51,8 +55,18 @@ def gate_snapshots(stream: DataFrame, process: Callable[[DataFrame, int], None],
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        newer = rows.filter(F.col(ts) > _gate(batch.sparkSession, gate_path, start, batch_id))
-        process(newer, batch_id)
+        session = batch.sparkSession
+        last = _gate(session, gate_path, start, batch_id)
+        first = F.to_timestamp_ntz(F.lit(start), F.lit("yyyy-MM-dd HH:mm:ss"))
+        path = f"{folder}/rows/batch_id={batch_id}"
+        rows.filter((F.col(ts) > first) & (F.col(ts) >= last)).write.mode("overwrite").parquet(path)
+        newer = session.read.schema(rows.schema).parquet(path)
+        before = session.read.option("basePath", f"{folder}/rows").schema(
+            StructType([*rows.schema.fields, StructField("batch_id", LongType())])).parquet(f"{folder}/rows")
+        parts = before.filter((F.col("batch_id") < batch_id) & (F.col(ts) == last)).drop("batch_id")
+        fresh = newer.dropDuplicates().subtract(parts)
+        adds = not fresh.filter(F.col(ts) == last).isEmpty()
+        process(parts.unionByName(fresh) if adds else fresh, batch_id)
         newer.agg(F.max(ts).alias("snapshot_ts")).filter("snapshot_ts IS NOT NULL") \
             .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "snapshot_ts") \
             .write.mode("append").parquet(gate_path)
@@ -79,11 +93,12 @@ def newly_completed(stream: DataFrame, initial: DataFrame, key: str = "area_key"
 
 
 def newly_completed_batch(snapshots: DataFrame, initial: DataFrame, key: str = "area_key",
-                          levels: Sequence[str] = LEVELS) -> DataFrame:
-    """Batch twin: the first snapshot row at which each area is complete."""
+                          levels: Sequence[str] = LEVELS, ties: Sequence[Column] = ()) -> DataFrame:
+    """Batch twin: the first snapshot row at which each area is complete; of several at one time the first by ``ties``,
+    which default to the counts."""
     before = complete_areas(initial, levels).select(key)
     done = complete_areas(snapshots, levels).join(before, key, "left_anti")
-    return first_by(done, [key], [F.col("snapshot_ts")])
+    return first_by(done, [key], [F.col("snapshot_ts"), *(ties or [F.col("gezaehlt"), F.col("stimmbezirke")])])
 
 
 def run_newly_completed(stream: DataFrame, initial: DataFrame, folder: str, key: str = "area_key") -> StreamingQuery:
@@ -112,9 +127,9 @@ def stop_when_done(query: StreamingQuery, totals: Callable[[], DataFrame], poll_
             query.stop()
 
 
-def latest_state(snapshots: DataFrame, key: Sequence[str], ts: str = "snapshot_ts") -> DataFrame:
-    """The newest row of each area."""
-    return first_by(snapshots, key, [F.col(ts).desc()])
+def latest_state(snapshots: DataFrame, key: Sequence[str], ties: Sequence[Column], ts: str = "snapshot_ts") -> DataFrame:
+    """The newest row of each area; of several at one time the first by ``ties``."""
+    return first_by(snapshots, key, [F.col(ts).desc(), *ties])
 
 
 def freshness(df: DataFrame, ts: str, now: Column, max_age: int = 120, by: Sequence[str] = ()) -> DataFrame:

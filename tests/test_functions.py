@@ -24,6 +24,11 @@ def test_parse_german_numbers(values):
     assert got == (1234.5, 12.0, 0.25, -3.0, None, None, None)
 
 
+def test_whole_numbers_with_decimals(values):
+    got = values(*[NUM.parse_de_number(lit(t), "bigint") for t in ("1.234,0", "1.234", "12,5", "NA")])
+    assert got == (1234, 1234, None, None)
+
+
 def test_format_german_numbers(values):
     got = values(NUM.format_de(lit(1234567.25)), NUM.format_de(lit(4054), 0), NUM.format_de(lit(0.25)),
                  NUM.format_de(lit(0.35)), NUM.format_de(lit(None).cast("double")))

@@ -32,8 +32,8 @@ def history(spark):
 
 
 @pytest.mark.parametrize("part", [["k"], []])
-@pytest.mark.parametrize("max_rows", [None, 7, 10_000])
-def test_cut_groups_give_what_plain_windows_give(history, part, max_rows):
+@pytest.mark.parametrize("pieces", [None, 7, 1])
+def test_cut_groups_give_what_plain_windows_give(history, part, pieces):
     order = ["pos", "id"]
     w = Window.partitionBy(*part).orderBy(*order)
     full = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -41,18 +41,17 @@ def test_cut_groups_give_what_plain_windows_give(history, part, max_rows):
         "id", F.last("x", True).over(full).alias("l"), F.lag("x").over(w).alias("p"), F.lead("x").over(w).alias("f"),
         F.coalesce("x", F.lag("x").over(w)).alias("s"), F.sum("x").over(full).alias("r"), F.row_number().over(w).alias("n"))
     got = history.withColumn("l", F.col("x"))
-    got = W.locf(got, ["l"], part, order, max_rows=max_rows)
-    got = W.previous(got, {"p": "x"}, part, order, max_rows=max_rows)
-    got = W.following(got, {"f": "x"}, part, order, max_rows=max_rows)
-    got = W.step_fill(got.withColumn("s", F.col("x")), ["s"], part, order, max_rows=max_rows)
-    got = W.running(got, {"r": F.col("x")}, part, order, max_rows=max_rows)
-    got = W.numbered(got, part, order, "n", max_rows=max_rows)
+    got = W.locf(got, ["l"], part, order, pieces=pieces)
+    got = W.previous(got, {"p": "x"}, part, order, pieces=pieces)
+    got = W.following(got, {"f": "x"}, part, order, pieces=pieces)
+    got = W.step_fill(got.withColumn("s", F.col("x")), ["s"], part, order, pieces=pieces)
+    got = W.running(got, {"r": F.col("x")}, part, order, pieces=pieces)
+    got = W.numbered(got, part, order, "n", pieces=pieces)
     assert rows(got, *want.columns) == rows(want)
 
 
 def test_no_chunk_holds_the_hot_group(history):
-    hot = W.hot_groups(history, ["k"], ["pos"], 20)
-    sizes = W.with_chunks(history, hot, ["k"], ["pos"]).groupBy("k", "_chunk").count()
+    sizes = W.cut(history, ["k"], ["pos", "id"] if "id" in history.columns else ["pos"], 20).groupBy("k", "_chunk").count()
     biggest = sizes.agg(F.max("count")).first()[0]
     whole = history.groupBy("k").count().agg(F.max("count")).first()[0]
     assert biggest < whole / 5
@@ -62,27 +61,23 @@ def test_no_chunk_holds_the_hot_group(history):
 def test_groups_are_cut_along_times_and_numbers(spark, kind):
     value = F.col("id") if kind == "bigint" else F.timestamp_seconds(F.col("id") * 40_000).cast(kind)
     df = spark.range(500).select("id", F.lit(0).alias("k"), value.alias("at"))
-    got = W.numbered(df, ["k"], ["at", "id"], "n", max_rows=40)
+    got = W.numbered(df, ["k"], ["at", "id"], "n", pieces=5)
     assert got.filter(F.col("n") != F.col("id") + 1).count() == 0
-    chunks = W.with_chunks(df, W.hot_groups(df, ["k"], ["at"], 40), ["k"], ["at"]).groupBy("_chunk").count()
-    assert chunks.count() >= 12 and chunks.agg(F.max("count")).first()[0] <= 42
+    chunks = W.cut(df, ["k"], ["at", "id"], 12).groupBy("_chunk").count()
+    assert chunks.count() >= 10 and chunks.agg(F.max("count")).first()[0] <= 84
 
 
 def test_rows_at_one_point_or_ordered_by_text_are_cut_too(spark):
     df = spark.range(2000).select("id", F.lit(0).alias("k"), F.lit(5).alias("at"), F.format_string("%05d", "id").alias("name"),
                                   F.when(F.col("id") % 7 == 0, F.col("id")).alias("x"))
     for order in (["at", "id"], ["name"]):
-        chunks = W.cut(df, ["k"], order, 100)
+        chunks = W.cut(df, ["k"], order, 20)
         sizes = chunks.groupBy("_chunk").count().agg(F.min("count"), F.max("count"), F.count("*")).first()
-        assert sizes[1] <= 101 and sizes[2] >= 20
-        got = W.locf(W.numbered(df, ["k"], order, "n", max_rows=100), ["x"], ["k"], order, max_rows=100)
+        assert sizes[1] <= 200 and sizes[2] >= 18
+        got = W.locf(W.numbered(df, ["k"], order, "n", pieces=3), ["x"], ["k"], order, pieces=3)
         assert got.filter((F.col("n") != F.col("id") + 1) | (F.col("x") != F.col("id") - F.col("id") % 7)).count() == 0
 
 
-def test_small_groups_are_not_cut(history):
-    assert W.hot_groups(history, ["k"], ["pos"]).isEmpty()
-
-
 @pytest.mark.parametrize("n,count", [(5, 23), (5, 3), (4, 100), (3, 0)])
 def test_ntile_as_the_sql_function(spark, n, count):
     rnd = random.Random(count)
@@ -226,8 +221,8 @@ def test_limit_is_applied_before_the_shuffle(history):
 def test_flatten_json(spark):
     doc = {"title": ["T"], "describe": {"intro": ["a", "b"], "deep": {"x": {"y": {"z": 1}}}}, "n": 3, "f": None, "o": {}}
     df = spark.createDataFrame([(1, json.dumps(doc)), (2, "kein json"), (3, None)], "id int, doc string")
-    got = {r.path: (r.name, r.value) for r in flatten_json(df, "doc", 4).filter("id = 1").collect()}
+    got = {r.path: (r.name, r.value) for r in flatten_json(df, "doc").filter("id = 1").collect()}
     assert got["describe"] == ("describe", "") and got["o"] == ("o", "") and got["n"] == ("n", "3")
     assert got["describe/intro/0"] == ("intro", "a") and got["describe/intro/1"] == ("intro", "b")
-    assert json.loads(got["describe/deep/x/y"][1]) == {"z": 1}  # deeper than asked for: kept whole
-    assert flatten_json(df, "doc", 4).filter("id > 1").count() == 0
+    assert got["describe/deep/x/y"] == ("y", "") and got["describe/deep/x/y/z"] == ("z", "1")
+    assert flatten_json(df, "doc").filter("id > 1").count() == 0

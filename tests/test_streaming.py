@@ -49,6 +49,23 @@ def test_gate_drops_old_snapshots(spark, tmp_path):
     assert got == [[], [19], [], [], [20]]
 
 
+def test_snapshot_in_several_files(spark, tmp_path):
+    folder, work, got = str(tmp_path / "in"), str(tmp_path / "work"), []
+
+    def process(batch, batch_id):
+        got.append(sorted(r.area_key for r in batch.collect()))
+
+    for area in ("a", "b", "c"):
+        land(snapshot(spark, 19, **{area: 1}), folder)
+    S.gate_snapshots(S.snapshot_stream(spark, folder, SCHEMA, 1), process, work, "2023-10-08 17:00:00").awaitTermination()
+    assert got[-1] == ["a", "b", "c"]
+
+
+def test_newest_row_breaks_ties(spark):
+    rows = snapshot(spark, 19, a=1).union(snapshot(spark, 19, a=3))
+    assert S.latest_state(rows, ["area_key"], [F.col("gezaehlt").desc()]).first().gezaehlt == 3
+
+
 def test_query_stops_when_all_is_counted(spark, tmp_path):
     folder, work = str(tmp_path / "in"), str(tmp_path / "work")
     land(snapshot(spark, 19, a=1), folder)
@@ -56,14 +73,14 @@ def test_query_stops_when_all_is_counted(spark, tmp_path):
 
     def process(batch, batch_id):
         if batch.count():
-            state["latest"] = S.latest_state(batch, ["area_key"]).collect()
+            state["latest"] = S.latest_state(batch, ["area_key"], [F.col("gezaehlt")]).collect()
 
     stream = S.snapshot_stream(spark, folder, SCHEMA)
     query = S.gate_snapshots(stream, process, work, "2023-10-08 17:00:00", available_now=False)
     query.processAllAvailable()
     assert query.isActive
     land(snapshot(spark, 20, a=3), folder)
-    S.stop_when_done(query, lambda: S.latest_state(spark.read.schema(SCHEMA).parquet(folder), ["area_key"]), poll_seconds=1)
+    S.stop_when_done(query, lambda: S.latest_state(spark.read.schema(SCHEMA).parquet(folder), ["area_key"], [F.col("gezaehlt")]), poll_seconds=1)
     assert not query.isActive
 
 
@@ -71,7 +88,7 @@ def test_progress_and_latest_state(spark):
     totals = snapshot(spark, 18, a=1).union(snapshot(spark, 19, a=1)).union(snapshot(spark, 20, a=3))
     delta = S.progress_delta(totals, ["area_key"])
     assert [r.neu for r in delta.orderBy("snapshot_ts").collect()] == [1, 0, 2]
-    assert S.latest_state(totals, ["area_key"]).first().gezaehlt == 3
+    assert S.latest_state(totals, ["area_key"], [F.col("gezaehlt")]).first().gezaehlt == 3
 
 
 @pytest.mark.parametrize("now,stale", [("2023-10-08 20:02:00", False), ("2023-10-08 20:02:01", True)])
