@@ -16,7 +16,7 @@ done. When little is left, or rounds no longer help, the documents outside a lis
 component are compared with all of the list that are not in their own component: collisions are
 counted on the whole signatures, and pairs with ``match`` or more are confirmed on the full sets.
 Where such a document meets a large component in most of its lists, it is compared on full sets
-with all of it, in blocks, instead of pair by pair. Links inside one component change nothing and are not looked for.
+with all of it, and with the others that meet it, in blocks, instead of pair by pair. Links inside one component change nothing and are not looked for.
 
 Words are what ASCII white space parts, A-Z lower-cased. A document of fewer words than a
 shingle has one shingle of all its words; null, empty and blank texts have an empty set and are
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.common import components, mix, store, word_hashes
@@ -113,45 +113,47 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("a", "b"))
 
 
-def _links_in_block(minor: pd.DataFrame, member: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """A link from each document of ``minor`` to one of ``member`` that is similar enough, if there is one.
+def _links_in_block(asking: pd.DataFrame, member: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links from each document of ``asking`` to ``member``: one to each other component with a similar document.
 
     Common shingles with all members at once: shingles of a document name their members, and names are counted.
     """
     found = []
-    if len(minor) and len(member):
-        nodes = member["node"].to_numpy()
+    if len(asking) and len(member):
+        nodes, component = member["node"].to_numpy(), member["component"].to_numpy()
         own = [np.asarray(x, np.int64) for x in member["shingles"]]
         size = np.array([len(x) for x in own])
         flat, who = np.concatenate(own), np.repeat(np.arange(len(own)), size)
         order = np.argsort(flat, kind="stable")
         flat, who = flat[order], who[order]
-        for a, shingles in zip(minor["node"].tolist(), minor["shingles"], strict=True):
+        for a, of, shingles in zip(asking["node"].tolist(), asking["component"].tolist(), asking["shingles"], strict=True):
             x = np.asarray(shingles, np.int64)
             lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
             common = np.zeros(len(own), np.int64)
             for start, end in zip(lo.tolist(), hi.tolist(), strict=True):
                 common[who[start:end]] += 1  # a shingle names a member once
-            near = np.flatnonzero(common * 100 >= (len(x) + size - common) * percent)
-            if len(near):
-                found.append((a, int(nodes[near[0]])))
+            near = np.flatnonzero((common * 100 >= (len(x) + size - common) * percent) & (component != of))
+            found += [(a, int(nodes[near[i]])) for i in np.unique(component[near], return_index=True)[1]]
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def _compared_in_blocks(meets: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) from the documents of ``meets`` (``node``, ``top``) to documents of the component ``top``.
+def _compared_in_blocks(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) between documents of ``asking`` and ``members`` (``node``, ``component``, ``top``) of one ``top``.
 
     Both sides are dealt into blocks of about ``BLOCK`` documents, and every block meets every
     block, so that no task holds more than two of them; no pairs leave a task but links.
     """
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
-    counts = (meets.groupBy("top").agg(F.count("*").alias("n_a"))
-              .join(members.groupBy(F.col("component").alias("top")).agg(F.count("*").alias("n_b")), "top"))
-    a = (meets.join(counts, "top").join(sets, "node")
-         .select("node", "shingles", "top", F.pmod(F.xxhash64("node"), blocks("n_a")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks("n_b") - 1)).alias("j")))
-    b = (members.withColumnRenamed("component", "top").join(counts, "top").join(sets, "node")
-         .select(F.col("node").alias("node"), F.col("shingles").alias("shingles"), F.col("top").alias("top"),
-                 F.explode(F.sequence(F.lit(0).cast("long"), blocks("n_a") - 1)).alias("i"), F.pmod(F.xxhash64("node"), blocks("n_b")).alias("j")))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    counts = (asking.groupBy("top").agg(F.count("*").alias("n_a"))
+              .join(members.groupBy("top").agg(F.count("*").alias("n_b")), "top"))
+
+    def dealt(rows: DataFrame, i: Column, j: Column) -> DataFrame:
+        return (rows.join(counts, "top").join(sets, "node")
+                .select(*[F.col(c).alias(c) for c in ("node", "component", "shingles", "top")], i.alias("i"), j.alias("j")))
+
+    a = dealt(asking, F.pmod(F.xxhash64("node"), blocks("n_a")), every("n_b"))
+    b = dealt(members, every("n_a"), F.pmod(F.xxhash64("node"), blocks("n_b")))
     return (a.groupBy("top", "i", "j").cogroup(b.groupBy("top", "i", "j"))
             .applyInPandas(lambda x, y: _links_in_block(x, y, percent), "a long, b long"))
 
@@ -213,9 +215,13 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
         # Whoever meets a component in lists that hold as many places as it has documents is compared with all of it, in blocks.
         tops = labelled.select("node", "component").distinct()
         sizes = tops.groupBy(F.col("component").alias("top")).agg(F.count("*").alias("size"))
-        meets = store(minor.groupBy("node", "top").agg(F.sum("top_n").alias("places")).join(sizes, "top")
+        meets = store(minor.groupBy("node", "component", "top").agg(F.sum("top_n").alias("places")).join(sizes, "top")
                       .withColumn("all", F.col("places") >= F.col("size")), "meets")
-        links = store(links.unionByName(_compared_in_blocks(meets.where("all").select("node", "top"), tops, sets, percent)), "links")
+        asking = meets.where("all").select("node", "component", "top")
+        inside = tops.select("node", "component", F.col("component").alias("top"))
+        beside = meets.select("node", "component", "top")  # the others that meet the same component
+        links = store(links.unionByName(_compared_in_blocks(asking, inside, sets, percent))
+                      .unionByName(_compared_in_blocks(asking, beside, sets, percent)), "links")
         few = minor.join(meets.where("NOT all").select("node", "top"), ["node", "top"], "left_semi")
 
         def side(rows: DataFrame, end: str) -> DataFrame:
@@ -223,7 +229,7 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
 
         # A pair of documents counts in the first list that both are in.
         here = F.array_min(F.array_intersect("pa", "pb")) == F.col("pair")
-        among = side(minor, "a").join(side(minor, "b"), "pair").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & here)
+        among = side(few, "a").join(side(few, "b"), "pair").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & here)
         outward = side(few, "a").join(side(open_lists.where("component = top"), "b"), "pair").where(here)
         pairs = among.select("a", "b").unionByName(outward.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         sig = lambda end: nodes.select(F.col("node").alias(end), F.col("sig").alias(f"s{end}"))
