@@ -31,7 +31,7 @@ BUCKETS = 1 << 12
 CENTROIDS = 4
 SAMPLE = 300
 #: A text is rejected below this share of the cosine that all but 1 % of training texts of its language reach.
-MARGIN = 0.2
+MARGIN = 0.05
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
