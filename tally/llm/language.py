@@ -30,6 +30,7 @@ from tally.llm.common import store
 BUCKETS = 1 << 12
 CENTROIDS = 4
 SAMPLE = 300
+SLICES = 16  # groups that a language is dealt into before its sample is taken
 #: A text is rejected below this share of the cosine that all but 1 % of training texts of its language reach.
 MARGIN = 0.05
 UNKNOWN = "und"
@@ -107,8 +108,12 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
         df[b] = x
     idf = (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32)
 
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = rows.select("key", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).select("key", "lang").distinct()
+    # First the smallest hashes of each (language, slice), then those of the language: a frequent language is no single group.
+    keys = rows.select("key", "lang", F.xxhash64("key").alias("h"), F.pmod(F.hash("key"), F.lit(SLICES)).alias("slice"))
+    for group in (["lang", "slice"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("h", "key")
+        keys = keys.withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).drop("r")
+    chosen = keys.select("key", "lang").distinct()
     sample = store(rows.join(chosen, ["key", "lang"], "left_semi"), "language-sample")  # at most SAMPLE rows a language
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
