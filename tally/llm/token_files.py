@@ -7,7 +7,8 @@ document it leaves open and its first separator. A prefix scan over the blocks'
 which are one small row a block, stitches documents that run across blocks.
 
 With ``id_digits`` > 0 a document begins with that many ids that spell its number in base
-32,768 (never the separator's value if that is 32,768 or more); they are not counted.
+32,768 (never the separator's value if that is 32,768 or more); they are not counted. Digits
+of 64 bits or more are no number: a document without one has ``id`` null.
 
 Empty files and folders without files give no rows. A separator right after another is an
 empty document with 0 tokens. Ids after a file's last separator are an unfinished document
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tally.llm.bpe import encoder
 from tally.session import shared_folder
@@ -30,6 +32,7 @@ BASE_BITS = 15
 ID_DIGITS = 5  # 75 bits, more than a long needs
 BLOCK = 1 << 18  # ids in a block
 DOCS_IN_FILE = 2_000  # keeps a file within a task's memory
+STAND_IN = (1 << 16) - 1  # written for the separator's id where a text holds it; no vocabulary has it
 
 _ROW = ("file string, block long, docs array<struct<id:long,start:long,n_tokens:long>>, first_sep long, open_id long, open_start long, n_ids long")
 _TYPES = pa.schema([
@@ -38,31 +41,32 @@ _TYPES = pa.schema([
     ("first_sep", pa.int64()), ("open_id", pa.int64()), ("open_start", pa.int64()), ("n_ids", pa.int64())])
 
 
-def spell(number: int) -> np.ndarray:
-    """``ID_DIGITS`` ids that stand for a long, smallest digit first."""
-    u = number & ((1 << 64) - 1)
+def spell(number: int | None) -> np.ndarray:
+    """``ID_DIGITS`` ids that stand for a long, smallest digit first; for None digits that no long has."""
+    u = (1 << (BASE_BITS * ID_DIGITS)) - 1 if number is None else number & ((1 << 64) - 1)
     return np.array([(u >> (BASE_BITS * i)) & ((1 << BASE_BITS) - 1) for i in range(ID_DIGITS)], "<u2")
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, eod: int, key: str = "doc_id", text: str = "text") -> None:
     """Write ``docs`` as flat files of 16-bit ids: the document's number, its tokens, ``eod``.
 
-    Null texts are empty documents; rows with a null key are rejected, as their count could
-    not be told from others. The tokenizer's vocabulary must fit 16 bits. Map only: no shuffle.
+    Null texts are empty documents. Rows with a null key are written with digits that no number
+    has. An id of a text that is ``eod``, as a special token in the text gives, is written as
+    ``STAND_IN``, so that it ends no document. All ids of the tokenizer must be below ``STAND_IN``.
+    Map only: no shuffle.
     """
     if not (1 << BASE_BITS) <= eod < (1 << 16):
         raise ValueError("the separator must be an id from 32768 to 65535")
+    if max(Tokenizer.from_file(tokenizer).get_vocab(True).values(), default=0) >= STAND_IN:
+        raise ValueError("the tokenizer's ids do not fit the file format")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
             out, size = [], 0
             for k, t in zip(batch.column(0), batch.column(1), strict=True):
-                if not k.is_valid:
-                    raise ValueError("a document without a key")
                 ids = np.frombuffer(enc.encode(t.as_py())[0], "<u4")
-                if len(ids) and (ids.max() >= 1 << 16 or (ids == eod).any()):
-                    raise ValueError("an id of the text does not fit the file format")
+                ids = np.where(ids == eod, STAND_IN, ids)
                 out.append(spell(k.as_py()).tobytes() + ids.astype("<u2").tobytes())
                 size += len(out[-1])
                 if size > 8_000_000:
@@ -85,7 +89,9 @@ def scan_block(ids: np.ndarray, start: int, stop: int, eod: int, id_digits: int)
         digits = ids[at : at + id_digits]
         if not id_digits or len(digits) < id_digits:
             return None
-        u = sum(int(d) << (BASE_BITS * i) for i, d in enumerate(digits)) & ((1 << 64) - 1)
+        u = sum(int(d) << (BASE_BITS * i) for i, d in enumerate(digits))
+        if u >= 1 << 64:
+            return None
         return u - (1 << 64) if u >= 1 << 63 else u
 
     seps = start + np.flatnonzero(ids[start:stop] == eod)

@@ -75,6 +75,19 @@ def test_token_blocks_are_stitched(spark, tmp_path, block):
     assert [(r.n_tokens, r.complete) for r in got] == [(n, True) for n in lengths] + [(2, False)]
 
 
+def test_token_counts_of_special_tokens_and_null_keys(spark):
+    """A text may hold the separator's own token, and rows need no number."""
+    texts = [(1, "a<|endoftext|>b"), (2, "<|endoftext|>"), (3, "<|endoftext|><|endoftext|> c"), (None, "no number"), (None, None),
+             (None, "<|endoftext|>"), (-(2**63), "low"), (2**63 - 1, "high one"), (-1, "")]
+    tok = Tokenizer.from_file(WORD_BPE)
+    want = [(k, len(tok.encode(t or "", add_special_tokens=False).ids)) for k, t in texts]
+    assert any(WORD_BPE_END in tok.encode(t or "", add_special_tokens=False).ids for _, t in texts)
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = [(r.doc_id, r.n_tokens) for r in token_files.document_token_counts(df, WORD_BPE, WORD_BPE_END).collect()]
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(got, key=order) == sorted(want, key=order)
+
+
 def test_languages_of_held_out_texts(spark, documents):
     got = collected(QUERIES["op1_language_id"](spark, SF_DIR))
     held = [k for k in documents if zlib.crc32(str(k).encode()) % 3 == 1]
