@@ -8,13 +8,18 @@ tables are merged and ranked by exact distance.
 
 Equal vectors are one class: buckets hold classes, so a vector that many rows share is one
 entry, and its smallest ``k`` + 1 numbers, which are all that a nearest list can hold, stand in
-for the class. Buckets are dealt out in blocks; a bucket of more than ``BLOCK`` classes is split
-into several, each visited by the bucket's queries. A block gives the best ``k`` of each query
-and no pairs.
+for the class. Buckets are dealt out in blocks; a bucket of more than ``BLOCK`` classes or queries
+is split into several, and each part of its classes meets each part of its queries. A block gives
+the best ``k`` of each query and no pairs.
+
+A query that found fewer than ``k`` rows, or whose last row is further away than one step, lies
+where hashing does not reach its neighbours (it is much longer than the others, or rows are few).
+It is compared with all vectors, in blocks of queries and vectors. Hashes do not grow with the
+rows: where neighbours are hardly nearer than other rows, smaller buckets lose them.
 
 Vectors that are null, zero, of a length other than the table's most frequent one, or that hold
 null or non-finite components take no part, and rows without a number do not either. Rows that
-repeat a number with the same vector count once. Fewer than ``k`` candidates give what there is.
+repeat a number with the same vector count once. A table of fewer than ``k`` others gives them all.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from tally.llm.common import store
 
 TABLES, HASHES, WIDTH, PROBES = 4, 6, 1.8, 120
 BLOCK = 20_000
+EXACT_BLOCK = 5_000  # queries, and vectors, that meet in one block of the exact search
 SEED = 3
 
 _STEPS = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)))
@@ -141,27 +147,56 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     step = WIDTH * float(np.sqrt(length))
     own = _hashed(points, step, 0)
     asked = points.where("asked")
-    probes = _hashed(asked, step, PROBES)
-    counts = store(own.groupBy("t", "bucket").agg(F.count("*").alias("many")), "buckets")
-    parts = F.ceil(F.col("many") / BLOCK).cast("long")
-    blocks = max(1, -(-counts.agg(F.sum("many")).first()[0] // BLOCK))
-
-    def dealt(found: DataFrame, split: Column) -> DataFrame:
-        cell = found.join(counts, ["t", "bucket"]).withColumn("part", split)
-        return (cell.select("id", F.xxhash64("t", "bucket", "part").alias("cell"))
+    probes = store(_hashed(asked, step, PROBES), "probes")
+    counts = store(own.groupBy("t", "bucket").agg(F.count("*").alias("many"))
+                   .join(probes.groupBy("t", "bucket").agg(F.count("*").alias("visits")), ["t", "bucket"])
+                   .select("t", "bucket", F.ceil(F.col("many") / BLOCK).cast("long").alias("parts"),
+                           F.ceil(F.col("visits") / BLOCK).cast("long").alias("asked_parts"), "many", "visits"), "buckets")
+    total = counts.agg(F.sum(F.col("many") * F.col("asked_parts")), F.sum(F.col("visits") * F.col("parts"))).first()
+    blocks = max(1, -(-max(n or 0 for n in total) // BLOCK))
+
+    def each(parts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+
+    def dealt(found: DataFrame, split: Column, asked_split: Column) -> DataFrame:
+        cell = found.join(counts, ["t", "bucket"]).withColumn("part", split).withColumn("asked_part", asked_split)
+        return (cell.select("id", F.xxhash64("t", "bucket", "part", "asked_part").alias("cell"))
                 .withColumn("block", F.pmod("cell", F.lit(blocks))).join(points.select("id", "v"), "id"))
 
-    here = dealt(own, F.pmod(F.xxhash64("id"), parts))
-    there = dealt(probes, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    found = (there.groupBy("block").cogroup(here.groupBy("block"))
-             .applyInPandas(lambda q, x: search_block(q, x, k), "query long, class long, distance double"))
-    order = Window.partitionBy("query").orderBy("distance", "class")
-    merged = found.distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("query", "class", "distance")
-    # A query's own class is at distance 0.
-    merged = merged.unionByName(asked.select(F.col("id").alias("query"), F.col("id").alias("class"), F.lit(0.0).alias("distance")))
-    lists = (store(merged, "nearest").join(first, "class").withColumnRenamed("id", "found"))
-    short = Window.partitionBy("query").orderBy("distance", "found")
-    lists = lists.withColumn("r", F.row_number().over(short)).where(F.col("r") <= k + 1).drop("r")
+    def searched(there: DataFrame, here: DataFrame) -> DataFrame:
+        return (there.groupBy("block").cogroup(here.groupBy("block"))
+                .applyInPandas(lambda q, x: search_block(q, x, k), "query long, class long, distance double"))
+
+    def listed(found: DataFrame, own: DataFrame) -> DataFrame:
+        """(``query``, ``found``, ``distance``): the nearest ``k`` + 1 rows of each class of ``own``, itself among them."""
+        order = Window.partitionBy("query").orderBy("distance", "class")
+        merged = found.distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("query", "class", "distance")
+        # A query's own class is at distance 0.
+        merged = merged.unionByName(own.select(F.col("id").alias("query"), F.col("id").alias("class"), F.lit(0.0).alias("distance")))
+        lists = store(merged, "nearest").join(first, "class").withColumnRenamed("id", "found")
+        short = Window.partitionBy("query").orderBy("distance", "found")
+        return lists.withColumn("r", F.row_number().over(short)).where(F.col("r") <= k + 1).select("query", "found", "distance")
+
+    spread = F.pmod(F.xxhash64("id"), F.col("parts"))
+    there = dealt(probes, each(F.col("parts")), F.pmod(F.xxhash64("id"), F.col("asked_parts")))
+    here = dealt(own, spread, each(F.col("asked_parts")))
+    lists = store(listed(searched(there, here), asked), "lists")
+
+    far = store(lists.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("last"))
+                .where((F.col("n") <= k) | (F.col("last") > step)).select(F.col("query").alias("id")), "far")
+    many_far = far.count()
+    if many_far:
+        parts, asked_parts = -(-points.count() // EXACT_BLOCK), -(-many_far // EXACT_BLOCK)
+        all_of = lambda n: each(F.lit(n).cast("long"))
+        some_of = lambda n: F.pmod(F.xxhash64("id"), F.lit(n).cast("long"))
+        far_points = store(points.join(far, "id", "left_semi").select("id", "v"), "far-points")
+
+        def cut(rows: DataFrame, split: Column, asked_split: Column) -> DataFrame:
+            return (rows.select("id", "v", F.lit(0).cast("long").alias("cell")).withColumn("part", split).withColumn("asked_part", asked_split)
+                    .select("id", "cell", (F.col("part") * asked_parts + F.col("asked_part")).alias("block"), "v"))
+
+        exact = searched(cut(far_points, all_of(parts), some_of(asked_parts)), cut(points, some_of(parts), all_of(asked_parts)))
+        lists = lists.join(far.withColumnRenamed("id", "query"), "query", "left_anti").unionByName(listed(exact, far_points))
     queries = classed.where("is_query").select(F.col("id").alias("query_id"), F.col("class").alias("query"))
     rank = Window.partitionBy("query_id").orderBy("distance", "found")
     return (queries.join(lists, "query").where("found <> query_id").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)

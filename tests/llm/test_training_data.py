@@ -236,6 +236,26 @@ def test_neighbours_of_awkward_vectors(spark):
     assert neighbours.nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_long_queries_and_of_few_rows(spark, monkeypatch):
+    """Vectors of unlike length, and tables of fewer rows than a list holds; blocks smaller than the table."""
+    monkeypatch.setattr(neighbours, "BLOCK", 300)
+    monkeypatch.setattr(neighbours, "EXACT_BLOCK", 300, raising=False)
+    x = np.random.default_rng(4).normal(size=(800, 64))
+    x *= np.repeat([10.0, 5.0, 3.0, 1.0], [3, 6, 12, 779])[:, None] / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def check(v, n_queries):
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in neighbours.nearest(df, F.col("vec_id") < n_queries).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        for q in range(n_queries):
+            d = np.linalg.norm(v - v[q], axis=1)
+            assert got[q] == [i for i in sorted(range(len(v)), key=lambda i: (d[i], i)) if i != q][:10], q
+
+    check(x, 21)
+    check(x[30:39], 9)
+
+
 def test_contaminated_documents_are_found(spark, documents):
     items = {r.item_id: " ".join(r.text.split()) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     want = {(k, i) for k, r in documents.items() for i, t in items.items() if len(t.split()) >= 8 and t in " ".join(r.text.split())}
