@@ -96,6 +96,25 @@ def test_languages_of_held_out_texts(spark, documents):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_foreign_and_junk_texts_are_rejected(spark):
+    """Scripts, languages and letters that no row has, next to short clean texts that stay."""
+    rnd = random.Random(7)
+    junk = ["Съешь же ещё этих мягких французских булок да выпей чаю и ещё немного супа из кастрюли на плите",
+            "مرحبا بالعالم هذا نص عربي قصير للاختبار فقط وليس له معنى ولا فائدة منه على الإطلاق",
+            "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki",
+            *["".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(n)) for n in [100, 300] * 20],
+            *[" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(80)) for _ in range(20)]]
+    clean = ["The cat sat on the mat.", "Hello world", "Das ist ein kurzer Satz.", "Ceci est une phrase courte.", "Esta es una frase corta.",
+             "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience."]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs)
+    got = collected(language.predict(spark.createDataFrame(list(enumerate([*junk, *clean])), "doc_id long, text string"), model))
+    assert [i for i in range(len(junk)) if not got[i].rejected] == []
+    assert [t for i, t in enumerate(clean, len(junk)) if got[i].rejected] == []
+    own = language.predict(docs, model)
+    assert own.where("rejected AND lang_pred <> 'und'").count() <= 0.005 * own.count()
+
+
 def test_toxicity_of_held_out_texts(spark):
     sf = "/root/testdata/sf0.01"
     got = collected(QUERIES["op4_toxicity"](spark, sf))
