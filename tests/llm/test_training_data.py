@@ -282,6 +282,24 @@ def test_contaminated_documents_are_found(spark, documents):
     assert want <= got and len(got) <= len(want) + 2
 
 
+def test_items_cut_at_either_end_are_found(spark, documents):
+    """An item word for word but for its first or last words, between words of other documents."""
+    items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+    items = {i: w for i, w in sorted(items.items()) if len(w) >= 20}
+    other = [r.text.split() for _, r in sorted(documents.items()) if r.text and len(r.text.split()) > 150][:40]
+    rows, want = [(10**6 + i, " ".join(w)) for i, w in enumerate(other)], set()
+    for i, w in list(items.items())[:20]:
+        for share in (0.75, 0.85, 0.95):
+            n = int(np.ceil(share * len(w)))
+            for part in (w[:n], w[-n:]):
+                around = other[len(rows) % len(other)]
+                rows.append((len(rows), " ".join([*around[:60], *part, *around[60:120]])))
+                want.add((rows[-1][0], i))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert len(want - got) <= 0.02 * len(want), sorted(want - got)
+
+
 def test_shards(spark, documents):
     got = collected(QUERIES["op8_histogram_shards"](spark, SF_DIR))
     sizes, slots = {}, {}
