@@ -38,7 +38,7 @@ def collected(df, key="doc_id"):
 
 
 def test_registered_queries():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 def test_bpe_is_the_tokenizers(spark, documents):
