@@ -11,7 +11,7 @@ from tally.catalog.registry import query
 from tally.operators.windows import running
 from tally.plans import star
 from tally.plans.star import table
-from tally.session import shared_folder
+from tally.session import shared_folder, store
 from tally.sources.sinks import write_locale_text
 from tally.streaming import snapshots as S
 from tally.streaming.live import run_live
@@ -58,15 +58,14 @@ def first_snapshot(snapshots: DataFrame) -> DataFrame:
 
 @query("e02_live_stream", V.LIST_SQL + V.RESULT.replace("*", "* EXCLUDE area_key"))
 def live_stream(spark, sf):
-    """Snapshot files land, the stream publishes the newest; shown is its long constituency table."""
+    """Three snapshot files land, the last one late, and are read one a trigger; shown is the newest one's long constituency table."""
     landing, work = shared_folder(spark, "landing"), shared_folder(spark, "night")
-    for present, stand in ((False, "08.10.2023 18:30:00"), (True, "08.10.2023 20:15:00")):
-        feed = star.feed(spark, sf, present)
+    then, now = store(star.feed(spark, sf, False), "then"), star.feed(spark, sf)
+    for feed, stand in ((then, "08.10.2023 18:30:00"), (now, "08.10.2023 20:15:00"), (then, "08.10.2023 19:00:00")):
         # each snapshot goes to its own folder below the landing folder
-        write_locale_text(feed, f"{landing}/{stand[-8:].replace(':', '')}", f"Muster;Stand: {stand}")
+        write_locale_text(feed.coalesce(1), f"{landing}/{stand[-8:].replace(':', '')}", f"Muster;Stand: {stand}")
     night = R.election(spark, sf)
-    run_live(spark, f"{landing}/*", night, work, R.IMPRINT, columns=feed.columns, area_files=False,
-             files_per_trigger=100_000).awaitTermination()
+    run_live(spark, f"{landing}/*", night, work, R.IMPRINT, columns=now.columns, area_files=False).awaitTermination()
     return spark.read.parquet(f"{work}/out/lang/kreise_landesstimmen").drop("snapshot_ts", "area_key")
 
 

@@ -78,6 +78,23 @@ def published(tables: Mapping[str, DataFrame], e: Election, ts: Column,
     return rows, {k: O.documents(O.named_texts(t, e.registry, k), imprint) for k, t in texts.items()}
 
 
+STATE_OUTPUT = "land_landesstimmen"
+
+
+def state_outputs(tables: Mapping[str, DataFrame], ts: Column, imprint: O.Imprint) -> tuple[DataFrame, DataFrame]:
+    """Published table and document of the whole state."""
+    votes = tables[STATE_OUTPUT]
+    return O.state_table(votes), O.documents(O.state_list_texts(votes, ts, imprint), imprint)
+
+
+def published_with_state(tables: Mapping[str, DataFrame], e: Election, ts: Column,
+                         imprint: O.Imprint) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All published tables and documents, each with the name of its output."""
+    rows, documents = published(tables, e, ts, imprint)
+    table, text = (d.withColumn("fname", F.lit(STATE_OUTPUT)) for d in state_outputs(tables, ts, imprint))
+    return {**rows, STATE_OUTPUT: table}, {**documents, STATE_OUTPUT: text}
+
+
 def run_cycle(spark: SparkSession, snapshot: DataFrame, e: Election, folder: str, ts: Column,
               imprint: O.Imprint, area_files: bool = True) -> dict[str, DataFrame]:
     """Land the snapshot, write the long tables, then all published tables and documents.
@@ -99,6 +116,13 @@ def run_cycle(spark: SparkSession, snapshot: DataFrame, e: Election, folder: str
         jobs = [partial(sinks.write_long_table, t, f"{folder}/tabellen/{name}") for name, t in rows.items()]
         jobs += [partial(sinks.write_long_table, t.select("fname", "document"), f"{folder}/dokumente/{name}")
                  for name, t in documents.items()]
+    table, text = state_outputs(stored, ts, imprint)
+    if area_files:
+        jobs += [partial(sinks.write_long_table, table.coalesce(1).sortWithinPartitions("zeile"), f"{folder}/tabellen/{STATE_OUTPUT}", "csv"),
+                 partial(text.select("document").coalesce(1).write.mode("overwrite").text, f"{folder}/dokumente/{STATE_OUTPUT}")]
+    else:
+        jobs += [partial(sinks.write_long_table, table, f"{folder}/tabellen/{STATE_OUTPUT}"),
+                 partial(sinks.write_long_table, text.select("document"), f"{folder}/dokumente/{STATE_OUTPUT}")]
     together(jobs)
     return stored
 

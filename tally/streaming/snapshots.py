@@ -7,16 +7,18 @@ Every snapshot replaces the one before; a row says where one area stands at
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tally.functions.measures import is_complete
 from tally.functions.text import age_seconds
 from tally.operators.aggregates import first_by
 from tally.operators.windows import previous
+from tally.sources import archive
+from tally.sources.archive import read_if_there
 
 LEVELS = ("VF", "KS", "WK")
 
@@ -26,50 +28,43 @@ def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def _gate(spark: SparkSession, path: str, start: str, batch_id: int):
-    """Time of the last snapshot processed before this batch (a replayed batch sees the same)."""
-    first = F.to_timestamp_ntz(F.lit(start), F.lit("yyyy-MM-dd HH:mm:ss"))
-    done = spark.read.schema("batch_id bigint, snapshot_ts timestamp_ntz").parquet(path)
-    done = done.filter(F.col("batch_id") < batch_id)
-    return done.agg(F.coalesce(F.max("snapshot_ts"), first)).scalar()
+def _start(start: str) -> Column:
+    return F.to_timestamp_ntz(F.lit(start), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 def gate_snapshots(stream: DataFrame, process: Callable[[DataFrame, int], None], folder: str, start: str,
                    ts: str = "snapshot_ts", available_now: bool = True,
-                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                   prepare: Callable[[DataFrame], DataFrame] | None = None, part: str | None = None,
+                   land: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamingQuery:
     """Process only snapshots that are not older than the last one processed.
 
     A snapshot is all rows of one time, in however many files and batches they arrive: a
     batch that adds to the snapshot in progress gives ``process`` all its rows so far, so
-    no result depends on how files are cut into batches. Older snapshots are dropped; a
-    snapshot that is delivered again adds rows that are there already, which count once.
-    ``prepare`` may first turn the raw rows of a batch into rows with a time. ``process``
-    also gets the batch number and must replace its output for a number it has seen (a
-    batch may be replayed after a failure). Times and rows accepted are kept below
-    ``folder``, next to the checkpoint.
+    no result depends on how files are cut into batches. What a batch brings is archived below
+    ``folder`` (``tally.sources.archive``), older snapshots too; these, and parts that were
+    delivered before, are not processed. ``part`` names a column with the file of a row, so that a
+    file that comes again is known in any batch. ``prepare`` may first turn the raw rows of a
+    batch into rows with a time; ``land`` does so with the batch number and stores the rows. ``process`` also gets the batch number and must replace its
+    output for a number it has seen (a batch may be replayed after a failure). A batch reads
+    the gate of the batch before and the folder of one snapshot, whatever came earlier.
     """
-    spark = stream.sparkSession
-    gate_path = f"{folder}/gate"
-    empty = spark.createDataFrame([], "batch_id bigint, snapshot_ts timestamp_ntz")
-    empty.write.mode("append").parquet(gate_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
         session = batch.sparkSession
-        last = _gate(session, gate_path, start, batch_id)
-        first = F.to_timestamp_ntz(F.lit(start), F.lit("yyyy-MM-dd HH:mm:ss"))
-        path = f"{folder}/rows/batch_id={batch_id}"
-        rows.filter((F.col(ts) > first) & (F.col(ts) >= last)).write.mode("overwrite").parquet(path)
-        newer = session.read.schema(rows.schema).parquet(path)
-        before = session.read.option("basePath", f"{folder}/rows").schema(
-            StructType([*rows.schema.fields, StructField("batch_id", LongType())])).parquet(f"{folder}/rows")
-        parts = before.filter((F.col("batch_id") < batch_id) & (F.col(ts) == last)).drop("batch_id")
-        fresh = newer.dropDuplicates().subtract(parts)
-        adds = not fresh.filter(F.col(ts) == last).isEmpty()
-        process(parts.unionByName(fresh) if adds else fresh, batch_id)
-        newer.agg(F.max(ts).alias("snapshot_ts")).filter("snapshot_ts IS NOT NULL") \
-            .select(F.lit(batch_id).cast("bigint").alias("batch_id"), "snapshot_ts") \
-            .write.mode("append").parquet(gate_path)
+        if land:
+            staged = land(batch, batch_id)
+        else:
+            rows = prepare(batch) if prepare else batch
+            rows.write.mode("overwrite").parquet(f"{folder}/staged")
+            staged = session.read.schema(rows.schema).parquet(f"{folder}/staged")
+        schema = staged.drop(part).schema if part else staged.schema
+        last = session.range(1).select(_start(start)).first()[0]
+        before = read_if_there(session, f"{folder}/gate/batch_id={batch_id - 1}", "snapshot_ts timestamp_ntz").first()
+        added = [t for t in archive.add(staged, folder, batch_id, ts, part) if t > last and (before is None or t >= before[0])]
+        fresh = [archive.read(session, folder, t, schema) for t in added]
+        process(reduce(DataFrame.unionByName, fresh) if fresh else session.createDataFrame([], schema), batch_id)
+        newest = added[-1] if added else before[0] if before else last
+        session.createDataFrame([(newest,)], "snapshot_ts timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(f"{folder}/gate/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{folder}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
