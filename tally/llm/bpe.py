@@ -15,19 +15,40 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters whose lower case, normal form and class the fast way handles; other texts go to the tokenizer whole.
-PLAIN = regex.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]*")
-#: The tokenizer's own split pattern and special tokens.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Characters whose lower case, normal form and class the fast way handles, as ranges: Latin, Cyrillic, punctuation such as
+#: curly quotes and dashes, currencies, kana, CJK and Hangul. Texts with others go to the tokenizer whole.
+PLAIN_RANGES = ((0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA1, 0xAC), (0xAE, 0x24F), (0x400, 0x45F), (0x48A, 0x4FF), (0x2010, 0x2027), (0x2030, 0x205E),
+                (0x20A0, 0x20BF), (0x3001, 0x3003), (0x3008, 0x3011), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FEF), (0xAC00, 0xD7A3))
+
+
+def _class(codes: list[int]) -> str:
+    """Code points as a character class's ranges."""
+    runs, out = sorted(set(codes)), []
+    for c in runs:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+_PLAIN_CODES = [c for a, b in PLAIN_RANGES for c in range(a, b + 1)]
+_LOWER = {ord(x) for c in _PLAIN_CODES for x in chr(c).lower()}
+_LETTERS = _class([c for c in _LOWER if unicodedata.category(chr(c))[0] == "L"])
+_NUMBERS = _class([c for c in _LOWER if unicodedata.category(chr(c))[0] == "N"])
+PLAIN = re.compile(f"[{_class(_PLAIN_CODES)}]*")
+#: The tokenizer's own split pattern, with the letters and numbers that plain text has in lower case.
+PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+#: Fixed value: how the tokenizer's special tokens begin.
 SPECIAL = "<|"
 
 CHUNK_BITS = 10  # a cut after 2**10 characters in the mean
@@ -114,10 +135,11 @@ class Chunk:
 class Encoder:
     """Ids and decoded text of whole texts, exactly as the tokenizer in ``path`` gives them."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, decode: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
+        self.decode = decode  # without, decoded texts are empty and cost nothing
         self.tok = Tokenizer.from_file(path)
         self.token = {i: t for t, i in self.tok.get_vocab(with_added_tokens=True).items()}
         self.ends_word = np.zeros(max(self.token) + 1, bool)
@@ -132,10 +154,10 @@ class Encoder:
         if not new:
             return
         # Pieces with blanks between stay pieces, and the last token of each is marked as a word end.
-        ids = np.array(self.tok.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.tok.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
         data, start = ids.tobytes(), 0
-        tokens = [self.token[i] for i in ids.tolist()]
+        tokens = [self.token[i] for i in ids.tolist()] if self.decode else []
         for p, end in zip(new, ends, strict=True):
             self.pieces.put(p, (data[4 * start : 4 * end], " ".join(tokens[start:end])))
             start = end
@@ -155,7 +177,7 @@ class Encoder:
             halves = len(pieces) // 2
             a, b = self.join(pieces[:halves]), self.join(pieces[halves:])
             return a[0] + b[0], " ".join(x for x in (a[1], b[1]) if x)
-        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])
+        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]]) if self.decode else ""
 
     def chunk(self, text: str) -> Chunk:
         key = fingerprint(text)
@@ -194,7 +216,7 @@ class Encoder:
         text = text or ""
         if SPECIAL in text or not PLAIN.fullmatch(text):
             ids = self.tok.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes(), self.tok.decode(ids, skip_special_tokens=False)
+            return np.array(ids, "<u4").tobytes(), self.tok.decode(ids, skip_special_tokens=False) if self.decode else ""
         if not unicodedata.is_normalized("NFC", text):  # cannot happen for plain characters
             text = unicodedata.normalize("NFC", text)
         text, ids, dec, start = text.lower(), [], [], 0
@@ -243,14 +265,14 @@ class Encoder:
             dec.append(b)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, decode: bool = True) -> Encoder:
     """The task's encoder; a Python worker keeps it, with its caches, from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, decode) not in _ENCODERS:
+        _ENCODERS[path, decode] = Encoder(path, decode)
+    return _ENCODERS[path, decode]
 
 
 def _smallest_fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

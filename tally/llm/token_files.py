@@ -61,7 +61,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, eod: int, key:
         raise ValueError("the tokenizer's ids do not fit the file format")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, decode=False)
         for batch in batches:
             out, size = [], 0
             for k, t in zip(batch.column(0), batch.column(1), strict=True):

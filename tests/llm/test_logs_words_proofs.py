@@ -210,3 +210,26 @@ def test_awkward_conversations(spark):
     got = {r.conv_id: r for r in queries.chat_rows(spark.createDataFrame(rows, schema)).collect()}
     assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256) == (3, 2 * len(long), sha(long + long))
     assert (got[2].turns_sha256, got[2].loss_sha256, got[None].n_turns, got[3].loss_chars) == (sha("\n\n"), sha(""), 1, 0)
+
+
+# --- texts in other scripts
+
+
+def test_chunks_of_many_scripts_equal_the_library(monkeypatch):
+    import numpy as np
+
+    from tally.llm import bpe
+
+    monkeypatch.setattr(bpe, "MIN_CHUNK", 3)
+    monkeypatch.setattr(bpe, "CHUNK_BITS", 2)
+    enc, ids_only, rnd = bpe.Encoder(queries.WORD_BPE), bpe.Encoder(queries.WORD_BPE, decode=False), random.Random(2)
+    texts = ["“Привет”, мир — 5 €", "漢字かな、カナ。한국어 문장", "d’été ‘s ’s"]
+    for _ in range(2000):
+        ranges = rnd.sample(bpe.PLAIN_RANGES, 2)
+        texts.append("".join(chr(rnd.randint(*rnd.choice(ranges))) if rnd.random() < 0.6 else rnd.choice("ab'sdtre \n!12é") for _ in range(rnd.randint(0, 30))))
+    for t in texts:
+        assert bpe.PLAIN.fullmatch(t)
+        ids = enc.tok.encode(t, add_special_tokens=False).ids
+        data = np.array(ids, "<u4").tobytes()
+        assert enc.encode(t) == (data, enc.tok.decode(ids, skip_special_tokens=False)) and ids_only.encode(t) == (data, ""), t
+    assert enc.reused and enc.repaired
