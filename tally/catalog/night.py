@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +13,10 @@ from tally.catalog import live as V
 from tally.catalog import results as R
 from tally.catalog.registry import FEED_SQL, query
 from tally.catalog.streams import START, WEEKLY_SQL
-from tally.functions.numbers import format_de
+from tally.functions.numbers import format_de, zero_pad
 from tally.functions.text import DIRECT_SUFFIX, LIST_SUFFIX
 from tally.operators.windows import running
+from tally.plans import dimensions as D
 from tally.plans import outputs as O
 from tally.plans import star, versions
 from tally.plans.star import BRANDS, TYPES, table
@@ -20,6 +25,7 @@ from tally.sources import archive, rejects
 from tally.sources.sinks import write_locale_text
 from tally.streaming import night as N
 from tally.streaming import snapshots as S
+from tally.streaming.watch import FreshnessListener
 
 EVENTS = ("click", "error", "purchase", "signup", "view")
 EARLY, LATE = "2023-10-08 18:30:00", "2023-10-08 20:15:00"
@@ -122,6 +128,69 @@ def finished_areas(spark, sf):
     return N.finished_reports(spark, work).select("area_key", "gebietstyp", "stimmbezirke", *shown)
 
 
+# --- a listener's view ---
+
+
+@query("x07_stream_freshness", WEEKLY_SQL + """,
+n AS (SELECT CAST(count(*) AS BIGINT) AS zeilen FROM snap)
+SELECT alter, alter > 120 AS veraltet, zeilen FROM n, (VALUES (0), (120), (121)) AS v(alter)""")
+def stream_freshness(spark, sf):
+    """A stream under a listener: its age and state at three moments after its last batch, and the rows it has read."""
+    folder, counts = shared_folder(spark, "landing"), weekly_counts(spark, sf).where("area_key <> '0' OR gebietstyp <> 'LD'")
+    counts.write.parquet(folder)
+    listener = FreshnessListener()
+    spark.streams.addListener(listener)
+    try:
+        stream = S.snapshot_stream(spark, folder, counts.schema, files_per_trigger=2)
+        writer = stream.writeStream.format("noop").queryName("wache").option("checkpointLocation", shared_folder(spark, "wache"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        expected, waited = spark.read.parquet(folder).count(), 0.0
+        while listener.rows_read() < expected and waited < 60:
+            time.sleep(0.2)
+            waited += 0.2
+    finally:
+        spark.streams.removeListener(listener)
+    events = listener.events(spark).where("kind = 'progress'")
+    last = events.agg(F.max("at")).first()[0]
+    rows = [listener.status(spark, last + timedelta(seconds=s)).withColumn("alter", F.lit(s)) for s in (0, 120, 121)]
+    seen = reduce(DataFrame.unionByName, rows).where("alter = age_seconds")
+    return seen.join(events.select("query", "rows"), "query").select("alter", F.col("stale").alias("veraltet"), F.col("rows").alias("zeilen"))
+
+
+# --- lasting ids, placeholders ---
+
+
+@query("l11_lasting_ids", FEED_SQL + f"""
+, alle AS (SELECT 'g06' || own || '_' || kind AS fname, CAST(own AS BIGINT) AS nr, kind, own FROM cust, (VALUES ('direkt'), ('landesstimmen')) AS k(kind)
+           WHERE seg <> '{star.CITY_SEGMENT}'),
+erst AS (SELECT fname, row_number() OVER (ORDER BY fname) AS n FROM alle WHERE nr % 3 <> 0),
+neu AS (SELECT fname, (SELECT count(*) FROM erst) + row_number() OVER (ORDER BY fname) AS n FROM alle WHERE nr % 3 = 0),
+ids AS (SELECT * FROM erst UNION ALL SELECT * FROM neu),
+lang AS (SELECT own AS ags, kind, 'o' || lpad(CAST(n AS VARCHAR), 6, '0') AS id FROM alle JOIN ids USING (fname) WHERE nr % 2 = 0)
+SELECT a.ags, a.id AS direkt_id, b.id AS landesstimmen_id FROM lang a JOIN lang b ON a.ags = b.ags AND a.kind = 'direkt' AND b.kind = 'landesstimmen'""")
+def lasting_ids(spark, sf):
+    """Ids of outputs over three registries, areas coming and going; the index of the last shows both ids of each area."""
+    number = F.col("c_custkey") + 1
+    areas = table(spark, sf, "customer").where(F.col("c_mktsegment") != star.CITY_SEGMENT).select(
+        number.alias("nr"), zero_pad(number, star.KEY_SHAPE[1]).alias("id"), F.lit("g").alias("typ"))
+    held = named = None
+    for present in ("nr % 3 <> 0", "true", "nr % 2 = 0"):
+        named = D.lasting_ids(D.build_registry(areas.where(present).select("id", "typ")), held)
+        held = store(D.held_ids(named, held), "ids")
+    index = areas.where("nr % 2 = 0").select(F.col("id").alias("ags"))
+    return D.with_chart_ids(index, named, "ags")
+
+
+@query("j16_placeholder_candidates", FEED_SQL + V.CANDIDATE_SQL + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY wk ORDER BY CAST(substr(partei, 7) AS INTEGER), name) AS r FROM kandidat)
+SELECT 'g06' || own || '_direkt' AS fname, CAST(r AS INTEGER) AS zeile, name, partei, 0 AS stimmen, '0,0% (+0)' AS prozent
+FROM cust JOIN r ON r.wk = nk + 1 WHERE """ + f"NOT ({R._CITY})")
+def placeholder_candidates_of_municipalities(spark, sf):
+    """Before the count: the candidates of each municipality's constituency, which is looked up."""
+    areas = table(spark, sf, "customer").select(zero_pad(F.col("c_custkey") + 1, star.KEY_SHAPE[1]).alias("ags"), (F.col("c_nationkey") + 1).alias("wk"))
+    return O.placeholder_municipality_direct(areas.select("ags"), areas, V.candidates(spark, sf), R.registry(spark, sf))
+
+
 # --- archive, versions, rejects ---
 
 

@@ -182,19 +182,84 @@ def global_rank(df: DataFrame, order: Sequence[Column], into: str = "rank_all")
     return ranked.withColumn(into, F.col("_before") + F.col("_pos") + 1).drop("_id", "_slice", "_pos", "_before")
 
 
+SAMPLED = 10_000  # rows that a round of order_statistics takes to the driver for each open interval
+SORTED = 50_000  # rows that one task may sort
+
+
+def _literal(row: Sequence, types: Mapping[str, str]) -> Column:
+    return F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, types.items())])
+
+
+def order_statistics(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> dict[int, tuple]:
+    """The rows' ``order`` columns at some ranks (from 1) of an ascending order, without moving or sorting the rows.
+
+    A rank's interval of keys shrinks round by round: a random sample of the rows in it gives
+    two candidates around the rank, the rows up to each candidate are counted exactly in one pass over
+    the table for all ranks, and the counts tell which part the rank is in. When an interval
+    holds few rows, or equal ones only, the row is read off. Nulls come first. ``df`` is read
+    several times and should be stored and narrow.
+    """
+    types = {c: t for c, t in ((f.name, f.dataType.simpleString()) for f in df.select(*order).schema.fields)}
+    rows, key = df.select(*order), _order_key(order)
+    total = rows.count()
+    if any(not 1 <= r <= total for r in ranks):
+        raise ValueError(f"ranks must be from 1 to {total}")
+    # Of each rank: keys beyond ``low`` up to ``high``, rows before them, rows among them.
+    where = {r: (None, None, 0, total) for r in ranks}
+    found: dict[int, tuple] = {}
+
+    def between(low, high) -> DataFrame:
+        inside = rows if low is None else rows.filter(key > _literal(low, types))
+        return inside if high is None else inside.filter(key <= _literal(high, types))
+
+    turn = 0
+    while wide := {r: w for r, w in where.items() if r not in found and w[3] > SORTED}:
+        turn += 1
+        wanted: dict[int, tuple] = {}
+        for low, high in dict.fromkeys(w[:2] for w in wide.values()):
+            taken = between(low, high).orderBy(F.xxhash64(*order, F.lit(turn)), *order).limit(SAMPLED).orderBy(*order).collect()
+            sample = [tuple(t) for t in taken]
+            margin = 2 * int(len(sample) ** 0.5)  # four deviations of a place in the sample
+            for r, (_, _, before, size) in ((r, w) for r, w in wide.items() if w[:2] == (low, high)):
+                place = (r - before) * len(sample) // size
+                wanted[r] = (sample[max(0, place - margin)], sample[min(len(sample) - 1, place + margin)])
+        cuts = list(dict.fromkeys(c for pair in wanted.values() for c in pair))
+        upto = dict(zip(cuts, rows.agg(*[F.count_if(key <= _literal(c, types)).alias(f"c{i}") for i, c in enumerate(cuts)]).first()))
+        for r, (a, b) in wanted.items():
+            low, high, before, size = where[r]
+            if r <= upto[a]:
+                new = (low, a, before, upto[a] - before)
+            elif r <= upto[b]:
+                new = (a, b, upto[a], upto[b] - upto[a])
+            else:
+                new = (b, high, upto[b], before + size - upto[b])
+            if new[3] == size:  # many equal keys: part the smallest from the rest
+                first, last = between(low, high).agg(F.min(key), F.max(key)).first()
+                equal = between(low, high).filter(key == _literal(tuple(first), types)).count()
+                if r <= before + equal:
+                    found[r] = tuple(first)
+                    continue
+                new = (tuple(first), tuple(last), before + equal, size - equal)
+            where[r] = new
+    for r, (low, high, before, _) in where.items():
+        if r not in found:
+            found[r] = tuple(between(low, high).orderBy(*order).offset(r - before - 1).limit(1).first())
+    return found
+
+
 def ntile(df: DataFrame, value: str, key: Sequence[str], n: int, into: str) -> DataFrame:
     """Cut all rows into ``n`` groups of nearly equal size by a value; nulls get null.
 
-    The first groups take the extra rows, as the SQL function does.
+    The first groups take the extra rows, as the SQL function does. Borders are found by counting
+    (:func:`order_statistics`) over a narrow copy; the rows themselves are not moved. Ties go by
+    ``key``, which must be unique; rows with equal value and key share a group.
     """
-    order = [F.col(value).asc(), *[F.col(k).asc() for k in key]]
-    ranked = global_rank(df.filter(F.col(value).isNotNull()), order, "_rank")
-    count = ranked.agg(F.count(F.lit(1))).scalar()
-    ranked = ranked.withColumn("_count", count)
-    size, extra = F.floor(F.col("_count") / n), F.col("_count") % n
-    head = extra * (size + 1)
-    tile = F.when(F.col("_rank") <= head, F.floor((F.col("_rank") - 1) / (size + 1)) + 1).otherwise(
-        extra + F.floor((F.col("_rank") - 1 - head) / F.greatest(size, F.lit(1))) + 1)
-    tiled = ranked.withColumn(into, tile.cast("int")).drop("_rank", "_count")
-    empty = df.filter(F.col(value).isNull()).withColumn(into, F.lit(None).cast("int"))
-    return tiled.unionByName(empty)
+    order = [value, *[k for k in key if k != value]]
+    narrow = store(df.filter(F.col(value).isNotNull()).select(*order), "ntile")
+    count = narrow.count()
+    last = [k * (count // n) + min(k, count % n) for k in range(1, n)]
+    borders = order_statistics(narrow, order, sorted({r for r in last if r}))
+    types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
+    passed = [(_order_key(order) > _literal(borders[r], types)).cast("int") if r else F.lit(1) for r in last]
+    tile = reduce(lambda a, b: a + b, passed, F.lit(1))
+    return df.withColumn(into, F.when(F.col(value).isNotNull(), tile).cast("int"))

@@ -13,7 +13,7 @@ from tally.functions.numbers import zero_pad
 from tally.operators.aggregates import profile
 from tally.operators.cleaning import measure_index
 from tally.operators.joins import chain_lookups, drop_listed, keep_listed, override_name
-from tally.operators.windows import following, ntile, step_fill
+from tally.operators.windows import following, global_rank, ntile, step_fill
 
 
 def candidate_dimension(people: DataFrame, parties: DataFrame) -> DataFrame:
@@ -144,3 +144,25 @@ def build_registry(areas: DataFrame, kinds: Sequence[str] = ("direkt", "landesst
     stem = F.when(F.col("typ") == "w", F.concat(F.lit("wk"), zero_pad(F.col("id"), 3))).otherwise(
         F.concat(F.lit("g06"), F.col("id")))
     return rows.withColumn("fname", F.concat(stem, F.lit("_"), F.col("kind")))
+
+
+def lasting_ids(registry: DataFrame, held: DataFrame | None = None, key: str = "fname", prefix: str = "o") -> DataFrame:
+    """Add ``chart_id`` to a registry: ids that were given before stay, new outputs get the numbers after them.
+
+    ``held`` are all rows (``key``, ``chart_id``) ever given, by which an output that went and comes again
+    has its old id, and no id is given twice. Numbers of new outputs follow the order of ``key``, whatever the
+    partitions. Keep the result with ``held`` for the next time: :func:`held_ids`.
+    """
+    if held is None:
+        held = registry.sparkSession.createDataFrame([], f"{key} string, chart_id string")
+    held = held.select(key, "chart_id")
+    top = held.agg(F.coalesce(F.max(F.regexp_extract("chart_id", "([0-9]+)$", 1).cast("bigint")), F.lit(0))).first()[0]
+    fresh = registry.select(key).distinct().join(held, key, "left_anti")
+    given = global_rank(fresh, [F.col(key).asc()], "_n").select(key, F.concat(F.lit(prefix), zero_pad(F.col("_n") + F.lit(top), 6)).alias("chart_id"))
+    return registry.join(held.unionByName(given), key, "left")
+
+
+def held_ids(registry: DataFrame, held: DataFrame | None = None, key: str = "fname") -> DataFrame:
+    """All ids given so far: those of ``held`` and of a registry with ``chart_id``."""
+    now = registry.select(key, "chart_id").distinct()
+    return now if held is None else held.select(key, "chart_id").unionByName(now.join(held, key, "left_anti"))

@@ -163,6 +163,30 @@ def placeholder_lists(areas: DataFrame, listed: DataFrame, registry: DataFrame)
     return with_output_name(rows, registry, "_id", "landesstimmen", ["g", "s"]).drop("_id")
 
 
+def constituency_of(areas: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``areas`` (``ags``) with their ``wk`` from ``lookup`` (``ags``, ``wk``), all at once; of several the smallest, none is null."""
+    return areas.join(lookup.groupBy("ags").agg(F.min("wk").alias("wk")), "ags", "left")
+
+
+def placeholder_municipality_direct(areas: DataFrame, lookup: DataFrame, candidates: DataFrame, registry: DataFrame) -> DataFrame:
+    """Empty candidate tables of municipalities (``ags``): all candidates of the constituency that ``lookup`` gives, in ballot order.
+
+    An area without a constituency, or in one without candidates, has no rows, as its table has none.
+    """
+    where = constituency_of(areas.select("ags"), lookup).filter(F.col("wk").isNotNull())
+    ballot = candidates.select("wk", "partei", "name", "p_id")
+    rows = empty_results(where.select(F.col("ags").alias("_id"), "wk"), ballot, on=["wk"])
+    order = Window.partitionBy("_id").orderBy(F.col("p_id").asc_nulls_last(), F.col("name").asc())
+    placed = rows.withColumn("zeile", F.row_number().over(order))
+    named = with_output_name(placed, registry, "_id", "direkt", ["g"])
+    return named.select("fname", "zeile", "name", "partei", "stimmen", "prozent")
+
+
+def placeholder_lists_of(areas: DataFrame, lookup: DataFrame, listed: DataFrame, registry: DataFrame) -> DataFrame:
+    """:func:`placeholder_lists` with the constituency looked up."""
+    return placeholder_lists(constituency_of(areas.select("ags"), lookup), listed, registry)
+
+
 def placeholder_direct_texts(candidates: DataFrame, imprint: Imprint, n: int = 5) -> DataFrame:
     """Constituency texts before the count, with the candidates after the first ``n``."""
     w = Window.partitionBy("wk").orderBy(F.col("p_id").asc_nulls_last(), F.col("name").asc())

@@ -1,17 +1,20 @@
 """A counting night: archive with a log, rejects, versions, finished areas, progress and the end."""
 
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from test_live import IMPRINT, candidates, g_baseline, names, night, snapshot, wk_baseline  # noqa: F401  fixtures
 
 from fixtures import COLUMNS, feed_text
-from tally.plans import versions
+from tally.operators import windows
+from tally.plans import dimensions, versions
 from tally.sources import archive, rejects
 from tally.sources.snapshots import _text_options, _text_schema
 from tally.streaming import night as N
 from tally.streaming import snapshots as S
+from tally.streaming.watch import FreshnessListener
 
 SCHEMA = "area_key string, gebietstyp string, stimmbezirke bigint, gezaehlt bigint, a bigint, snapshot_ts timestamp_ntz"
 
@@ -142,3 +145,51 @@ def test_whole_night(spark, night, tmp_path):  # noqa: F811
         (0, 96, 96), (1, 96, 0), (2, 200, 104), (3, 200, 0), (4, 200, 0)]
     assert archive.log(spark, work).count() == 4  # one snapshot came twice
     assert [r.batch_id for r in N.night_rejects(spark, work).collect()] == [4, 4, 4]
+
+
+@pytest.mark.parametrize("value", ["id % 7", "CASE WHEN id % 2 = 0 THEN 5 ELSE id END", "CAST(hash(id) AS double)"])
+def test_quintiles_are_found_by_counting(spark, monkeypatch, value):
+    """Small limits, so that intervals shrink over rounds; half of the rows may share a value."""
+    monkeypatch.setattr(windows, "SORTED", 300)
+    monkeypatch.setattr(windows, "SAMPLED", 200)
+    df = spark.range(5_003).select(F.expr(value).alias("v"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    got = {r.k: r.t for r in windows.ntile(df, "v", ["k"], 5, "t").collect()}
+    assert got == {r.k: r.t for r in df.selectExpr("k", "ntile(5) OVER (ORDER BY v, k) AS t").collect()}
+
+
+def test_order_statistics_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(windows, "SORTED", 10)
+    monkeypatch.setattr(windows, "SAMPLED", 20)
+    df = spark.createDataFrame([(None,)] * 30 + [(1,)] * 500 + [(2,)] * 3, "v int")
+    assert windows.order_statistics(df, ["v"], [1, 30, 31, 530, 531, 533]) == {1: (None,), 30: (None,), 31: (1,), 530: (1,), 531: (2,), 533: (2,)}
+    with pytest.raises(ValueError, match="ranks"):
+        windows.order_statistics(df, ["v"], [534])
+
+
+def test_idle_stream_turns_stale_and_back(spark):
+    listener, spoken = FreshnessListener(), datetime(2023, 10, 8, 20, 0, 0)
+
+    def stale(seconds):
+        return listener.status(spark, spoken + timedelta(seconds=seconds)).first().stale
+
+    listener._note("q", "started", spoken - timedelta(seconds=50))
+    listener._note("q", "progress", spoken, 3)
+    assert not stale(120) and stale(121)
+    listener._note("q", "idle", spoken + timedelta(seconds=120))
+    listener._note("q", "empty", spoken + timedelta(seconds=120))
+    assert stale(121)  # triggers that find nothing are no news
+    listener._note("q", "progress", spoken + timedelta(seconds=121), 4)
+    assert not stale(121) and listener.rows_read() == 7
+
+
+def test_ids_last(spark):
+    areas = lambda *ids: dimensions.build_registry(spark.createDataFrame([(i, "g") for i in ids], "id string, typ string"), ["direkt"])
+    ids = lambda df: {r.id: r.chart_id for r in df.collect()}
+    first = dimensions.lasting_ids(areas("2", "4"))
+    held = dimensions.held_ids(first)
+    second = dimensions.lasting_ids(areas("1", "2", "4"), held)
+    assert ids(first) == {"2": "o000001", "4": "o000002"} and ids(second) == {**ids(first), "1": "o000003"}
+    held = dimensions.held_ids(dimensions.lasting_ids(areas("1"), dimensions.held_ids(second, held)), held)
+    third = dimensions.lasting_ids(areas("3", "4"), dimensions.held_ids(second, held))
+    assert ids(third) == {"4": "o000002", "3": "o000004"}
+    assert ids(dimensions.lasting_ids(areas("1").limit(0))) == {}
