@@ -27,7 +27,9 @@ LAW = "bytes"
 BITS = 7  # probes cut an interval into 2**7 parts
 CELLS = 8  # cells of a shard, sorted by tasks of their own
 
-# A key is (hi, lo): the CRC, and the number less the smallest number. It is compared as one decimal-free pair of longs.
+#: A key is (hi, lo). ``hi`` holds the CRC, a mark of null, and the upper two bits of the number as an unsigned
+#: one (its sign bit flipped, which keeps the order); ``lo`` holds the other 62. Any two longs can so be told apart.
+HI_BITS, LO_BITS = 35, 62
 
 
 def row_size(text: str = "text") -> Column:
@@ -39,7 +41,7 @@ def text_crc(text: str = "text") -> Column:
 
 
 def histogram_borders(keys: DataFrame, shards: int, tolerance: float, cells: int = CELLS) -> tuple[list[tuple[int, int, int]], int]:
-    """Borders of ``shards * cells`` cells over ``keys`` (``hi`` 32 bits, ``lo`` 63 bits at most, ``size``).
+    """Borders of ``shards * cells`` cells over ``keys`` (``hi`` ``HI_BITS``, ``lo`` ``LO_BITS`` at most, ``size``).
 
     Returns (first ``hi``, first ``lo``, rows before) for every cell but the first, and the
     total of bytes. The driver holds at most 2**BITS counts for each border, whatever the
@@ -50,7 +52,7 @@ def histogram_borders(keys: DataFrame, shards: int, tolerance: float, cells: int
     if not n:
         return [], 0
     lo_bits = max(1, int(top).bit_length())
-    width = 32 + lo_bits
+    width = HI_BITS + lo_bits
     parts = shards * cells
     target = [total * k / parts for k in range(1, parts)]
     slack = [total / shards * tolerance if k % cells == 0 else total / parts * 0.1 for k in range(1, parts)]
@@ -100,7 +102,7 @@ def _bits(lo_bits: int, from_bit: int, to_bit: int) -> Column:
 
 def _count(keys: DataFrame, lo_bits: int, open_bits: int, cut: int, prefixes: list[int] | None) -> list[tuple[int, int, int]]:
     """Exact (probe, bytes, rows) of the probes of some intervals. ``open_bits`` bits of a key are not yet fixed."""
-    width, step = 32 + lo_bits, open_bits - cut
+    width, step = HI_BITS + lo_bits, open_bits - cut
     if prefixes is None:
         rows = keys.groupBy(_bits(lo_bits, width, cut).alias("probe")).agg(F.sum("size"), F.count("*")).collect()
         return [(r[0], r[1], r[2]) for r in rows]
@@ -125,10 +127,11 @@ def histogram_shards(df: DataFrame, shards: int, tolerance: float = 0.001, key:
     clash = {c: f"_own_{i}" for i, c in enumerate(df.columns)}
     plain = df.toDF(*clash.values())
     own_key, own_text = clash[key], clash[text]
-    lowest = df.agg(F.min(F.col(key).cast("long"))).first()[0] or 0
-    number = F.col(own_key).cast("long")
-    # A null number sorts first: numbers are counted from 1.
-    keyed = plain.withColumns({"size": row_size(own_text), "hi": text_crc(own_text), "lo": F.coalesce(number - lowest + 1, F.lit(0).cast("long"))})
+    unsigned = F.col(own_key).cast("long").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+    # A null number sorts first.
+    upper = F.coalesce(F.shiftrightunsigned(unsigned, LO_BITS) + 1, F.lit(0).cast("long"))
+    lower = F.coalesce(unsigned.bitwiseAND(F.lit((1 << LO_BITS) - 1).cast("long")), F.lit(0).cast("long"))
+    keyed = plain.withColumns({"size": row_size(own_text), "hi": text_crc(own_text) * 8 + upper, "lo": lower})
     borders, _ = histogram_borders(store(keyed.select("hi", "lo", "size"), "shard-keys"), shards, tolerance)
     edges = [(0, 0, 0), *borders]
     # Borders that fall on the same key leave empty cells; a row belongs to the last cell that starts at or before it.
@@ -145,7 +148,7 @@ def histogram_shards(df: DataFrame, shards: int, tolerance: float = 0.001, key:
             .withColumn("shard", F.floor(F.col("cell") / per).cast("int"))
             .withColumn("slot", F.expr(f"array({ahead})[cell]") + F.col("in_cell")))
     own = [F.col(new).alias(old) for old, new in clash.items() if old not in ("size", "text_crc32", "shard", "slot")]
-    return done.select(*own, "size", F.col("hi").alias("text_crc32"), "shard", "slot")
+    return done.select(*own, "size", F.shiftright("hi", 3).alias("text_crc32"), "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -233,3 +233,23 @@ def test_chunks_of_many_scripts_equal_the_library(monkeypatch):
         data = np.array(ids, "<u4").tobytes()
         assert enc.encode(t) == (data, enc.tok.decode(ids, skip_special_tokens=False)) and ids_only.encode(t) == (data, ""), t
     assert enc.reused and enc.repaired
+
+
+def test_shards_of_numbers_far_apart(spark):
+    """Any longs, null among them; equal texts are neighbours and bytes nearly equal."""
+    from tally.llm import shards
+
+    numbers = [-(1 << 63), (1 << 63) - 1, -1, 0, 1, 1 << 62, -(1 << 62), None, *range(5, 400)]
+    rows = [(n, "t" * (k % 50) if k % 3 else None) for k, n in enumerate(numbers)]
+    got = shards.histogram_shards(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got if r.text) == sorted((str(n), t) for n, t in rows if t)
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard] += r.size
+        assert r.text_crc32 == zlib.crc32((r.text or "").encode())
+    assert max(sizes.values()) - min(sizes.values()) <= 120
+    for shard in range(4):
+        own = sorted((r for r in got if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in own] == list(range(len(own)))
+        keys = [(r.text_crc32, r.doc_id is not None, r.doc_id or 0) for r in own]
+        assert keys == sorted(keys)
