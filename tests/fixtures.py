@@ -28,19 +28,19 @@ def progress(total, counted, eligible, voters, **more):
 
 
 def feed_text():
-    """The feed as text; the first constituency holds real counts of a partial result."""
+    """The feed as text. All names and figures are invented."""
     lines = [BANNER, ";".join(COLUMNS)]
-    lines.append(row("00000000000", "Land", "LD", **progress(200, 96, "4.372.788", "52.432", turnout="1,2"),
-                     **totals(LIST_SUFFIX, "51.364", "1.068", "2,0"), **votes(LIST_SUFFIX, main=["13.802", "10.122", None])))
-    lines.append(row("00100000000", "Kassel-Land I", "WK", **progress(120, 3, "90.524", "1.094", turnout="1,21"),
-                     **totals(DIRECT_SUFFIX, "1.064", 30, "2,74"), **totals(LIST_SUFFIX, "1.066", 28, "2,56"),
-                     **votes(DIRECT_SUFFIX, main=[230, 127, 323, 118, 58, 44, 57]),
-                     **votes(LIST_SUFFIX, main=[224, 146, 283, 126, 63, 50, 41])))
-    lines.append(row("00200000000", "Kassel-Land II", "WK", **progress(80, 80, 1000, 800),
+    lines.append(row("00000000000", "Land", "LD", **progress(200, 96, "4.000.000", "50.000", turnout="1,2"),
+                     **totals(LIST_SUFFIX, "49.000", "1.000", "2,0"), **votes(LIST_SUFFIX, main=["12.250", "9.800", None])))
+    lines.append(row("00100000000", "Auenkreis I", "WK", **progress(120, 3, "80.000", "1.030", turnout="1,29"),
+                     **totals(DIRECT_SUFFIX, "1.000", 30, "2,91"), **totals(LIST_SUFFIX, "1.005", 25, "2,43"),
+                     **votes(DIRECT_SUFFIX, main=[220, 130, 310, 120, 60, 40, 50]),
+                     **votes(LIST_SUFFIX, main=[201, 140, 270, 120, 70, 45, 35])))
+    lines.append(row("00200000000", "Auenkreis II", "WK", **progress(80, 80, 1000, 800),
                      **totals(DIRECT_SUFFIX, 0, 800, 100), **totals(LIST_SUFFIX, 790, 10, "1,25"),
                      **votes(DIRECT_SUFFIX, main=[0, "NA"]), **votes(LIST_SUFFIX, main=[400, 390])))
-    lines.append(row("00163301100", "Altenfurt, Stadt", "VF", **progress(6, 6, 5391, 4054, freigegeben=1),
-                     **totals(DIRECT_SUFFIX, 3968, 86, "2,1"), **votes(DIRECT_SUFFIX, main=[1685, 715, 567, 589, 207, 77, 128])))
+    lines.append(row("00163301100", "Altenfurt, Stadt", "VF", **progress(6, 6, 6000, 4500, freigegeben=1),
+                     **totals(DIRECT_SUFFIX, 4400, 100, "2,2"), **votes(DIRECT_SUFFIX, main=[1870, 790, 630, 650, 230, 85, 145])))
     lines.append(row("00041300000", "Offenstadt", "KS", **progress(10, 4, 900, 500, freigegeben=0),
                      **totals(DIRECT_SUFFIX, 490, 10, 2), **votes(DIRECT_SUFFIX, main=[245, 245])))
     lines.append(row("00061100000", "Vielstadt", "KS", **progress(30, 1, 9000, 100, freigegeben=0),

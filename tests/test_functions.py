@@ -30,9 +30,9 @@ def test_whole_numbers_with_decimals(values):
 
 
 def test_format_german_numbers(values):
-    got = values(NUM.format_de(lit(1234567.25)), NUM.format_de(lit(4054), 0), NUM.format_de(lit(0.25)),
+    got = values(NUM.format_de(lit(1234567.25)), NUM.format_de(lit(4500), 0), NUM.format_de(lit(0.25)),
                  NUM.format_de(lit(0.35)), NUM.format_de(lit(None).cast("double")))
-    assert got == ("1.234.567,2", "4.054", "0,2", "0,3", None)  # halves go to the even digit of the exact value
+    assert got == ("1.234.567,2", "4.500", "0,2", "0,3", None)  # halves go to the even digit of the exact value
 
 
 def test_signed_german_numbers(values):
@@ -62,7 +62,7 @@ def test_sentinels(values):
     assert got == (None, None, None, "xx", "5", None)
 
 
-@pytest.mark.parametrize("votes,total,want", [(323, 1064, 30.357142857142858), (0, 0, 0.0), (0, 5, 0.0), (3, 0, None), (None, 5, None)])
+@pytest.mark.parametrize("votes,total,want", [(310, 1240, 25.0), (0, 0, 0.0), (0, 5, 0.0), (3, 0, None), (None, 5, None)])
 def test_share(values, votes, total, want):
     got = values(M.share_pct(lit(votes).cast("bigint"), lit(total).cast("bigint")))[0]
     assert got == pytest.approx(want) if want is not None else got is None
@@ -133,7 +133,7 @@ def test_german_times(values):
 
 
 def test_published_share_with_change(values):
-    got = values(N.share_delta(lit(1685 / 3968 * 100), lit(10.1)), N.share_delta(lit(42.46), lit(10.1), lit(False), "%"),
+    got = values(N.share_delta(lit(1870 / 4400 * 100), lit(10.1)), N.share_delta(lit(42.46), lit(10.1), lit(False), "%"),
                  N.state_delta(lit(0.0), lit(3.0)), N.state_delta(lit(5.2), lit(8.5)))
     assert got == ("42,5 (+10,1)", "42,5% (?)", "(.)", "(-3,3)")
 
@@ -151,11 +151,11 @@ def test_status_note_states(values):
 
 
 def test_turnout_text(values):
-    args = [lit(4054), lit(86), lit(5391)]
+    args = [lit(4500), lit(100), lit(6000)]
     full, part, none = values(N.turnout_text(*args, lit(6), lit(6)), N.turnout_text(*args, lit(5), lit(6)),
                               N.turnout_text(lit(0), lit(0), lit(10), lit(0), lit(1)))
-    assert full == "Abgegebene Stimmen: 4.054, davon ungültig: 2,1%, Wahlbeteiligung: 75,2%<br><br>"
-    assert part == "Abgegebene Stimmen: 4.054, davon ungültig: 2,1%, <br><br>"
+    assert full == "Abgegebene Stimmen: 4.500, davon ungültig: 2,2%, Wahlbeteiligung: 75,0%<br><br>"
+    assert part == "Abgegebene Stimmen: 4.500, davon ungültig: 2,2%, <br><br>"
     assert none == "Abgegebene Stimmen: 0, davon ungültig: 0,0%, <br><br>"
 
 

@@ -108,7 +108,7 @@ def test_versions_hold_what_changed(spark, tmp_path, monkeypatch):
 def spoilt():
     lines = feed_text().splitlines()
     lines[4] = "K2" + lines[4]  # the second constituency's key
-    lines[5] = lines[5].replace(";4054;", ";4O54;")
+    lines[5] = lines[5].replace(";4500;", ";45O0;")
     lines[7] = lines[7].replace(";99;", ";9,5;")  # a count that is not whole
     return "\n".join([*lines, ";" * (len(COLUMNS) - 1), ""])
 
@@ -118,7 +118,7 @@ def test_rejects_are_listed_and_counted(spark, tmp_path):
     got = rejects.read_checked(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"))
     assert got.counts == {"lines": 10, "rejects": 3, "bad_keys": 1, "bad_counts": 2}
     found = {r.line.split(";")[1]: sorted(r.problems) for r in got.rejects.collect()}
-    assert found == {"Kassel-Land II": ["key"], "Altenfurt, Stadt": ["Wählerinnen und Wähler"], "Vielstadt": ["gültige Wahlkreisstimmen", "CDU Wahlkreisstimmen"][::-1]}
+    assert found == {"Auenkreis II": ["key"], "Altenfurt, Stadt": ["Wählerinnen und Wähler"], "Vielstadt": ["gültige Wahlkreisstimmen", "CDU Wahlkreisstimmen"][::-1]}
     assert got.rows.count() == 7 and "_problems" not in got.rows.columns
     with pytest.raises(rejects.TooManyRejects, match="3 of 10"):
         rejects.read_checked(spark, str(tmp_path / "a.csv"), str(tmp_path / "again"), limit=2)

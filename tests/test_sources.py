@@ -30,7 +30,7 @@ def test_read_snapshot(spark, feed_file):
     df = snapshots.read_snapshot(spark, feed_file)
     assert df.columns == COLUMNS and df.count() == 10
     ld = df.filter("Gebietstyp = 'LD'").first()
-    assert ld["Gebietsschlüssel"] == "00000000000" and ld["Wahlberechtigte"] == 4372788
+    assert ld["Gebietsschlüssel"] == "00000000000" and ld["Wahlberechtigte"] == 4000000
     assert ld["Wahlbeteiligung"] == 1.2 and ld["SPD Landesstimmen"] is None
     wk = df.filter("`Gebietsschlüssel` = '00200000000'").first()
     assert wk["GRÜNE Wahlkreisstimmen"] is None and wk["CDU Wahlkreisstimmen"] == 0
