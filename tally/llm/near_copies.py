@@ -9,19 +9,23 @@ that share ``match`` of their pairs share one among the first COORDINATES - matc
 those are posted. Pairs that one document alone holds need no posting, so a document with many
 of them has none at all.
 
-Skip: lists are never multiplied out. Equal sets are one node from the start. In rounds, every
-list names one leader; each document is compared with the leader that it shares most lists
-with, confirmed links are contracted, and lists whose documents are all in one component are
-done. When little is left, or rounds no longer help, the documents outside a list's largest
+Skip: lists are never multiplied out. Equal sets are one node from the start. In ``ROUNDS``
+rounds, every list names one leader; each document is compared with the leader that it shares
+most lists with, confirmed links are contracted, and lists whose documents are all in one
+component leave for good. Between rounds there is one row a document, with the lists it has
+left; components are renamed there, and links already contracted are never looked at again.
+What the rounds leave open is finished exactly: the documents outside a list's largest
 component are compared with all of the list that are not in their own component: collisions are
 counted on the whole signatures, and pairs with ``match`` or more are confirmed on the full sets.
 Where such a document meets a large component in most of its lists, it is compared on full sets
 with all of it, and with the others that meet it, in blocks, instead of pair by pair. Links inside one component change nothing and are not looked for.
+The plan is the same at every size; it ends early only when no list is open or a round finds no link.
 
 Words are what ASCII white space parts, A-Z lower-cased. A document of fewer words than a
 shingle has one shingle of all its words; null, empty and blank texts have an empty set and are
-linked with nothing. Documents without a number are dropped. Rows that repeat a number with
-another text are one node each, under the same number.
+linked with nothing. A document without a number takes the component of documents with an equal
+set, if there are any, and is not kept then; otherwise its component is null and it is kept. Rows
+that repeat a number with another text are one node each, under the same number.
 
 Memory: a task holds one batch of texts and the sets of one pair of documents.
 """
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from tally.llm.common import components, mix, store, word_hashes
 
 COORDINATES = 64
+ROUNDS = 3  # of leaders, before the rest is finished list by list
 BLOCK = 500  # documents of a block in which members of a large component are compared
 #: Of 64 coordinates, two sets of similarity 0.85 agree in 54.4 in the mean, with deviation 2.9, and two of
 #: 0.8 in 51.2, with deviation 3.2. Fewer than these has a chance of about 1 in 5,000 right at the threshold.
@@ -103,42 +108,42 @@ def _sets(n: int):
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) whose full sets are similar enough."""
+    """Those of ``pairs`` (``a``, ``b``, ``ca``, ``cb``) whose full sets are similar enough, as their components (``ca``, ``cb``)."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     # A set of much smaller size cannot be similar enough, whatever it holds.
     sizes = (F.size("sa") * 100 >= F.size("sb") * percent) & (F.size("sb") * 100 >= F.size("sa") * percent)
     return (pairs.join(left, "a").join(right, "b").where(sizes).withColumn("common", common)
-            .where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("a", "b"))
+            .where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("ca", "cb"))
 
 
 def _links_in_block(asking: pd.DataFrame, member: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links from each document of ``asking`` to ``member``: one to each other component with a similar document.
+    """Components that documents of ``asking`` and ``member`` link: for each that asks, every other component with a similar document.
 
     Common shingles with all members at once: shingles of a document name their members, and names are counted.
     """
     found = []
     if len(asking) and len(member):
-        nodes, component = member["node"].to_numpy(), member["component"].to_numpy()
+        component = member["component"].to_numpy()
         own = [np.asarray(x, np.int64) for x in member["shingles"]]
         size = np.array([len(x) for x in own])
         flat, who = np.concatenate(own), np.repeat(np.arange(len(own)), size)
         order = np.argsort(flat, kind="stable")
         flat, who = flat[order], who[order]
-        for a, of, shingles in zip(asking["node"].tolist(), asking["component"].tolist(), asking["shingles"], strict=True):
+        for of, shingles in zip(asking["component"].tolist(), asking["shingles"], strict=True):
             x = np.asarray(shingles, np.int64)
             lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
             common = np.zeros(len(own), np.int64)
             for start, end in zip(lo.tolist(), hi.tolist(), strict=True):
                 common[who[start:end]] += 1  # a shingle names a member once
             near = np.flatnonzero((common * 100 >= (len(x) + size - common) * percent) & (component != of))
-            found += [(a, int(nodes[near[i]])) for i in np.unique(component[near], return_index=True)[1]]
-    return pd.DataFrame(found, columns=["a", "b"])
+            found += [(of, int(c)) for c in np.unique(component[near])]
+    return pd.DataFrame(found, columns=["ca", "cb"]).drop_duplicates()
 
 
 def _compared_in_blocks(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) between documents of ``asking`` and ``members`` (``node``, ``component``, ``top``) of one ``top``.
+    """Linked components (``ca``, ``cb``) of documents of ``asking`` and ``members`` (``node``, ``component``, ``top``) of one ``top``.
 
     Both sides are dealt into blocks of about ``BLOCK`` documents, and every block meets every
     block, so that no task holds more than two of them; no pairs leave a task but links.
@@ -155,17 +160,23 @@ def _compared_in_blocks(asking: DataFrame, members: DataFrame, sets: DataFrame,
     a = dealt(asking, F.pmod(F.xxhash64("node"), blocks("n_a")), every("n_b"))
     b = dealt(members, every("n_a"), F.pmod(F.xxhash64("node"), blocks("n_b")))
     return (a.groupBy("top", "i", "j").cogroup(b.groupBy("top", "i", "j"))
-            .applyInPandas(lambda x, y: _links_in_block(x, y, percent), "a long, b long"))
+            .applyInPandas(lambda x, y: _links_in_block(x, y, percent), "ca long, cb long"))
+
+
+def _renamed(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    """``rows`` with ``component`` replaced where ``moved`` (``node``, ``component``) has another name for it."""
+    other = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return rows.join(other, "component", "left").withColumn("component", F.coalesce("_to", "component")).select(*rows.columns)
 
 
 def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``key``, ``n_shingles``, ``component_id``, ``kept``) for every row of ``docs`` with a number.
+    """(``key``, ``n_shingles``, ``component_id``, ``kept``) for every row of ``docs``.
 
     Documents are linked if 100 * common shingles >= ``percent`` * all shingles of both;
     ``component_id`` is the smallest number reachable over links, ``kept`` marks its holder.
     """
     match = MATCH[percent]
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).where("key IS NOT NULL")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     signed = store(rows.mapInArrow(_signatures(n_words), "key long, n long, x long, y long, sig array<long>"), "signatures")
 
     # Equal sets: one node, the smallest number.
@@ -174,68 +185,69 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
     nodes = signed.where("n > 0").join(classes.withColumnRenamed("node", "key"), ["n", "x", "y", "key"], "left_semi")
     nodes = store(nodes.groupBy(F.col("key").alias("node"), "n", "x", "y").agg(F.first("sig").alias("sig")).select("node", "sig"), "nodes")
 
-    # Postings of the prefixes, rarest pairs first.
+    # Prefixes, rarest pairs first: one row a document.
     posted = nodes.select("node", F.explode("sig").alias("pair"))
     shared = posted.groupBy("pair").agg(F.count("*").alias("many")).where("many > 1")
-    prefix = (posted.join(shared, "pair").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("many", "pair"))).alias("pairs"))
-              .withColumn("lone", COORDINATES - F.size("pairs")).withColumn("take", COORDINATES - match + 1 - F.col("lone")).where("take > 0")
-              # How much a document has in common with all others: the best leaders have most.
-              .withColumn("central", F.aggregate("pairs", F.lit(0).cast("long"), lambda a, p: a + p["many"]))
-              .withColumn("prefix", F.transform(F.expr("slice(pairs, 1, take)"), lambda p: p["pair"]))
-              .select("node", "central", "prefix", F.explode("prefix").alias("pair")))
-    postings = store(prefix, "postings")
-    crowded = postings.groupBy("pair").agg(F.count("*").alias("many")).where("many > 1").select("pair")
-    postings = store(postings.join(crowded, "pair", "left_semi"), "postings")
-
-    wanted = rows.join(postings.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
-    sets = store(wanted.mapInArrow(_sets(n_words), "node long, shingles array<long>"), "sets")
-
-    links = postings.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
-    labelled = postings.withColumn("component", F.col("node"))
-    tried = 0
-    while True:
-        # Lists with documents of several components, and the work of finishing them.
-        parts = labelled.groupBy("pair", "component").agg(F.count("*").alias("n"))
-        state = store(parts.groupBy("pair").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1"), "lists")
-        work, size = state.select(F.sum((F.col("n") - F.col("top.n")) * F.col("n").cast("double")), F.sum("n")).first()
-        if not size or work <= 8 * size or tried >= 3:
+    prefixes = (posted.join(shared, "pair").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("many", "pair"))).alias("pairs"))
+                .withColumn("lone", COORDINATES - F.size("pairs")).withColumn("take", COORDINATES - match + 1 - F.col("lone")).where("take > 0")
+                # How much a document has in common with all others: the best leaders have most.
+                .withColumn("central", F.aggregate("pairs", F.lit(0).cast("long"), lambda a, p: a + p["many"]))
+                .select("node", "central", F.col("node").alias("component"), F.transform(F.expr("slice(pairs, 1, take)"), lambda p: p["pair"]).alias("open")))
+    active = store(prefixes, "prefixes")
+    entry = lambda rows: rows.select("node", "central", "component", F.explode("open").alias("pair"))
+
+    labels, sets, unfinished = None, None, True
+    for turn in range(ROUNDS):
+        by = -F.col("central") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        lists = (entry(active).groupBy("pair").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                   F.min(F.struct(by.alias("by"), "node", "component")).alias("l"))
+                 .where("lo < hi").select("pair", F.col("l.node").alias("leader"), F.col("l.component").alias("of")))
+        met = store(entry(active).join(lists, "pair"), "open-lists")
+        if sets is None:
+            # Only documents that share a list with another one are ever compared.
+            labels = store(met.select("node", F.col("node").alias("component")).distinct(), "labels")
+            sets = store(rows.join(labels.select(F.col("node").alias("key")), "key", "left_semi").mapInArrow(_sets(n_words), "node long, shingles array<long>"), "sets")
+        votes = met.where("component <> of").groupBy("node", "component", "leader", "of").agg(F.count("*").alias("n"))
+        best = (votes.groupBy(F.col("node").alias("a"), F.col("component").alias("ca")).agg(F.max(F.struct("n", "leader", "of")).alias("l"))
+                .select("a", "ca", F.col("l.leader").alias("b"), F.col("l.of").alias("cb")))
+        links = store(_confirmed(best, sets, percent).distinct(), "links")
+        active = met.groupBy("node", "central", "component").agg(F.collect_list("pair").alias("open"))  # a prefix at most
+        if links.isEmpty():
+            unfinished = not met.isEmpty()
+            active = store(active, "active")
             break
-        tried += 1
-        active = labelled.join(state.select("pair"), "pair", "left_semi")
-        by = -F.col("central") if tried == 1 else F.xxhash64("node", F.lit(tried))
-        leaders = active.groupBy("pair").agg(F.min(F.struct(by.alias("by"), "node", "component")).alias("l")).select("pair", F.col("l.node").alias("leader"), F.col("l.component").alias("of"))
-        votes = active.join(leaders, "pair").where("component <> of").groupBy("node", "leader").agg(F.count("*").alias("n"))
-        best = votes.groupBy(F.col("node").alias("a")).agg(F.max_by("leader", F.struct("n", "leader")).alias("b"))
-        links = store(links.unionByName(_confirmed(best, sets, percent)), "links")
-        labels = components(links)
-        labelled = store(postings.join(labels, "node", "left").select("pair", "node", "central", "prefix", F.coalesce("component", "node").alias("component")), "labelled")
-    if size:
-        open_lists = labelled.join(state.select("pair", F.col("top.component").alias("top"), F.col("top.n").alias("top_n")), "pair")
+        moved = components(links, "ca", "cb")
+        active = store(_renamed(active, moved), "active")
+        labels = store(_renamed(labels, moved), "labels")
+
+    if unfinished:
+        parts = entry(active).groupBy("pair", "component").agg(F.count("*").alias("n"))
+        state = parts.groupBy("pair").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+        open_lists = store(active.select("node", "component", "open", F.explode("open").alias("pair"))
+                           .join(state.select("pair", F.col("top.component").alias("top"), F.col("top.n").alias("top_n")), "pair"), "rest")
         minor = open_lists.where("component <> top")
         # Whoever meets a component in lists that hold as many places as it has documents is compared with all of it, in blocks.
-        tops = labelled.select("node", "component").distinct()
-        sizes = tops.groupBy(F.col("component").alias("top")).agg(F.count("*").alias("size"))
+        sizes = labels.groupBy(F.col("component").alias("top")).agg(F.count("*").alias("size"))
         meets = store(minor.groupBy("node", "component", "top").agg(F.sum("top_n").alias("places")).join(sizes, "top")
                       .withColumn("all", F.col("places") >= F.col("size")), "meets")
         asking = meets.where("all").select("node", "component", "top")
-        inside = tops.select("node", "component", F.col("component").alias("top"))
+        inside = labels.select("node", "component", F.col("component").alias("top"))
         beside = meets.select("node", "component", "top")  # the others that meet the same component
-        links = store(links.unionByName(_compared_in_blocks(asking, inside, sets, percent))
-                      .unionByName(_compared_in_blocks(asking, beside, sets, percent)), "links")
+        in_blocks = _compared_in_blocks(asking, inside.unionByName(beside), sets, percent)
         few = minor.join(meets.where("NOT all").select("node", "top"), ["node", "top"], "left_semi")
 
         def side(rows: DataFrame, end: str) -> DataFrame:
-            return rows.select("pair", F.col("node").alias(end), F.col("component").alias(f"c{end}"), F.col("prefix").alias(f"p{end}"))
+            return rows.select("pair", F.col("node").alias(end), F.col("component").alias(f"c{end}"), F.col("open").alias(f"p{end}"))
 
-        # A pair of documents counts in the first list that both are in.
+        # A pair of documents counts in the first list that both are in. Lists of two components were never closed, so all they share are here.
         here = F.array_min(F.array_intersect("pa", "pb")) == F.col("pair")
         among = side(few, "a").join(side(few, "b"), "pair").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & here)
         outward = side(few, "a").join(side(open_lists.where("component = top"), "b"), "pair").where(here)
-        pairs = among.select("a", "b").unionByName(outward.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = among.select("a", "b", "ca", "cb").unionByName(outward.select("a", "b", "ca", "cb"))
         sig = lambda end: nodes.select(F.col("node").alias(end), F.col("sig").alias(f"s{end}"))
-        close = pairs.join(sig("a"), "a").join(sig("b"), "b").where(F.size(F.array_intersect("sa", "sb")) >= match).select("a", "b")
-        links = store(links.unionByName(_confirmed(store(close, "close"), sets, percent)), "links")
-    found = components(links)
-    return (members.join(found, "node", "left")
+        close = pairs.join(sig("a"), "a").join(sig("b"), "b").where(F.size(F.array_intersect("sa", "sb")) >= match).select("a", "b", "ca", "cb")
+        links = store(in_blocks.unionByName(_confirmed(store(close, "close"), sets, percent)), "links")
+        labels = _renamed(labels, components(links, "ca", "cb"))
+    return (members.join(labels, "node", "left")
             .select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
-            .withColumn("kept", F.col(key) == F.col("component_id")))
+            .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull())))

@@ -188,6 +188,29 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert {k: r.component_id for k, r in got.items()} == want and len(set(want.values())) > 5
 
 
+def test_near_copies_without_a_number(spark):
+    """Rows without a number are returned; equal sets take a component, others have none."""
+    rows = [(None, "a text that only this row has got"), (None, "Shared by\ttwo of the rows"), (5, "shared by two of the rows"), (None, "")]
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, 6, None, True), (None, 4, 5, False), (5, 4, 5, True), (None, 0, None, True)}
+
+
+def test_links_through_chains_of_leaders(spark):
+    """Each text differs from the next by a few words, so that a component needs several rounds; rest in pairs and in blocks."""
+    rnd, texts, k = random.Random(11), {}, 0
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(120)]
+        for _ in range(25):
+            texts[k] = " ".join(words)
+            k += rnd.randint(1, 3)
+            words = list(words)
+            for at in rnd.sample(range(120), rnd.randint(1, 4)):
+                words[at] = f"n{rnd.randint(0, 10**6)}"
+    got = collected(near_copies.near_copies(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    want = reach({k: shingles(t, 3) for k, t in texts.items()}, 85)
+    assert {k: r.component_id for k, r in got.items()} == want and len(set(want.values())) > 6
+
+
 def stretches(words, least):
     n = len(words)
     for s in range(n):
@@ -339,7 +362,7 @@ def test_awkward_tables(spark, awkward):
     assert line_runs.remove_repeated_runs(empty).count() == 0
     near = near_copies.near_copies(awkward)
     found = {r.doc_id: r.component_id for r in near.collect()}
-    assert near.count() == 10 and found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8}
+    assert near.count() == 11 and found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8, None: None}
     assert near_copies.near_copies(empty).count() == 0
     dealt = shards.histogram_shards(awkward, 3)
     assert dealt.count() == 11 and shards.histogram_shards(empty, 3).count() == 0
