@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tally.catalog.basics import _YEARS, year_shares
+from tally.catalog.basics import _ALL_YEARS, _YEARS, all_year_shares, year_shares
 from tally.catalog.registry import FEED_SQL, SEGMENT_SQL, query
 from tally.functions import measures as M
 from tally.operators import aggregates as A
@@ -35,6 +35,19 @@ def volatility_with_attributes(spark, sf):
     return out.withColumn("volatilitaet", F.round("volatilitaet", 6))
 
 
+@query("a02_volatility_of_every_year", _ALL_YEARS + """
+SELECT jahr, c_nationkey, 'NATION_' || c_nationkey AS name,
+       CAST(sum(CAST(abs(round((prozent - prozent_alt) * 1000000)) AS BIGINT)) AS BIGINT) AS summe
+FROM beide GROUP BY jahr, c_nationkey""")
+def volatility_of_every_year(spark, sf):
+    """As ``a01_volatility``, for all years and with the area's name carried along."""
+    rows = all_year_shares(spark, sf).withColumns({
+        "d": F.abs(F.round((F.col("prozent") - F.col("prozent_alt")) * 1000000)).cast("bigint"),
+        "name": F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"))})
+    out = A.volatility_by(rows, ["jahr", "c_nationkey"], "d", ["name"], into="summe")
+    return out.withColumn("summe", (F.col("summe") * 2).cast("bigint"))
+
+
 _POSTAL = """WITH line AS (
   SELECT l_orderkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS e,
          CAST(sum(CASE WHEN l_returnflag IN ('A', 'R') THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS v,

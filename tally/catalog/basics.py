@@ -140,6 +140,27 @@ def change_against_baseline(spark, sf):
     return year_shares(spark, sf).withColumn("differenz", M.diff_pp(F.col("prozent"), F.col("prozent_alt")))
 
 
+_ALL_YEARS = _YEARS.partition("beide AS (")[0] + """beide AS (
+  SELECT CAST(a.y AS BIGINT) AS jahr, a.c_nationkey, a.c_mktsegment, a.anteil * 100 AS prozent, coalesce(b.anteil * 1000 / 10, 0.0) AS prozent_alt
+  FROM share a LEFT JOIN share b ON b.y = a.y - 1 AND a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment)"""
+
+
+def all_year_shares(spark, sf):
+    """Segment shares of every year with those of the year before; without one the earlier share is 0."""
+    shares = star.segment_share_by_year(spark, sf)
+    keys = ["jahr", "c_nationkey", "c_mktsegment"]
+    now = shares.select(*keys, M.share_pct(F.col("stimmen"), F.col("gueltig")).alias("prozent"))
+    then = shares.select((F.col("jahr") + 1).alias("jahr"), *keys[1:],
+                         M.baseline_share_pct(F.col("stimmen"), F.col("gueltig")).alias("prozent_alt"))
+    return with_baseline(now, then, keys, ["prozent_alt"])
+
+
+@query("p10_change_of_every_year", _ALL_YEARS + """
+SELECT *, CASE WHEN prozent = 0 THEN 0.0 ELSE prozent - prozent_alt END AS differenz FROM beide""")
+def change_of_every_year(spark, sf):
+    return all_year_shares(spark, sf).withColumn("differenz", M.diff_pp(F.col("prozent"), F.col("prozent_alt")))
+
+
 @query("p11_turnout_rates", FEED_SQL + """
 SELECT key AS area_key, CAST(waehler AS DOUBLE) / wahlberechtigt * 100 AS wahlbeteiligung,
        CAST(ungueltig_d AS DOUBLE) / waehler * 100 AS ungueltig_prozent,

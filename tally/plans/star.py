@@ -245,3 +245,14 @@ def segment_share(spark: SparkSession, sf_dir: str, year: int | None = None) ->
         .groupBy("c_nationkey", "c_mktsegment").agg(F.sum("cents").alias("stimmen"))
     totals = cells.groupBy("c_nationkey").agg(F.sum("stimmen").alias("gueltig"))
     return with_baseline(cells, totals, ["c_nationkey"])
+
+
+def segment_share_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order value by year, nation and market segment, with the total of year and nation; all years in one scan."""
+    by_customer = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").cast("bigint").alias("jahr"), "o_custkey").agg(
+        F.sum(cents(F.col("o_totalprice"))).alias("cents"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    cells = by_customer.join(customers, F.col("o_custkey") == F.col("c_custkey")) \
+        .groupBy("jahr", "c_nationkey", "c_mktsegment").agg(F.sum("cents").alias("stimmen"))
+    totals = cells.groupBy("jahr", "c_nationkey").agg(F.sum("stimmen").alias("gueltig"))
+    return with_baseline(cells, totals, ["jahr", "c_nationkey"])
