@@ -12,7 +12,7 @@ from tally.functions.text import county_key, display_name, parse_person_name, ti
 from tally.functions.numbers import zero_pad
 from tally.operators.aggregates import profile
 from tally.operators.cleaning import measure_index
-from tally.operators.joins import chain_lookups, drop_listed, keep_listed, override_name
+from tally.operators.joins import chain_lookups, drop_listed, join_fan_out, keep_listed, override_name
 from tally.operators.windows import following, global_rank, ntile, step_fill
 
 
@@ -120,7 +120,8 @@ def candidate_sheet(people: DataFrame, parties: DataFrame, winners: DataFrame, l
     )
     followed = winners.filter(F.col("nachruecker")).select(
         "wk", F.col("vorname").alias("nachruecker_vorname"), F.col("nachname").alias("nachruecker_nachname"))
-    return sheet.join(won, "wk", "left").join(followed, "wk", "left")
+    # a constituency has one winner, but may have many successors
+    return join_fan_out(sheet.join(won, "wk", "left"), followed, "wk")
 
 
 def result_links(areas: DataFrame, key: str, prefix: str, kind: str, width: int = 0,
