@@ -46,6 +46,21 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, fol
 FROM leaf JOIN result USING (id) LEFT JOIN proof USING (id) JOIN top ON top.source IS NOT DISTINCT FROM leaf.source CROSS JOIN root"""
 
 
+NEAR_COPIES = rf"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 3 THEN [x FOR x IN [array_to_string(w, ' ')] IF len(w) > 0]
+                      ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS shingles FROM texts),
+entries AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM entries AS a JOIN entries AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN components USING (doc_id)"""
+
+
 SPELLING = f"""WITH RECURSIVE runs AS (
   SELECT doc_id, translate(run, '{_UPPER}', '{_UPPER.lower()}') AS run, count(*) AS n
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) AS d GROUP BY ALL),

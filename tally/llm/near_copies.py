@@ -23,9 +23,10 @@ The plan is the same at every size; it ends early only when no list is open or a
 
 Words are what ASCII white space parts, A-Z lower-cased. A document of fewer words than a
 shingle has one shingle of all its words; null, empty and blank texts have an empty set and are
-linked with nothing. A document without a number takes the component of documents with an equal
-set, if there are any, and is not kept then; otherwise its component is null and it is kept. Rows
-that repeat a number with another text are one node each, under the same number.
+linked with nothing. Documents without a number are linked as all others are: they take the
+component's smallest number and are not kept, or, if no number is reachable, null and one of
+them is kept. Rows that repeat a number with another text are documents of their own, and links
+of one are not links of the other; rows equal in number and text are one document.
 
 Memory: a task holds one batch of texts and the sets of one pair of documents.
 """
@@ -84,17 +85,21 @@ def _signatures(n: int):
                 y.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 sigs.append(signature(s).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["key", "n", "x", "y", "sig"])
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
+                ["key", "copy", "n", "x", "y", "sig"])
 
     return run
 
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # rows that repeat a node give its set once a task
         for batch in batches:
             sets, keys, size = [], [], 0
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                if key.as_py() in done:
+                    continue
+                done.add(key.as_py())
                 sets.append(shingle_set(text.as_py(), n).view(np.int64))
                 keys.append(key.as_py())
                 size += len(sets[-1])
@@ -170,20 +175,24 @@ def _renamed(rows: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``key``, ``n_shingles``, ``component_id``, ``kept``) for every row of ``docs``.
+    """(``key``, ``n_shingles``, ``component_id``, ``kept``, ``copy``, ``chosen``) for every row of ``docs``.
 
     Documents are linked if 100 * common shingles >= ``percent`` * all shingles of both;
     ``component_id`` is the smallest number reachable over links, ``kept`` marks its holder.
+    ``copy`` is a hash of the text; ``chosen`` marks the one pair of number and ``copy`` that
+    stands for its component, where numbers repeat as well.
     """
     match = MATCH[percent]
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    signed = store(rows.mapInArrow(_signatures(n_words), "key long, n long, x long, y long, sig array<long>"), "signatures")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).withColumn("copy", F.xxhash64("text"))
+    signed = store(rows.mapInArrow(_signatures(n_words), "key long, copy long, n long, x long, y long, sig array<long>"), "signatures")
 
-    # Equal sets: one node, the smallest number.
-    classes = signed.where("n > 0").groupBy("n", "x", "y").agg(F.min("key").alias("node"))
-    members = store(signed.select("key", "n", "x", "y").join(classes, ["n", "x", "y"], "left").select("key", "n", F.coalesce("node", "key").alias("node")), "members")
-    nodes = signed.where("n > 0").join(classes.withColumnRenamed("node", "key"), ["n", "x", "y", "key"], "left_semi")
-    nodes = store(nodes.groupBy(F.col("key").alias("node"), "n", "x", "y").agg(F.first("sig").alias("sig")).select("node", "sig"), "nodes")
+    # Equal sets: one node, which stands for its smallest number. Nodes are numbered here, as numbers of documents may repeat or lack.
+    own = F.struct(F.col("key").isNull().alias("lacks"), "key", "copy")
+    classes = store(signed.where("n > 0").groupBy("n", "x", "y").agg(F.min(own).alias("own"), F.first("sig").alias("sig"))
+                    .withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = store(signed.select("key", "copy", "n", "x", "y").join(classes.drop("sig"), ["n", "x", "y"], "left")
+                    .select("key", "copy", "n", "node", F.coalesce("own", own).alias("own")), "members")
+    nodes = classes.select("node", "sig")
 
     # Prefixes, rarest pairs first: one row a document.
     posted = nodes.select("node", F.explode("sig").alias("pair"))
@@ -206,7 +215,9 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
         if sets is None:
             # Only documents that share a list with another one are ever compared.
             labels = store(met.select("node", F.col("node").alias("component")).distinct(), "labels")
-            sets = store(rows.join(labels.select(F.col("node").alias("key")), "key", "left_semi").mapInArrow(_sets(n_words), "node long, shingles array<long>"), "sets")
+            wanted = labels.join(classes, "node").select("node", F.col("own.key").alias("of_key"), F.col("own.copy").alias("of_copy"))
+            texts = rows.join(wanted, F.col("key").eqNullSafe(F.col("of_key")) & (F.col("copy") == F.col("of_copy")))
+            sets = store(texts.select("node", "text").mapInArrow(_sets(n_words), "node long, shingles array<long>"), "sets")
         votes = met.where("component <> of").groupBy("node", "component", "leader", "of").agg(F.count("*").alias("n"))
         best = (votes.groupBy(F.col("node").alias("a"), F.col("component").alias("ca")).agg(F.max(F.struct("n", "leader", "of")).alias("l"))
                 .select("a", "ca", F.col("l.leader").alias("b"), F.col("l.of").alias("cb")))
@@ -248,6 +259,11 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
         close = pairs.join(sig("a"), "a").join(sig("b"), "b").where(F.size(F.array_intersect("sa", "sb")) >= match).select("a", "b", "ca", "cb")
         links = store(in_blocks.unionByName(_confirmed(store(close, "close"), sets, percent)), "links")
         labels = _renamed(labels, components(links, "ca", "cb"))
-    return (members.join(labels, "node", "left")
-            .select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull())))
+    # A component is named by its smallest document, numbers first.
+    linked = labels.join(classes.select("node", "own"), "node")
+    tops = linked.groupBy("component").agg(F.min("own").alias("top"))
+    top = F.coalesce("top", "own")
+    return (members.join(linked.join(tops, "component").select("node", "top"), "node", "left")
+            .select(F.col("key").alias(key), F.col("n").alias("n_shingles"), top["key"].alias("component_id"),
+                    F.coalesce(F.col("key") == top["key"], F.col("key").isNull() & top["lacks"] & (F.col("copy") == top["copy"])).alias("kept"),
+                    "copy", (F.col("key").eqNullSafe(top["key"]) & (F.col("copy") == top["copy"])).alias("chosen")))

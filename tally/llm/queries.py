@@ -53,7 +53,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_copies.near_copies(read(spark, sf_dir, "documents"))
+    return near_copies.near_copies(read(spark, sf_dir, "documents")).drop("copy", "chosen")
 
 
 def op8_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,4 +141,4 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_runs, op3_neighbours, op4_toxicity, op5_token_counts, op6_decontaminate, op7_near_copies, op8_histogram_shards, op9_bpe, op10_personal_data, op11_merkle_manifest, op12_spelling, op13_chat_format)}
-SQL: dict[str, str] = {"op11_merkle_manifest": checks.MERKLE, "op12_spelling": checks.SPELLING, "op13_chat_format": checks.CHATS}
+SQL: dict[str, str] = {"op7_near_copies": checks.NEAR_COPIES, "op11_merkle_manifest": checks.MERKLE, "op12_spelling": checks.SPELLING, "op13_chat_format": checks.CHATS}

@@ -24,7 +24,7 @@ def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_spelling", "op13_chat_format"])
+@pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_rows_are_those_of_sql(spark, name):
     con = duckdb.connect()
     for table in ("documents", "conversations"):

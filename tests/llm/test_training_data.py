@@ -195,6 +195,33 @@ def test_near_copies_without_a_number(spark):
     assert got == {(None, 6, None, True), (None, 4, 5, False), (5, 4, 5, True), (None, 0, None, True)}
 
 
+def test_near_copies_of_repeated_numbers(spark):
+    """Texts of one number are documents of their own; rows without a number take part in links."""
+    left, right = " ".join(f"l{i}" for i in range(60)), " ".join(f"r{i}" for i in range(60))
+    rows = [(7, left), (7, right), (3, left + " end"), (9, right + " end"), (9, right + " end"), (None, left + " other"), (None, "alone a b c d"), (None, "alone a b c d")]
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = sorted(map(str, ((r.doc_id, r.component_id, r.kept, r.chosen) for r in got.collect())))
+    assert found == sorted(map(str, [(7, 3, False, False), (7, 7, True, True), (3, 3, True, True), (9, 7, False, False), (9, 7, False, False), (None, 3, False, False),
+                                     (None, None, True, True), (None, None, True, True)]))
+
+
+def test_pipeline_stages_on_repeated_numbers(spark, awkward):
+    """One of equal rows stays, other texts of a number are judged by themselves, null numbers included."""
+    left, right = " ".join(f"l{i}" for i in range(60)), " ".join(f"r{i}" for i in range(60))
+    rows = [(7, left, "a"), (7, right, "b"), (3, left + " end", "c"), (9, right, "d"), (None, left, "e"), (None, "alone a b c d", "g"), (None, "alone a b c d", "f"), (4, "once", "h"), (4, "once", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[1], rows[2], rows[6], rows[7]]))
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").orderBy("item_id").first().text
+    held = [(1, f"before {item} after", "a"), (1, "a clean text of the same number", "b"), (None, item, "c"), (None, "a clean text without one", "d")]
+    got = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(held, "doc_id long, text string, source string"), SF_DIR)
+    assert sorted(r.source for r in got.collect()) == ["b", "d"]
+    empty = awkward.where("false")
+    assert corpus_pipeline.drop_near_copies(spark, empty, SF_DIR).count() == corpus_pipeline.drop_contaminated(spark, empty, SF_DIR).count() == 0
+    assert corpus_pipeline.drop_near_copies(spark, awkward, SF_DIR).count() == 8  # an equal row, and two near copies, are gone
+
+
 def test_links_through_chains_of_leaders(spark):
     """Each text differs from the next by a few words, so that a component needs several rounds; rest in pairs and in blocks."""
     rnd, texts, k = random.Random(11), {}, 0
