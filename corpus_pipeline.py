@@ -33,16 +33,26 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest number of each group of near copies (five words, 0.8)."""
-    found = near_copies.near_copies(docs, n_words=5, percent=80)
-    return docs.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one document of each group of near copies (five words, 0.8), that with the smallest number.
+
+    A document is a number and a text: other texts of a number are judged by themselves, and of
+    rows equal in both one stays, the smallest by the order of its columns.
+    """
+    found = store(near_copies.near_copies(docs, n_words=5, percent=80), "found")
+    one = found.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")).agg(F.count("*").alias("times"), F.first("chosen").alias("chosen"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_copy"))
+    once = docs.join(one.where("NOT chosen OR times > 1"), same, "left_anti")
+    again = docs.join(one.where("chosen AND times > 1"), same, "left_semi")
+    single = again.groupBy("doc_id", F.xxhash64("text").alias("_copy")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return once.unionByName(single.select("_row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
+    """Drops documents that hold a benchmark passage; a document is a number, which may be null, and a text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = store(decontaminate.matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.withColumn("_doc", F.xxhash64("doc_id", "text"))
+    found = store(decontaminate.matches(named, benchmark, key="_doc").select("_doc").distinct(), "contaminated")
+    return named.join(found, "_doc", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
