@@ -37,11 +37,11 @@ PATTERNS = [
     ("ip", "ip", True, r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]"),
     ("card", "card", True, r"[0-9][0-9\x20-]*+", r"[0-9](?:[\x20-]?[0-9]){12}"),
     ("phone", "phone", True, r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
-    ("email_spelt", "email", False, r"\b[A-Za-z0-9._-]{1,64}\x20?[\[(]\x20?at\x20?[\])]\x20?[A-Za-z0-9-]{1,63}\x20?[\[(]\x20?dot\x20?[\])]\x20?[a-z]{2,10}\b", r"[\[(]\x20?at\x20?[\])]"),
+    ("email_spelt", "email", False, r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++\x20?[\[(]\x20?at\x20?[\])]\x20?[A-Za-z0-9-]{1,63}\x20?[\[(]\x20?dot\x20?[\])]\x20?[a-z]{2,10}\b", r"[\[(]\x20?at\x20?[\])]"),
     ("card_run", "card", False, r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])", r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}"),
     ("phone_group", "phone", False, r"(?:\+[0-9]{1,3}[\x20.-])?(?:\([0-9]{3}\)\x20?|(?<![0-9])[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", r"[0-9]{3}[.-][0-9]{4}"),
     ("id_number", "id", False, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]"),
-    ("secret_pair", "secret", False, r"(?i)\b(?:password|passwd|pwd|api_?key|secret|token)\x20?[=:]\x20?[^\s,;\"']{6,200}", r"[=:]"),
+    ("secret_pair", "secret", False, r"(?i)\b(?:password|passwd|pwd|api_?key|secret|token)\x20?[=:]\x20?[^\s,;\"']{6,}+", r"[=:]"),
     ("secret_key", "secret", False, r"\bAKIA[0-9A-Z]{16}\b", "AKIA"),
 ]
 BASE = [p[0] for p in PATTERNS if p[2]]

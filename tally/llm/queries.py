@@ -13,6 +13,7 @@ from tally.llm.common import crc_mod, read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 WORD_BPE_END = 49_407  # <|endoftext|>
+SHORTEST_ITEM = 3  # words; shorter ones are in most texts
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -49,7 +50,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(``doc_id``, ``item_id``, ``cosine``, ``covered``, ``answer``) of every document that holds a benchmark passage."""
-    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), shortest=SHORTEST_ITEM)
 
 
 def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,6 +350,27 @@ def test_items_cut_at_either_end_are_found(spark, documents):
     assert len(want - got) <= 0.02 * len(want), sorted(want - got)
 
 
+def test_short_items_are_found_word_for_word(spark):
+    """Items of three to seven words, in any place and case, and nothing that only has their words."""
+    items = [(1, "red green blue"), (2, "what is two plus two"), (3, "red blue"), (4, "seven words that stand in one row"), (5, "red green blue")]
+    texts = [(1, "Red, green blue."), (2, "red blue green"), (3, "so WHAT is two plus two?"), (4, "what is two and two plus two"), (5, ""), (6, None),
+             (7, "x " * 5_000 + "seven words that stand in one row"), (8, "red green"), (9, "a red blue one")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.covered) for r in decontaminate.matches(docs, bench, shortest=3).collect()}
+    assert got == {(1, 1, 1.0), (1, 5, 1.0), (3, 2, 1.0), (7, 4, 1.0)}
+    assert decontaminate.matches(docs, bench).count() == 0
+    assert decontaminate.matches(docs.where("false"), bench, shortest=3).count() == 0
+
+
+def test_matches_do_not_depend_on_blocks_of_items(spark, documents, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    whole = set(map(tuple, decontaminate.matches(docs, bench).select("doc_id", "item_id", "covered").collect()))
+    monkeypatch.setattr(decontaminate, "QUERY_BLOCK", 7)
+    assert set(map(tuple, decontaminate.matches(docs, bench).select("doc_id", "item_id", "covered").collect())) == whole and whole
+
+
 def test_shards(spark, documents):
     got = collected(QUERIES["op8_histogram_shards"](spark, SF_DIR))
     sizes, slots = {}, {}
@@ -373,6 +394,15 @@ def test_personal_data_with_positions(spark):
     assert [r.base for r in rows[1:]] == ["", ""]
 
 
+def test_long_secrets_and_spelt_addresses_are_whole(spark):
+    secret, name = "Ab1" * 100, "n" * 90
+    texts = [(1, f"password={secret} end"), (2, f"write to {name} [at] example [dot] org now"), (3, f"token: {secret * 40}, then")]
+    found = collected(personal.personal_spans(spark.createDataFrame(texts, "doc_id long, text string")).select("doc_id", personal.span_text("spans").alias("spans")))
+    assert found[1].spans == f"secret:0:{9 + len(secret)}"
+    assert found[2].spans == f"email:9:{9 + 90 + len(' [at] example [dot] org')}"
+    assert found[3].spans == f"secret:0:{7 + 40 * len(secret)}"
+
+
 def test_awkward_tables(spark, awkward):
     empty = awkward.where("false")
     tok = public_tokenizers.path("word_bpe_49k.json")
