@@ -51,7 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops documents that hold a benchmark passage; a document is a number, which may be null, and a text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     named = docs.withColumn("_doc", F.xxhash64("doc_id", "text"))
-    found = store(decontaminate.matches(named, benchmark, key="_doc").select("_doc").distinct(), "contaminated")
+    found = store(decontaminate.matches(named, benchmark, key="_doc", shortest=3).select("_doc").distinct(), "contaminated")
     return named.join(found, "_doc", "left_anti").select(*docs.columns)
 
 
