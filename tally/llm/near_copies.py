@@ -17,8 +17,8 @@ left; components are renamed there, and links already contracted are never looke
 What the rounds leave open is finished exactly: the documents outside a list's largest
 component are compared with all of the list that are not in their own component: collisions are
 counted on the whole signatures, and pairs with ``match`` or more are confirmed on the full sets.
-Where such a document meets a large component in most of its lists, it is compared on full sets
-with all of it, and with the others that meet it, in blocks, instead of pair by pair. Links inside one component change nothing and are not looked for.
+Where the lists in which such a document meets a component have places for one in ``SHARE`` of its
+documents or more, it is compared on full sets with all of the component, and with the others that meet it, in blocks, instead of pair by pair. Links inside one component change nothing and are not looked for.
 The plan is the same at every size; it ends early only when no list is open or a round finds no link.
 
 Words are what ASCII white space parts, A-Z lower-cased. A document of fewer words than a
@@ -46,6 +46,7 @@ from tally.llm.common import components, mix, store, word_hashes
 COORDINATES = 64
 ROUNDS = 3  # of leaders, before the rest is finished list by list
 BLOCK = 500  # documents of a block in which members of a large component are compared
+SHARE = 8  # a block compares this many sets in the time that a pair takes as rows, with two signatures joined to it
 #: Of 64 coordinates, two sets of similarity 0.85 agree in 54.4 in the mean, with deviation 2.9, and two of
 #: 0.8 in 51.2, with deviation 3.2. Fewer than these has a chance of about 1 in 5,000 right at the threshold.
 MATCH = {85: 43, 80: 39}
@@ -237,10 +238,10 @@ def near_copies(docs: DataFrame, n_words: int = 3, percent: int = 85, key: str =
         open_lists = store(active.select("node", "component", "open", F.explode("open").alias("pair"))
                            .join(state.select("pair", F.col("top.component").alias("top"), F.col("top.n").alias("top_n")), "pair"), "rest")
         minor = open_lists.where("component <> top")
-        # Whoever meets a component in lists that hold as many places as it has documents is compared with all of it, in blocks.
+        # Whoever meets a component in lists that hold places for one in SHARE of its documents is compared with all of it, in blocks.
         sizes = labels.groupBy(F.col("component").alias("top")).agg(F.count("*").alias("size"))
         meets = store(minor.groupBy("node", "component", "top").agg(F.sum("top_n").alias("places")).join(sizes, "top")
-                      .withColumn("all", F.col("places") >= F.col("size")), "meets")
+                      .withColumn("all", F.col("places") * SHARE >= F.col("size")), "meets")
         asking = meets.where("all").select("node", "component", "top")
         inside = labels.select("node", "component", F.col("component").alias("top"))
         beside = meets.select("node", "component", "top")  # the others that meet the same component
