@@ -350,6 +350,24 @@ def test_items_cut_at_either_end_are_found(spark, documents):
     assert len(want - got) <= 0.02 * len(want), sorted(want - got)
 
 
+def test_every_pair_that_reaches_the_coverage_is_found(spark):
+    """Items that are short beside a passage, thinned out or spread over several passages, among other words."""
+    rng = np.random.default_rng(11)
+    own, words = [f"w{i}" for i in range(1_500)], [f"x{i}" for i in range(1_500)]
+    items = {i: rng.choice(own, 8 + i % 30).tolist() for i in range(60)}
+    rows, want = [], set()
+    for i, item in items.items():
+        for spread in (0, 1):
+            left = [item[k] for k in sorted(rng.choice(len(item), decontaminate.least_words(len(item)), replace=False))]
+            inside = [w for word in left for w in ([word] if rng.random() > 0.4 * spread else [word, str(rng.choice(words))])]
+            rows.append((len(rows), " ".join([*rng.choice(words, 50), *inside, *rng.choice(words, 50)])))
+            want.add((rows[-1][0], i))
+        rows.append((len(rows), " ".join([*rng.choice(words, 50), *left[1:], *rng.choice(words, 50)])))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and all(r.covered >= decontaminate.COVERED for r in found)
+
+
 def test_short_items_are_found_word_for_word(spark):
     """Items of three to seven words, in any place and case, and nothing that only has their words."""
     items = [(1, "red green blue"), (2, "what is two plus two"), (3, "red blue"), (4, "seven words that stand in one row"), (5, "red green blue")]
