@@ -25,12 +25,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.session import store
 
 MIN_WORDS = 50
+BITMAP = 1 << 15  # bits of a bitmap of Spark's
+BITMAPS = 512  # 2 MB in all, however many documents have runs
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -99,6 +101,23 @@ def repeated_stretches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     return merged.groupBy("doc", "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
 
 
+def _place(doc: str = "doc") -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(BITMAP * BITMAPS))
+
+
+def _split_by_runs(slim: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``slim`` that may have runs, and those that have none for sure, so that only the texts of the former are shuffled.
+
+    A bit for each hash of a document with runs; where many documents share the bits, more rows go with the former.
+    """
+    at = _place()
+    bitmaps = runs.select(at.alias("at")).groupBy((F.col("at") / BITMAP).cast("long").alias("_no")).agg(F.bitmap_construct_agg(F.col("at") % BITMAP).alias("_bits"))
+    marked = slim.withColumn("_at", at).withColumn("_no", (F.col("_at") / BITMAP).cast("long")).join(F.broadcast(bitmaps), "_no", "left")
+    byte = F.expr(f"CAST(conv(hex(substring(_bits, CAST(_at % {BITMAP} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    may = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))
+    return marked.where(may).select(*slim.columns), marked.where(~may).select(*slim.columns)
+
+
 def remove_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated runs cut out of ``text``, and with ``runs_removed``: arrays of (``first``, ``last``) lines, in order, empty if none.
 
@@ -109,7 +128,9 @@ def remove_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str =
     slim = plain.withColumn("doc", F.struct(F.col(names[key]).cast("long").alias("key"), F.xxhash64(names[text]).alias("copy")))
     spans = repeated_stretches(slim.select("doc", F.col(names[text]).cast("string").alias("text")), min_words)
     runs = spans.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs_removed"))
-    joined = slim.join(store(runs, "runs"), "doc", "left")
+    runs = store(runs, "runs")
+    may, without = _split_by_runs(slim, runs)
+    joined = may.join(runs, "doc", "left").unionByName(without, allowMissingColumns=True)
     t = names[text]
     kept = F.expr(f"concat_ws('\n', filter(split({t}, '\n', -1), (l, i) -> NOT exists(runs_removed, r -> i BETWEEN r.first AND r.last)))")
     none = F.array().cast("array<struct<first:int,last:int>>")

@@ -350,6 +350,16 @@ def test_items_cut_at_either_end_are_found(spark, documents):
     assert len(want - got) <= 0.02 * len(want), sorted(want - got)
 
 
+def test_only_texts_with_repeated_runs_are_shuffled(spark):
+    """Documents without a run to cut are told apart before the join that moves texts; none with one is."""
+    slim = spark.range(5_000).selectExpr("struct(id AS key, id * 7 AS copy) AS doc", "id")
+    runs = slim.where("id % 50 = 3").select("doc")
+    may, without = line_runs._split_by_runs(slim, runs)
+    own, rest = {r.id for r in may.collect()}, {r.id for r in without.collect()}
+    assert {i for i in range(5_000) if i % 50 == 3} <= own and len(own) < 110 and own | rest == set(range(5_000)) and not own & rest
+    assert line_runs._split_by_runs(slim, runs.where("false"))[1].count() == 5_000
+
+
 def test_every_pair_that_reaches_the_coverage_is_found(spark):
     """Items that are short beside a passage, thinned out or spread over several passages, among other words."""
     rng = np.random.default_rng(11)
