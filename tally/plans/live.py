@@ -110,10 +110,16 @@ def _municipality_votes(live: DataFrame, suffix: str, parties: Sequence[str], na
     wide = _areas(live, [MUNICIPALITY, CITY], "g_name", suffix, parties, key)
     # the name belongs to the area: joined before the rows multiply by party
     wide = override_name(wide, names, "ags", "name", "g_name")
-    votes = _votes(wide, suffix, parties)
+    # So is the earlier result, as one array an area: the long rows are not shuffled.
+    earlier = baseline.where("ags IS NOT NULL").groupBy("ags").agg(F.collect_list(F.struct("partei", *PARTY_BASELINE)).alias("_earlier"))
+    votes = _votes(wide.join(earlier, "ags", "left"), suffix, parties)
+    own = F.expr("filter(_earlier, e -> e.partei = partei)")
+    votes = votes.select(*[F.col(c) for c in votes.columns if c != "_earlier"],
+                         F.inline_outer(F.transform(own, lambda e: F.struct(*[e[c].alias(c) for c in PARTY_BASELINE]))))
     if candidates is not None:
         votes = with_candidates(votes, candidates.select("wk", "partei", "nachname", "name"))
-    out = with_baseline(votes, baseline.select("ags", "partei", *PARTY_BASELINE), ["ags", "partei"], PARTY_BASELINE)
+    first = ["ags", "partei"]
+    out = zero_fill(votes.select(*first, *[c for c in votes.columns if c not in (*first, *PARTY_BASELINE)], *PARTY_BASELINE), PARTY_BASELINE)
     return out.withColumn("differenz", diff_pp(F.col("prozent"), F.col("prozent_2018")))
 
 
