@@ -8,7 +8,8 @@ text from the last piece before the cut is encoded anew until its pieces agree w
 the next chunk.
 
 Nulls count as empty text, and empty text has no ids. Equal rows give equal results, one
-each. Texts are never shortened. Memory of a task: one batch of texts and two bounded caches.
+each. Texts are never shortened. Memory of a task: one batch of texts and two bounded caches, which
+hold ids only; decoded text is made of a text's ids when all are there.
 """
 
 from __future__ import annotations
@@ -54,9 +55,10 @@ SPECIAL = "<|"
 CHUNK_BITS = 10  # a cut after 2**10 characters in the mean
 MIN_CHUNK = 256  # at least 3, so that a contraction meets one join only
 WINDOW = 16
-PIECES_KEPT = 400_000  # pieces in each of two generations of the cache
+PIECES_KEPT = 150_000  # pieces in each of two generations of the cache
 CHUNK_CHARS_KEPT = 8_000_000  # characters in each of two generations of the cache
 BATCH_CHARS = 4_000_000
+DECODED_AT_ONCE = 1 << 16  # ids
 
 _GEAR = np.random.default_rng(9).integers(0, 1 << 32, 1024, dtype=np.uint32)
 
@@ -122,12 +124,12 @@ def open_tail(text: str, pieces: list[str]) -> str:
 
 
 class Chunk:
-    """Pieces of a chunk's own text: all ids, all decoded tokens, and what a repair needs of both ends."""
+    """Pieces of a chunk's own text: all ids, and what a repair needs of both ends."""
 
-    __slots__ = ("dec", "ids", "open_start", "tail", "text")
+    __slots__ = ("ids", "open_start", "tail", "text")
 
-    def __init__(self, text: str, pieces: list[str], ids: bytes, dec: str):
-        self.text, self.ids, self.dec = text, ids, dec
+    def __init__(self, text: str, pieces: list[str], ids: bytes):
+        self.text, self.ids = text, ids
         self.tail = open_tail(text, pieces)
         self.open_start = bool(pieces) and text.startswith(pieces[0])
 
@@ -157,13 +159,12 @@ class Encoder:
         ids = np.array(self.tok.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
         data, start = ids.tobytes(), 0
-        tokens = [self.token[i] for i in ids.tolist()] if self.decode else []
         for p, end in zip(new, ends, strict=True):
-            self.pieces.put(p, (data[4 * start : 4 * end], " ".join(tokens[start:end])))
+            self.pieces.put(p, data[4 * start : 4 * end])
             start = end
 
-    def join(self, pieces: list[str]) -> tuple[bytes, str]:
-        """Ids and decoded tokens of pieces in a row. A piece without tokens adds nothing."""
+    def join(self, pieces: list[str]) -> bytes:
+        """Ids of pieces in a row. A piece without tokens adds nothing."""
         for _ in range(2):
             got = [self.pieces[p] for p in pieces]
             if None not in got:
@@ -175,9 +176,15 @@ class Encoder:
                 break
         else:  # more distinct pieces than the cache holds
             halves = len(pieces) // 2
-            a, b = self.join(pieces[:halves]), self.join(pieces[halves:])
-            return a[0] + b[0], " ".join(x for x in (a[1], b[1]) if x)
-        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]]) if self.decode else ""
+            return self.join(pieces[:halves]) + self.join(pieces[halves:])
+        return b"".join(got)
+
+    def decoded(self, ids: bytes) -> str:
+        """Tokens of plain text's ids, with blanks between."""
+        if not self.decode:
+            return ""
+        codes = np.frombuffer(ids, "<u4")
+        return " ".join([" ".join([self.token[i] for i in codes[at : at + DECODED_AT_ONCE].tolist()]) for at in range(0, len(codes), DECODED_AT_ONCE)])
 
     def chunk(self, text: str) -> Chunk:
         key = fingerprint(text)
@@ -186,8 +193,7 @@ class Encoder:
             self.reused += 1
             return have
         pieces = PIECE.findall(text)
-        ids, dec = self.join(pieces)
-        have = Chunk(text, pieces, ids, dec)
+        have = Chunk(text, pieces, self.join(pieces))
         self.encoded += 1
         self.chunks.put(key, have, len(text))
         return have
@@ -219,50 +225,37 @@ class Encoder:
             return np.array(ids, "<u4").tobytes(), self.tok.decode(ids, skip_special_tokens=False) if self.decode else ""
         if not unicodedata.is_normalized("NFC", text):  # cannot happen for plain characters
             text = unicodedata.normalize("NFC", text)
-        text, ids, dec, start = text.lower(), [], [], 0
+        text, ids, start = text.lower(), [], 0
         held = ""  # the open tail of the text so far; not yet given out
         for end in cut_points(text):
             c = self.chunk(text[start:end])
             start = end
-            c_ids, c_dec = c.ids, c.dec
+            c_ids = c.ids
             if held and c.open_start:
                 pieces, replaced, rest = self.repair(held, c)
                 held = ""
                 if rest is not None:  # nothing of the chunk's own is left
                     held = rest
-                    self.add(ids, dec, pieces[: len(pieces) - len(PIECE.findall(rest))])
+                    ids.append(self.join(pieces[: len(pieces) - len(PIECE.findall(rest))]))
                     continue
-                self.add(ids, dec, pieces)
+                ids.append(self.join(pieces))
                 tail = PIECE.findall(c.tail)
                 if replaced:
                     own = PIECE.findall(c.text)
-                    c_ids, c_dec = self.without(c_ids, c_dec, own[:replaced], front=True)
+                    c_ids = c_ids[len(self.join(own[:replaced])) :]
                     tail = tail[max(0, replaced - (len(own) - len(tail))) :]
             else:
                 if held:
-                    self.add(ids, dec, PIECE.findall(held))
+                    ids.append(self.join(PIECE.findall(held)))
                 tail = PIECE.findall(c.tail)
             held = "".join(tail)
             if held:
-                c_ids, c_dec = self.without(c_ids, c_dec, tail, front=False)
+                c_ids = c_ids[: len(c_ids) - len(self.join(tail))]
             ids.append(c_ids)
-            if c_dec:
-                dec.append(c_dec)
         if held:
-            self.add(ids, dec, PIECE.findall(held))
-        return b"".join(ids), " ".join(dec)
-
-    def without(self, ids: bytes, dec: str, pieces: list[str], front: bool) -> tuple[bytes, str]:
-        """Ids and decoded text less those of the given first or last pieces."""
-        cut_ids, cut_dec = self.join(pieces)
-        n, d = len(ids) - len(cut_ids), max(0, len(dec) - len(cut_dec) - 1)
-        return (ids[len(cut_ids):], dec[len(dec) - d:]) if front else (ids[:n], dec[:d])
-
-    def add(self, ids: list[bytes], dec: list[str], pieces: list[str]) -> None:
-        a, b = self.join(pieces)
-        ids.append(a)
-        if b:
-            dec.append(b)
+            ids.append(self.join(PIECE.findall(held)))
+        whole = b"".join(ids)
+        return whole, self.decoded(whole)
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}

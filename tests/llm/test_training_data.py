@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -64,6 +65,23 @@ def test_chunk_joins_are_repaired(monkeypatch):
     assert enc.repaired and enc.reused
 
 
+def test_encoder_keeps_little():
+    """What a worker keeps beside the text it works on: ids only, of a bounded number of pieces."""
+    enc, rnd = bpe.Encoder(WORD_BPE), random.Random(3)
+    words = ["".join(rnd.choices("abcdefghij", k=9)) for _ in range(40_000)]
+    tracemalloc.start()
+    try:
+        for i in range(0, len(words), 400):
+            t = " ".join(words[i : i + 400])
+            got = enc.encode(t)
+        kept = tracemalloc.get_traced_memory()[0] / len(words)
+    finally:
+        tracemalloc.stop()
+    ids = enc.tok.encode(t, add_special_tokens=False).ids
+    assert got == (np.array(ids, "<u4").tobytes(), enc.tok.decode(ids, skip_special_tokens=False))
+    assert kept < 220, kept  # bytes a piece
+
+
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
 def test_token_blocks_are_stitched(spark, tmp_path, block):
     lengths = [0, 5, 0, 0, 12, 1, 3]
