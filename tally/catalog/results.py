@@ -308,9 +308,9 @@ def result_links(spark, sf):
 # --- a whole cycle ---
 
 
-def election(spark, sf) -> Election:
-    """Dimensions and baselines of the derived feed, stored once as for a counting night."""
-    then = store(star.area_counts(spark, sf, present=False), "then")
+def election(spark, sf, then=None) -> Election:
+    """Dimensions and baselines of the derived feed, stored once as for a counting night; ``then`` are the earlier counts if they are stored already."""
+    then = store(star.area_counts(spark, sf, present=False), "then") if then is None else then
     kept = {
         "candidates": V.candidates(spark, sf), "listed": type_parties(spark, sf),
         "names": star.municipality_names(spark, sf), "registry": registry(spark, sf),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from tally.streaming import snapshots as S
 from tally.streaming.live import run_live
 
 START = "2024-01-10 00:00:00"
+SNAPSHOT_FILE = 250_000  # rows
 
 
 def weekly(spark, sf) -> DataFrame:
@@ -56,16 +59,29 @@ def first_snapshot(snapshots: DataFrame) -> DataFrame:
     return snapshots.filter(F.col("snapshot_ts") == first)
 
 
+def land_texts(snapshots: Sequence[tuple[DataFrame, str, str]]) -> int:
+    """Write snapshots (rows, folder, time) as locale text, one after the other; rows are read several times and must be stored.
+
+    All lie in as many files each, as the largest needs, which is returned: tasks write them side by side, and a trigger
+    that reads so many has a whole snapshot.
+    """
+    files = max(1, *[-(-df.count() // SNAPSHOT_FILE) for df, _, _ in snapshots])
+    for df, folder, stand in snapshots:
+        write_locale_text(df.repartition(files), folder, f"Muster;Stand: {stand}")
+    return files
+
+
 @query("e02_live_stream", V.LIST_SQL + V.RESULT.replace("*", "* EXCLUDE area_key"))
 def live_stream(spark, sf):
-    """Three snapshot files land, the last one late, and are read one a trigger; shown is the newest one's long constituency table."""
+    """Three snapshots land, the last one late, and are read one a trigger; shown is the newest one's long constituency table."""
     landing, work = shared_folder(spark, "landing"), shared_folder(spark, "night")
-    then, now = store(star.feed(spark, sf, False), "then"), star.feed(spark, sf)
-    for feed, stand in ((then, "08.10.2023 18:30:00"), (now, "08.10.2023 20:15:00"), (then, "08.10.2023 19:00:00")):
-        # each snapshot goes to its own folder below the landing folder
-        write_locale_text(feed.coalesce(1), f"{landing}/{stand[-8:].replace(':', '')}", f"Muster;Stand: {stand}")
-    night = R.election(spark, sf)
-    run_live(spark, f"{landing}/*", night, work, R.IMPRINT, columns=now.columns, area_files=False).awaitTermination()
+    before = store(star.area_counts(spark, sf, present=False), "before")
+    then, now = store(star.feed(spark, sf, False, before), "then"), store(star.feed(spark, sf), "now")
+    # each snapshot goes to its own folder below the landing folder
+    files = land_texts([(feed, f"{landing}/{stand[-8:].replace(':', '')}", stand) for feed, stand in (
+        (then, "08.10.2023 18:30:00"), (now, "08.10.2023 20:15:00"), (then, "08.10.2023 19:00:00"))])
+    night = R.election(spark, sf, before)
+    run_live(spark, f"{landing}/*", night, work, R.IMPRINT, columns=now.columns, area_files=False, files_per_trigger=files).awaitTermination()
     return spark.read.parquet(f"{work}/out/lang/kreise_landesstimmen").drop("snapshot_ts", "area_key")
 
 

@@ -102,6 +102,18 @@ def constituency_list_votes(live: DataFrame, parties: Sequence[str], baseline: D
     return _constituency_votes(live, LIST_SUFFIX, parties, baseline, None, False, shape)
 
 
+def _rows_by_party(name: str) -> Column:
+    """Map from party to its baseline rows, of an array of one area's rows; a party mostly has one."""
+    rows, parties = F.col(name), F.array_distinct(F.col(name)["partei"])
+
+    def own(e: Column) -> Column:
+        return F.struct(*[e[c].alias(c) for c in PARTY_BASELINE])
+
+    single = F.transform(rows, lambda e: F.struct(e["partei"].alias("partei"), F.array(own(e)).alias("rows")))
+    several = F.transform(parties, lambda p: F.struct(p.alias("partei"), F.transform(F.filter(rows, lambda e: e["partei"] == p), own).alias("rows")))
+    return F.map_from_entries(F.when(F.size(parties) == F.size(rows), single).otherwise(several))
+
+
 def _municipality_votes(live: DataFrame, suffix: str, parties: Sequence[str], names: DataFrame,
                         candidates: DataFrame | None, baseline: DataFrame, overrides: Mapping[str, int],
                         shape: KeyShape) -> DataFrame:
@@ -110,12 +122,11 @@ def _municipality_votes(live: DataFrame, suffix: str, parties: Sequence[str], na
     wide = _areas(live, [MUNICIPALITY, CITY], "g_name", suffix, parties, key)
     # the name belongs to the area: joined before the rows multiply by party
     wide = override_name(wide, names, "ags", "name", "g_name")
-    # So is the earlier result, as one array an area: the long rows are not shuffled.
-    earlier = baseline.where("ags IS NOT NULL").groupBy("ags").agg(F.collect_list(F.struct("partei", *PARTY_BASELINE)).alias("_earlier"))
+    # So is the earlier result, as one map an area from party to its rows: the long rows are not shuffled.
+    known = baseline.where("ags IS NOT NULL AND partei IS NOT NULL")
+    earlier = known.groupBy("ags").agg(F.collect_list(F.struct("partei", *PARTY_BASELINE)).alias("_all")).select("ags", _rows_by_party("_all").alias("_earlier"))
     votes = _votes(wide.join(earlier, "ags", "left"), suffix, parties)
-    own = F.expr("filter(_earlier, e -> e.partei = partei)")
-    votes = votes.select(*[F.col(c) for c in votes.columns if c != "_earlier"],
-                         F.inline_outer(F.transform(own, lambda e: F.struct(*[e[c].alias(c) for c in PARTY_BASELINE]))))
+    votes = votes.select(*[F.col(c) for c in votes.columns if c != "_earlier"], F.inline_outer(F.element_at("_earlier", F.col("partei"))))
     if candidates is not None:
         votes = with_candidates(votes, candidates.select("wk", "partei", "nachname", "name"))
     first = ["ags", "partei"]

@@ -118,9 +118,9 @@ def area_counts(spark: SparkSession, sf_dir: str, present: bool = True) -> DataF
         *[F.expr(f"sum({tick(c)}) AS {tick(c)}") for c in sums])
 
 
-def feed(spark: SparkSession, sf_dir: str, present: bool = True) -> DataFrame:
-    """The wide snapshot of the present (or earlier) election."""
-    areas = area_counts(spark, sf_dir, present)
+def feed(spark: SparkSession, sf_dir: str, present: bool = True, areas: DataFrame | None = None) -> DataFrame:
+    """The wide snapshot of the present (or earlier) election; ``areas`` are its counts if they are stored already."""
+    areas = area_counts(spark, sf_dir, present) if areas is None else areas
     voters = F.col("waehler")
     cols = {
         "Wahlberechtigte": F.col("wahlberechtigt"),

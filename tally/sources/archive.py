@@ -10,12 +10,14 @@ adds nothing. Whoever reads a snapshot lists one folder, however many snapshots
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.operators.cleaning import quoted
+from tally.session import together
 
 LOG = "snapshot_ts timestamp_ntz, stand string, digest string, n_rows bigint"
 WHOLE = "all"
@@ -59,15 +61,19 @@ def add(rows: DataFrame, root: str, batch_id: int, ts: str = "snapshot_ts", part
     """
     spark = rows.sparkSession
     found = digests(rows.where(F.col(ts).isNotNull()), ts, part).collect()  # one row for each file of a batch
-    new, seen = [], set()
+    seen = {(name, d.digest) for name in {r.stand for r in found}
+            for d in _logged(spark, root, name).where(F.col("batch_id") < batch_id).select("digest").distinct().collect()}
+    new = []
     for r in found:
-        if (r.stand, r.digest) not in seen and not _logged(spark, root, r.stand).where(
-                (F.col("digest") == r.digest) & (F.col("batch_id") < batch_id)).limit(1).count():
+        if (r.stand, r.digest) not in seen:
             new.append(r)
             seen.add((r.stand, r.digest))
-    for r in new:
+
+    def write(r) -> None:
         own = rows.where((F.col(ts) == F.lit(r.snapshot_ts).cast("timestamp_ntz")) & (F.col(part).eqNullSafe(F.lit(r.part)) if part else F.lit(True)))
         (own.drop(part) if part else own).write.mode("overwrite").parquet(f"{root}/rows/stand={r.stand}/part={r.digest}")
+
+    together([partial(write, r) for r in new], at_once=8)
     for name in sorted({r.stand for r in new}):
         lines = [(r.snapshot_ts, r.stand, r.digest, r.n_rows) for r in new if r.stand == name]
         spark.createDataFrame(lines, LOG).drop("stand").coalesce(1).write.mode("overwrite").parquet(f"{root}/log/stand={name}/batch_id={batch_id}")

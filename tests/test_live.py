@@ -94,6 +94,17 @@ def test_municipality_direct(snapshot, candidates, g_baseline, names):
     assert got["413000", "SPD"].wk == 43 and got["413000", "SPD"].stimmen == 0
 
 
+
+def test_baseline_rows_of_a_party_in_a_municipality(spark, snapshot, names):
+    """Several rows of a party each give one, a party without a name gives none, and nulls stay nulls until they are filled."""
+    rows = [("633011", "CDU", 900, 30.0), ("633011", "CDU", 700, None), ("633011", None, 5, 1.0), (None, "CDU", 6, 2.0), ("413000", "SPD", 8, 4.0)]
+    earlier = spark.createDataFrame(rows, "ags string, partei string, stimmen_2018 int, prozent_2018 double")
+    got = live.municipality_list_votes(snapshot, PARTIES, names.dropDuplicates(["ags"]), earlier).where("ags IS NOT NULL").collect()
+    found = sorted((r.ags, r.partei, r.stimmen_2018, r.prozent_2018) for r in got if r.stimmen_2018)
+    assert found == [("413000", "SPD", 8, 4.0), ("633011", "CDU", 700, 0.0), ("633011", "CDU", 900, 30.0)], found
+    assert len(got) == 3 * len(PARTIES) + 1
+
+
 def test_municipality_list_keeps_cities(snapshot, g_baseline, names):
     got = live.municipality_list_votes(snapshot, PARTIES, names, g_baseline)
     assert got.select("ags").distinct().count() == 3

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_live import IMPRINT, candidates, g_baseline, names, night, snapshot, wk_baseline  # noqa: F401  fixtures
 
 from fixtures import COLUMNS, feed_text
+from tally.catalog import QUERIES, streams
 from tally.operators import windows
 from tally.plans import dimensions, versions
 from tally.sources import archive, rejects
@@ -147,6 +148,30 @@ def test_whole_night(spark, night, tmp_path):  # noqa: F811
     assert [r.batch_id for r in N.night_rejects(spark, work).collect()] == [4, 4, 4]
 
 
+def test_snapshots_land_in_several_files(spark, monkeypatch, tmp_path):
+    """Tasks write a snapshot's files side by side, as many for each snapshot; a trigger reads a whole one."""
+    monkeypatch.setattr(streams, "SNAPSHOT_FILE", 100)
+    large, small = spark.range(350).selectExpr("id AS k"), spark.range(20).selectExpr("id AS k")
+    files = streams.land_texts([(large, str(tmp_path / "0"), "08.10.2023 18:30:00"), (small, str(tmp_path / "1"), "08.10.2023 20:15:00")])
+    assert files == 4
+    for k, n in (("0", 350), ("1", 20)):
+        parts = [p.read_text().splitlines() for p in (tmp_path / k).glob("part-*")]
+        assert len(parts) == 4 and all("Stand: 08.10.2023" in p[0] and p[1] == "k" for p in parts)
+        assert sorted(int(x) for p in parts for x in p[2:]) == list(range(n))
+    assert streams.land_texts([(small.limit(0), str(tmp_path / "2"), "08.10.2023 20:15:00")]) == 1
+
+
+def test_night_of_snapshots_in_several_files(spark, monkeypatch):
+    """The state's document is the same however many files a snapshot has, and no trigger sees part of one."""
+    seen, follow = [], N.follow_count
+    monkeypatch.setattr(N, "follow_count", lambda snapshot, batch_id, *more: (seen.append(snapshot.count()), follow(snapshot, batch_id, *more)))
+    one = QUERIES["e03_night_state_output"](spark, "/root/testdata/sf0.001").collect()
+    whole, seen[:] = list(seen), []
+    monkeypatch.setattr(streams, "SNAPSHOT_FILE", 60)
+    assert QUERIES["e03_night_state_output"](spark, "/root/testdata/sf0.001").collect() == one and one
+    assert len(whole) == 3 and seen == whole
+
+
 @pytest.mark.parametrize("value", ["id % 7", "CASE WHEN id % 2 = 0 THEN 5 ELSE id END", "CAST(hash(id) AS double)"])
 def test_quintiles_are_found_by_counting(spark, monkeypatch, value):
     """Small limits, so that intervals shrink over rounds; half of the rows may share a value."""
