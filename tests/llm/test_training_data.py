@@ -417,6 +417,70 @@ def test_matches_do_not_depend_on_blocks_of_items(spark, documents, monkeypatch)
     assert set(map(tuple, decontaminate.matches(docs, bench).select("doc_id", "item_id", "covered").collect())) == whole and whole
 
 
+def space_of(monkeypatch, found):
+    """What ``found`` gives, and the latent space that the search in it used: weights of buckets, and singular vectors."""
+    real, seen = decontaminate._search, []
+
+    def search(items, idf, table, *rest):
+        seen.append((idf, table / idf[:, None]))
+        return real(items, idf, table, *rest)
+
+    monkeypatch.setattr(decontaminate, "_search", search)
+    return found().collect(), *seen[0]
+
+
+def passage_vectors(texts, idf):
+    """Unit vectors of all passages: 24 words from every twelfth on, the last being the one that meets the text's end."""
+    for text in texts:
+        words = decontaminate.words_of(text)
+        for s in range(0, 12 * max(1, -(-len(words) // 12) - 1) if len(words) else 0, 12):
+            row = np.zeros(decontaminate.BUCKETS)
+            at = np.unique(words[s : s + 24] & np.uint32(decontaminate.BUCKETS - 1))
+            row[at] = idf[at]
+            yield row / np.linalg.norm(row)
+
+
+def mixed_texts(item):
+    """Texts of all lengths around a passage's, of words that no item has, some many times; the last one holds ``item``."""
+    rng = np.random.default_rng(5)
+    words = [f"x{i}" for i in range(400)]
+    texts = [None, "", *[" ".join(rng.choice(words, n)) for n in (1, 11, 12, 13, 24, 25, 36, 37, 60, 100)], "again and again " * 9]
+    return [*texts, " ".join([*rng.choice(words, 40), item, *rng.choice(words, 40)])]
+
+
+def test_all_passages_are_rows_of_the_matrix(spark, monkeypatch):
+    """Fewer passages than singular vectors: the space holds each of them, also those without a word of the benchmark."""
+    item = " ".join(f"own{i}" for i in range(20))
+    texts = mixed_texts(item)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got, idf, v = space_of(monkeypatch, lambda: decontaminate.matches(docs, bench))
+    assert [(r.doc_id, r.item_id, r.covered) for r in got] == [(len(texts) - 1, 1, 1.0)]
+    rows = np.array(list(passage_vectors(texts, idf)))
+    assert 30 < len(rows) < decontaminate.RANK
+    assert np.linalg.norm(rows @ v, axis=1).min() > 0.99
+
+
+def test_all_passages_are_projected(monkeypatch):
+    """Texts of all lengths side by side give the vectors that each passage has by itself."""
+    texts = [decontaminate.words_of(t) for t in mixed_texts("one two three")]
+    table = np.random.default_rng(3).normal(size=(decontaminate.BUCKETS, 8)).astype(np.float32)
+    halves = decontaminate.Halves(texts)
+    rows = halves.passages(decontaminate.summed(decontaminate.with_blank(table), halves.buckets()))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    starts = [decontaminate.passage_starts(t) for t in texts]
+    assert halves.at.tolist() == [s for at in starts for s in at.tolist()]
+    assert halves.text.tolist() == [i for i, at in enumerate(starts) for _ in at]
+    assert np.allclose(rows, np.concatenate([decontaminate.projected(t, at, table) for t, at in zip(texts, starts, strict=True)]), atol=1e-5)
+    for n in (0, 5, 24, 25, 49, 120, 121, 132, 133, 144):
+        monkeypatch.setattr(decontaminate, "BATCH_WORDS", 60)
+        whole = np.arange(n, dtype=np.uint32)
+        found = [(lo + s, piece[s : s + 24].tolist()) for lo, piece in decontaminate.pieces_of(whole) for s in decontaminate.passage_starts(piece).tolist()]
+        assert found == [(s, whole[s : s + 24].tolist()) for s in decontaminate.passage_starts(whole).tolist()]
+    none = decontaminate.Halves(texts[:2])
+    assert none.n == 0 and decontaminate.summed(table, none.buckets()).shape == (0, 8) and len(none.start) == 0
+
+
 def test_shards(spark, documents):
     got = collected(QUERIES["op8_histogram_shards"](spark, SF_DIR))
     sizes, slots = {}, {}
