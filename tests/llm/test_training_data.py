@@ -461,6 +461,20 @@ def test_all_passages_are_rows_of_the_matrix(spark, monkeypatch):
     assert np.linalg.norm(rows @ v, axis=1).min() > 0.99
 
 
+def test_benchmark_stage_of_pipeline_takes_all_passages(spark, monkeypatch, tmp_path):
+    """The space of the stage holds each passage of all documents it gets, equal numbers and texts included."""
+    item = " ".join(f"own{i}" for i in range(20))
+    texts = mixed_texts(item)
+    spark.createDataFrame([(1, item), (2, "red green blue")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(i % 3, t, f"s{i}") for i, t in enumerate(texts)] + [(None, "a red green blue one", "short"), (1, texts[6], "again")],
+                                 "doc_id long, text string, source string")
+    got, idf, v = space_of(monkeypatch, lambda: corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)))
+    assert sorted(r.source for r in got) == sorted(["again", *[f"s{i}" for i in range(len(texts) - 1)]])
+    rows = np.array(list(passage_vectors([*texts, "a red green blue one", texts[6]], idf)))
+    assert 30 < len(rows) < decontaminate.RANK
+    assert np.linalg.norm(rows @ v, axis=1).min() > 0.99
+
+
 def test_all_passages_are_projected(monkeypatch):
     """Texts of all lengths side by side give the vectors that each passage has by itself."""
     texts = [decontaminate.words_of(t) for t in mixed_texts("one two three")]
